@@ -146,11 +146,12 @@ def _strings(names) -> list[T.StructField]:
 
 
 def raw_schema(fields, times=(), money=()) -> T.StructType:
-    """Schema of a raw JSON row: text keys and numeric money keys, all optional."""
+    """Schema of a raw JSON row, all keys optional.
+
+    Amounts are read as text too: a feed may quote them, and a typed key would lose the row.
+    """
     names = [raw for raw, _ in fields] + [raw for raw, _ in times]
-    return T.StructType(
-        _strings(names) + [T.StructField(name, T.DoubleType()) for name in money]
-    )
+    return T.StructType(_strings([*names, *money]))
 
 
 RAW_VISIT = raw_schema(VISIT_FIELDS, VISIT_TIMES)
@@ -161,19 +162,14 @@ RAW_VISIT_V1 = T.StructType(
         [key for keys in VISIT_ALTERNATES.values() for key in keys]
         + [key for keys in VISIT_ALTERNATE_TIMES.values() for key in keys]
     )
-    + [T.StructField(name, T.DoubleType()) for name in ("cost", "revenue", "profit")]
-    + [
-        T.StructField("isClick", T.BooleanType()),
-        T.StructField("isConversion", T.BooleanType()),
-        T.StructField("conversions", T.LongType()),
-    ]
+    + _strings(["cost", "revenue", "profit", "isClick", "isConversion", "conversions"])
 )
 RAW_CONVERSION_V1 = T.StructType(
     _strings(
         [key for keys in CONVERSION_ALTERNATES.values() for key in keys]
         + CONVERSION_ALTERNATE_TIMES
     )
-    + [T.StructField(name, T.DoubleType()) for name in ("revenue", "payout")]
+    + _strings(["revenue", "payout"])
 )
 
 MONEY = T.DecimalType(12, 6)
