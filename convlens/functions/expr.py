@@ -141,14 +141,19 @@ def parse_event_ts(text: str | Column) -> Column:
     offset is UTC. Empty or unreadable text gives NULL (see :func:`unparsed_ts`).
     """
     text = nonempty(text)
-    # A zone is appended so that the pattern yields an instant, whatever the session zone.
-    clock = F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit("yyyy-MM-dd h:mm:ss a Z"))
-    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text)
-    zoned = F.when(iso.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & iso.rlike(r":"), iso)
-    return F.coalesce(
-        instant_to_utc(clock),
-        instant_to_utc(zoned.try_cast("timestamp")),
-        F.when(zoned.isNull(), iso).try_cast("timestamp_ntz"),
+    clock = r"(?i)[ap]m$"
+    zoned = r"^\d{4}-\d{2}-\d{2}.*:.*(Z|[+-]\d{2}:?\d{2})$"
+    plain = r"^\d{4}-\d{2}-\d{2}"
+    # A zone is appended so that the pattern yields an instant, whatever the session zone. The
+    # form is decided first: a failed parse costs far more than a match.
+    pattern = F.lit("yyyy-MM-dd h:mm:ss a Z")
+    return (
+        F.when(
+            text.rlike(clock),
+            instant_to_utc(F.try_to_timestamp(F.concat(text, F.lit(" +0000")), pattern)),
+        )
+        .when(text.rlike(zoned), instant_to_utc(text.try_cast("timestamp")))
+        .when(text.rlike(plain), text.try_cast("timestamp_ntz"))
     )
 
 

@@ -146,7 +146,7 @@ def check_alerts(
     visits: DataFrame,
     as_of: datetime,
     *,
-    hours: int = 24,
+    traffic_hours: int = 24,
     ratio: float = 0.3,
     limit: int = 10,
     **anomaly,
@@ -158,7 +158,7 @@ def check_alerts(
     """
     drop = pct(F.col("avg_visits") - F.col("visits"), "avg_visits", 0)
     traffic = (
-        low_traffic_hours(visits, as_of, hours=hours, ratio=ratio)
+        low_traffic_hours(visits, as_of, hours=traffic_hours, ratio=ratio)
         .withColumn("_drop", drop)
         .orderBy(F.desc("_drop"), "campaign_name", "hour")
         .limit(limit)

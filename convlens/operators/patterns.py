@@ -32,7 +32,8 @@ PATTERN_PRESETS = {
     "var3": ["custom_var_3"],
 }
 
-N = F.count(F.lit(1))
+def _count() -> Column:
+    return F.count(F.lit(1))
 
 
 def recent_conversions(conversions: DataFrame, as_of: datetime, *, days: int = 30) -> DataFrame:
@@ -79,7 +80,7 @@ def pattern_stats(
     grouped = (
         _of_campaign(conversions, var3)
         .groupBy(*[or_unknown(d).alias(d) for d in dims])
-        .agg(N.alias("convs"), revenue.alias("_revenue"), payout.alias("_payout"))
+        .agg(_count().alias("convs"), revenue.alias("_revenue"), payout.alias("_payout"))
         .filter(F.col("convs") >= min_convs)
         .select(
             *dims,
@@ -101,9 +102,9 @@ def money_or_zero(c: str) -> Column:
 
 def conversion_totals(conversions: DataFrame, live_visits: DataFrame) -> DataFrame:
     """Conversions, revenue, their average (NULL without conversions) and visits, in one row."""
-    tracked = live_visits.agg(N.alias("n")).scalar()
+    tracked = live_visits.agg(_count().alias("n")).scalar()
     return conversions.agg(
-        N.alias("total_conversions"),
+        _count().alias("total_conversions"),
         F.coalesce(F.sum(money_or_zero("revenue")), F.lit(0).cast("decimal(22,6)")).alias("_r"),
     ).select(
         "total_conversions",
@@ -117,7 +118,7 @@ def overall_stats(conversions: DataFrame, *, var3: str | None = None) -> DataFra
     """Count, sum, mean and median of revenue, in one row."""
     rows = _of_campaign(clean_conversions(conversions), var3)
     median = grouped_median(rows, [], "revenue").select("median").scalar()
-    return rows.agg(N.alias("conversions"), F.sum("revenue").alias("_r")).select(
+    return rows.agg(_count().alias("conversions"), F.sum("revenue").alias("_r")).select(
         "conversions",
         money("_r").alias("total_revenue"),
         mean("_r", "conversions").alias("avg_revenue"),
@@ -130,7 +131,7 @@ def var3_stats(conversions: DataFrame, *, min_conversions: int = 50) -> DataFram
     return (
         clean_conversions(conversions)
         .groupBy(F.col("custom_var_3").alias("var3"))
-        .agg(N.alias("conversions"), F.sum("revenue").alias("_r"))
+        .agg(_count().alias("conversions"), F.sum("revenue").alias("_r"))
         .filter(F.col("conversions") >= min_conversions)
         .select(
             "var3",
@@ -190,7 +191,7 @@ def feature_patterns(
         .filter(_known("value"))
         .withColumn("_high", money("revenue") > overall["median"])
         .groupBy("feature", "value")
-        .agg(N.alias("count"), F.sum("revenue").alias("_r"), F.count_if("_high").alias("_high"))
+        .agg(_count().alias("count"), F.sum("revenue").alias("_r"), F.count_if("_high").alias("_high"))
         .filter((F.col("count") >= min_samples) & (overall["n"] >= min_samples))
         .select(
             "feature",
@@ -237,7 +238,7 @@ def two_feature_patterns(
         .filter(_known("value_1", "value_2"))
         .withColumn("_high", money("revenue") > overall["median_revenue"])
         .groupBy(*dims)
-        .agg(N.alias("count"), F.sum("revenue").alias("_r"), F.count_if("_high").alias("_high"))
+        .agg(_count().alias("count"), F.sum("revenue").alias("_r"), F.count_if("_high").alias("_high"))
         .filter((F.col("count") >= min_samples) & (overall["conversions"] >= min_samples))
         .select(
             *dims,
@@ -349,7 +350,7 @@ def var3_overview(
 ) -> DataFrame:
     """Campaign variables against the overall mean revenue, largest total first."""
     rows = clean_conversions(conversions)
-    overall = rows.agg(mean(F.sum("revenue"), N).alias("m")).scalar()
+    overall = rows.agg(mean(F.sum("revenue"), _count()).alias("m")).scalar()
     average = F.col("avg_revenue")
     return (
         var3_stats(conversions, min_conversions=min_conversions)
@@ -384,7 +385,7 @@ def campaign_patterns(
         _long(rows, features, "custom_var_3", "revenue")
         .filter(_known("value"))
         .groupBy("custom_var_3", "feature", "value")
-        .agg(N.alias("conversions"), F.sum("revenue").alias("_r"))
+        .agg(_count().alias("conversions"), F.sum("revenue").alias("_r"))
     )
     average = mean("_r", "conversions")
     enough = F.greatest(F.lit(5).cast("bigint"), F.expr("n div 20"))
@@ -458,10 +459,10 @@ def report_summary(
     rows = clean_conversions(conversions)
     found = (
         campaign_patterns(conversions, min_conversions=min_conversions, beyond=beyond)
-        .agg(N.alias("n"))
+        .agg(_count().alias("n"))
         .scalar()
     )
-    per_campaign = rows.groupBy("custom_var_3").agg(N.alias("_n"), F.sum("revenue").alias("_r"))
+    per_campaign = rows.groupBy("custom_var_3").agg(_count().alias("_n"), F.sum("revenue").alias("_r"))
     return per_campaign.agg(
         F.count_if(F.col("custom_var_3") != "unknown").alias("var3_count"),
         F.coalesce(F.sum("_n"), F.lit(0).cast("bigint")).alias("total_conversions"),

@@ -26,7 +26,8 @@ TREE_FEATURES = ["country_code", "device", "os", "browser", "connection_type", "
 MIN_CAMPAIGN = 50  # conversions a campaign needs to be listed
 FLOOR = 30  # below this no tree is grown even on request
 
-N = F.count(F.lit(1))
+def _count() -> Column:
+    return F.count(F.lit(1))
 
 
 def _eligible(n: Column, min_samples: int) -> Column:
@@ -61,7 +62,7 @@ def label_encode(conversions: DataFrame, features: list[str] = TREE_FEATURES) ->
         .select("var3", *features)
         .unpivot(["var3"], features, "feature", "value")
         .groupBy("var3", "feature", "value")
-        .agg(N.alias("conversions"))
+        .agg(_count().alias("conversions"))
     )
     order = Window.partitionBy("var3", "feature").orderBy("value")
     return values.withColumn("code", (F.row_number().over(order) - 1).cast("int"))
@@ -74,7 +75,7 @@ def segment_cells(
     rows = clean_conversions(conversions, TREE_FEATURES).withColumnRenamed("custom_var_3", "var3")
     if var3 is not None:
         rows = rows.filter(F.col("var3") == var3)
-    amounts = rows.groupBy("var3", *TREE_FEATURES, "revenue").agg(N.alias("n"))
+    amounts = rows.groupBy("var3", *TREE_FEATURES, "revenue").agg(_count().alias("n"))
     medians = (
         grouped_median(amounts, ["var3"], "revenue", weight="n")
         .filter(_eligible(F.col("n"), min_samples))
@@ -377,7 +378,7 @@ def numbered(rows: DataFrame, keys: list[str], row_id: str, *, buckets: int = 10
     the second one into that many pieces per group.
     """
     placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(row_id), F.lit(buckets)).cast("int"))
-    sizes = placed.groupBy(*keys, "_bucket").agg(N.alias("_size"))
+    sizes = placed.groupBy(*keys, "_bucket").agg(_count().alias("_size"))
     earlier = (
         Window.partitionBy(*keys)
         .orderBy("_bucket")
@@ -430,7 +431,7 @@ def tree_cv_accuracy(
     cells = cut(
         numbered(labelled, ["var3", "label"], row_id)
         .groupBy("var3", "folds", fold.alias("fold"), *TREE_FEATURES)
-        .agg(N.alias("n"), F.sum("label").alias("h"))
+        .agg(_count().alias("n"), F.sum("label").alias("h"))
     )
     # Every cell takes part once per held-out fold: as a test row of its own, else for training.
     copies = cells.withColumn(
@@ -455,7 +456,7 @@ def tree_cv_accuracy(
         .agg((F.sum(right).cast("double") / F.sum("n")).alias("_accuracy"))
         .groupBy("var3")
         .agg(
-            N.cast("int").alias("folds"),
+            _count().cast("int").alias("folds"),
             F.round(F.avg("_accuracy").cast("decimal(20,9)"), 6).cast("double").alias("cv_accuracy"),
         )
     )
@@ -468,7 +469,7 @@ def ml_summary(
     stats = (
         clean_conversions(conversions)
         .groupBy(F.col("custom_var_3").alias("var3"))
-        .agg(N.alias("conversions"), F.sum("revenue").alias("_r"))
+        .agg(_count().alias("conversions"), F.sum("revenue").alias("_r"))
         .filter(_eligible(F.col("conversions"), min_samples))
         .withColumn("avg_revenue", money("_r") / F.col("conversions").cast("double"))
     )
@@ -485,7 +486,7 @@ def ml_summary(
         )
 
     totals = stats.agg(
-        N.alias("campaigns"), F.sum("conversions").alias("conversions"), F.sum("_r").alias("_r")
+        _count().alias("campaigns"), F.sum("conversions").alias("conversions"), F.sum("_r").alias("_r")
     ).select(
         F.lit("total").alias("section"),
         F.lit(None).cast("string").alias("var3"),

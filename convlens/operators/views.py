@@ -27,7 +27,8 @@ from convlens.functions.expr import (
     weekday_name,
 )
 
-VISITS = F.count(F.lit(1))
+def _visits() -> Column:
+    return F.count(F.lit(1))
 
 
 def _clicks() -> Column:
@@ -54,7 +55,7 @@ def hourly_rollup(visits: DataFrame, since: datetime, until: datetime | None = N
         .groupBy("hour_timestamp", "campaign_id", "country_code", "device", "campaign_name")
         .agg(
             F.max("visit_timestamp").alias("_last"),
-            VISITS.alias("visits"),
+            _visits().alias("visits"),
             _clicks().alias("clicks"),
             _conversions().alias("conversions"),
             F.sum("revenue").alias("revenue"),
@@ -102,7 +103,7 @@ def daily_summary(visits: DataFrame, as_of: datetime, *, days: int = 30) -> Data
             F.col("visit_timestamp").cast("date").alias("date"), "campaign_name", "country_code"
         )
         .agg(
-            VISITS.alias("visits"),
+            _visits().alias("visits"),
             _clicks().alias("clicks"),
             _conversions().alias("conversions"),
             money(F.sum("revenue")).alias("revenue"),
@@ -127,9 +128,9 @@ def hourly_patterns(
             "country_code",
         )
         .agg(
-            mean(F.sum("revenue"), VISITS).alias("avg_revenue"),
+            mean(F.sum("revenue"), _visits()).alias("avg_revenue"),
             rounded(F.stddev_samp(F.col("revenue").cast("double")), 6).alias("stddev_revenue"),
-            VISITS.alias("sample_count"),
+            _visits().alias("sample_count"),
         )
         .filter(F.col("sample_count") > min_samples)
     )
@@ -146,7 +147,7 @@ def realtime_cr(
         .agg(
             F.count_if(recent).alias("visits_1h"),
             F.count_if(recent & F.col("is_conversion")).alias("conv_1h"),
-            VISITS.alias("visits_24h"),
+            _visits().alias("visits_24h"),
             _conversions().alias("conv_24h"),
         )
         .filter(F.col("visits_24h") > min_visits)
@@ -167,7 +168,7 @@ def best_hours(
             F.hour("visit_timestamp").alias("hour"),
         )
         .agg(
-            VISITS.alias("visits"),
+            _visits().alias("visits"),
             _conversions().alias("conversions"),
             money(F.sum("revenue")).alias("revenue"),
         )
@@ -187,8 +188,8 @@ def hourly_heatmap(visits: DataFrame, as_of: datetime, *, days: int = 30) -> Dat
         )
         .agg(
             money(F.sum("revenue")).alias("total_revenue"),
-            mean(F.sum("revenue"), VISITS).alias("avg_revenue"),
-            VISITS.alias("visits"),
+            mean(F.sum("revenue"), _visits()).alias("avg_revenue"),
+            _visits().alias("visits"),
         )
     )
 
@@ -222,7 +223,7 @@ def country_trends(
         .groupBy("country_code")
         .agg(
             F.sum("revenue").alias("total_revenue"),
-            VISITS.alias("total_visits"),
+            _visits().alias("total_visits"),
             _conversions().alias("total_conversions"),
             F.coalesce(current, zero).alias("_current"),
             F.coalesce(previous, zero).alias("_previous"),
@@ -334,7 +335,7 @@ def campaign_saturation(
     daily = (
         visits.filter(trailing("visit_timestamp", as_of, days=days))
         .groupBy("campaign_id", "campaign_name", day.alias("date"))
-        .agg(mean(F.sum("revenue"), VISITS).alias("epv"))
+        .agg(mean(F.sum("revenue"), _visits()).alias("epv"))
     )
     slope = F.col("_slope")
     return (
@@ -366,7 +367,7 @@ def cr_by_segment(
         visits.filter(trailing("visit_timestamp", as_of, days=days))
         .groupBy("device", "country_code")
         .agg(
-            VISITS.alias("visits"),
+            _visits().alias("visits"),
             _conversions().alias("conversions"),
             F.sum("revenue").alias("_revenue"),
         )

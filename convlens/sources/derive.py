@@ -50,14 +50,28 @@ def _label(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
 
+# The columns of the events file, for readers that cannot ask it.
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string"
+)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_attributes(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as a stream of files."""
+    files = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events*.parquet")
+    return with_attributes(files.parquet(sf_dir))
+
+
+def with_attributes(frame: DataFrame) -> DataFrame:
     """Events with the tracker attributes of their user and ``props.k``."""
-    user = F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
-    frame = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("k", k)
-    k = F.col("k")
+    user, k = F.col("user_id"), F.col("k")
     isp = (user * 7 + k) % 12
-    return frame.withColumns(
+    return frame.withColumn("k", F.get_json_object("props", "$.k").cast("int")).withColumns(
         {
             "campaign_id": _label("c", user % 8),
             "campaign_name": _label("Campaign ", user % 8),
@@ -81,12 +95,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def visits_of(events: DataFrame) -> DataFrame:
     """One wide row per visit, with its click and conversion flags and its money."""
     kind = F.col("event_type")
     revenue = F.when(kind == "purchase", F.col("value").cast(MONEY)).otherwise(F.lit(0).cast(MONEY))
     cost = (F.col("amount") * F.lit("0.1").cast("decimal(2,1)")).cast(MONEY)
-    return events(spark, sf_dir).select(
+    return events.select(
         F.col("event_id").cast("string").alias("visit_id"),
         F.col("event_id").cast("string").alias("click_id"),
         F.col("ts").alias("visit_timestamp"),
@@ -99,10 +113,9 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def live_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def live_visits_of(events: DataFrame) -> DataFrame:
     return (
-        events(spark, sf_dir)
-        .filter(F.col("event_type").isin("view", "click"))
+        events.filter(F.col("event_type").isin("view", "click"))
         .select(
             F.col("event_id").cast("string").alias("click_id"),
             F.col("ts").alias("visit_timestamp"),
@@ -111,10 +124,9 @@ def live_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def live_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def live_clicks_of(events: DataFrame) -> DataFrame:
     return (
-        events(spark, sf_dir)
-        .filter(F.col("event_type") == "click")
+        events.filter(F.col("event_type") == "click")
         .select(
             F.col("event_id").cast("string").alias("click_id"),
             F.col("ts").alias("click_timestamp"),
@@ -123,16 +135,15 @@ def live_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def touches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def touches_of(events: DataFrame) -> DataFrame:
     """Views and clicks a conversion can be attributed to."""
     return (
-        events(spark, sf_dir)
-        .filter(F.col("event_type").isin("view", "click"))
+        events.filter(F.col("event_type").isin("view", "click"))
         .select("user_id", F.col("ts").alias("touch_timestamp"), F.col("event_id").alias("touch_id"))
     )
 
 
-def unattributed_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def unattributed_conversions_of(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     amount = F.col("amount")
     revenue = (
@@ -140,8 +151,7 @@ def unattributed_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).cast(MONEY)
     cost = (amount * F.lit("0.1").cast("decimal(2,1)")).cast(MONEY)
     return (
-        events(spark, sf_dir)
-        .filter(kind.isin("purchase", "signup"))
+        events.filter(kind.isin("purchase", "signup"))
         .select(
             "user_id",
             F.col("event_id").cast("string").alias("transaction_id"),
@@ -156,6 +166,26 @@ def unattributed_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return visits_of(events(spark, sf_dir))
+
+
+def live_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return live_visits_of(events(spark, sf_dir))
+
+
+def live_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return live_clicks_of(events(spark, sf_dir))
+
+
+def touches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return touches_of(events(spark, sf_dir))
+
+
+def unattributed_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unattributed_conversions_of(events(spark, sf_dir))
+
+
 def conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversions carrying the click they came from; ``orphan-…`` where there is none."""
     attributed = asof_last(
@@ -180,3 +210,20 @@ def conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "profit",
         *ATTRIBUTES,
     )
+
+
+def _raw_time(c: str) -> Column:
+    """Time text as the tracker's feeds write it: the 12-hour clock has no fractions."""
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def raw_rows(frame: DataFrame, fields: list[tuple[str, str]], times: list[tuple[str, str]]) -> DataFrame:
+    """Stored rows back as raw JSON text in ``value``, numbered by ``ingest_seq``."""
+    names = dict((column, key) for key, column in fields)
+    present = [F.col(c).alias(names[c]) for c in frame.columns if c in names]
+    clock = [_raw_time(column).alias(key) for key, column in times]
+    amounts = [F.col(c).cast("double").alias(c) for c in frame.columns if c in MONEY_KEYS]
+    return frame.select(F.to_json(F.struct(*present, *clock, *amounts)).alias("value"), "ingest_seq")
+
+
+MONEY_KEYS = ("revenue", "payout", "cost", "profit")
