@@ -254,27 +254,26 @@ def two_feature_patterns(
 def _ends(
     patterns: DataFrame, group: list[str], ties: list[str], *, beyond: float, keep: int
 ) -> DataFrame:
-    """Per group, the first ``keep`` patterns above +``beyond`` and the last ``keep`` below.
+    """Per group, the ``keep`` best patterns above +``beyond`` and the ``keep`` worst below.
 
-    "First" and "last" follow descending mean revenue. ``list_rank`` counts outwards in, so 1 is
-    the best SCALE and the worst BLOCK. The row_number filter prunes inside the map tasks.
+    ``list_rank`` 1 is the best to scale and the worst to block. One ranking serves both lists,
+    and its filter prunes inside the map tasks.
     """
-    action = F.when(F.col("deviation") > beyond, "SCALE").when(
-        F.col("deviation") < -beyond, "BLOCK"
+    average = F.col("avg_revenue")
+    merit = F.when(F.col("action") == "SCALE", -average).otherwise(average)
+    place = F.row_number().over(Window.partitionBy(*group, "action").orderBy(merit, *ties))
+    return (
+        patterns.withColumn("action", _action(beyond))
+        .filter(F.col("action").isNotNull())
+        .withColumn("list_rank", place)
+        .filter(F.col("list_rank") <= keep)
     )
-    marked = patterns.withColumn("action", action)
-
-    def ranked(name: str, *order: Column) -> DataFrame:
-        place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-        return (
-            marked.filter(F.col("action") == name)
-            .withColumn("list_rank", place)
-            .filter(F.col("list_rank") <= keep)
-        )
 
-    scale = ranked("SCALE", F.desc("avg_revenue"), *[F.asc(c) for c in ties])
-    block = ranked("BLOCK", F.asc("avg_revenue"), *[F.desc(c) for c in ties])
-    return scale.unionByName(block)
+
+def _action(beyond: float) -> Column:
+    return F.when(F.col("deviation") > beyond, "SCALE").when(
+        F.col("deviation") < -beyond, "BLOCK"
+    )
 
 
 def scale_block_lists(
@@ -327,17 +326,14 @@ def recommended_actions(
 ) -> DataFrame:
     """The patterns with the most revenue at stake, over all features together."""
     patterns = feature_patterns(conversions, min_samples=min_samples, var3=var3)
-
-    def biggest(kept: Column, action: str) -> DataFrame:
-        return (
-            patterns.filter(kept)
-            .orderBy(F.desc("total_revenue"), "feature", "value")
-            .limit(limit)
-            .withColumn("action", F.lit(action))
-        )
-
-    return biggest(F.col("deviation") > beyond, "SCALE").unionByName(
-        biggest(F.col("deviation") < -beyond, "BLOCK")
+    place = F.row_number().over(
+        Window.partitionBy("action").orderBy(F.desc("total_revenue"), "feature", "value")
+    )
+    return (
+        patterns.withColumn("action", _action(beyond))
+        .filter(F.col("action").isNotNull())
+        .withColumn("list_rank", place)
+        .filter(F.col("list_rank") <= limit)
     )
 
 

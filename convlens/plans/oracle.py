@@ -552,13 +552,12 @@ sql("two_feature_patterns", pairs_sql(15) + " SELECT * FROM patterns", CONVERSIO
 
 def ends_sql(group: str, ties: list[str], beyond: float, keep: int) -> str:
     up = ", ".join(ties)
-    down = ", ".join(f"{t} DESC" for t in ties)
     return f""" SELECT *, 'SCALE' AS action, CAST(row_number() OVER (
           PARTITION BY {group} ORDER BY avg_revenue DESC, {up}) AS INT) AS list_rank
       FROM patterns WHERE deviation > {beyond} QUALIFY list_rank <= {keep}
       UNION ALL
       SELECT *, 'BLOCK' AS action, CAST(row_number() OVER (
-          PARTITION BY {group} ORDER BY avg_revenue, {down}) AS INT) AS list_rank
+          PARTITION BY {group} ORDER BY avg_revenue, {up}) AS INT) AS list_rank
       FROM patterns WHERE deviation < -{beyond} QUALIFY list_rank <= {keep}"""
 
 
@@ -586,11 +585,11 @@ sql(
 sql(
     "recommended_actions",
     features_sql(SEGMENT_FEATURES, 30)
-    + """ SELECT * FROM (SELECT *, 'SCALE' AS action FROM patterns WHERE deviation > 30
-        ORDER BY total_revenue DESC, feature, value LIMIT 5)
-      UNION ALL
-      SELECT * FROM (SELECT *, 'BLOCK' AS action FROM patterns WHERE deviation < -30
-        ORDER BY total_revenue DESC, feature, value LIMIT 5)""",
+    + """ SELECT * FROM (
+        SELECT *, CAST(row_number() OVER (
+          PARTITION BY action ORDER BY total_revenue DESC, feature, value) AS INT) AS list_rank
+        FROM (SELECT *, CASE WHEN deviation > 30 THEN 'SCALE' ELSE 'BLOCK' END AS action
+              FROM patterns WHERE abs(deviation) > 30)) WHERE list_rank <= 5""",
     CONVERSIONS,
     CLEAN,
 )

@@ -13,44 +13,33 @@ from pyspark.sql import functions as F
 from convlens.functions.expr import MONEY
 from convlens.operators.asof import asof_last
 
-# Fixed values of the derived data.
-COUNTRIES = ["US", "GB", "DE", "FR", "BR", "IN", "JP"]  # the eighth code is NULL
-DEVICES = ["mobile", "desktop", "tablet"]
-DEVICE_FACTORS = ["1.5", "1.0", "0.3"]
-SYSTEMS = ["iOS", "Android", "Windows", "macOS"]
-BROWSERS = ["Chrome", "Safari", "Firefox", "Edge", "Edge"]
-
-ATTRIBUTES = [
-    "campaign_id",
-    "campaign_name",
-    "offer_id",
-    "offer_name",
-    "traffic_source_id",
-    "traffic_source_name",
-    "affiliate_network_id",
-    "affiliate_network_name",
-    "lander_id",
-    "lander_name",
-    "country_code",
-    "device",
-    "os",
-    "browser",
-    "isp",
-    "connection_type",
-    "custom_var_3",
-]
-
-
-def _pick(values: list[str], index: Column) -> Column:
-    """``values[index]``; NULL past the end."""
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
-
-
-def _label(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"))
-
-
-# The columns of the events file, for readers that cannot ask it.
+# Fixed values of the derived data, as Spark SQL over ``user_id``, ``k`` and ``value``. ``get``
+# gives NULL past the end of its array, which is the eighth country.
+ATTRIBUTE_SQL = {
+    "campaign_id": "concat('c', user_id % 8)",
+    "campaign_name": "concat('Campaign ', user_id % 8)",
+    "offer_id": "concat('o', user_id % 5)",
+    "offer_name": "concat('Offer ', user_id % 5)",
+    "traffic_source_id": "concat('t', user_id % 3)",
+    "traffic_source_name": "concat('Source ', user_id % 3)",
+    "affiliate_network_id": "concat('n', user_id % 2)",
+    "affiliate_network_name": "concat('Network ', user_id % 2)",
+    "lander_id": "concat('l', k % 4)",
+    "lander_name": "concat('Lander ', k % 4)",
+    "country_code": "get(array('US', 'GB', 'DE', 'FR', 'BR', 'IN', 'JP'), k % 8)",
+    "device": "get(array('mobile', 'desktop', 'tablet'), k % 3)",
+    "os": "get(array('iOS', 'Android', 'Windows', 'macOS'), k % 4)",
+    "browser": "get(array('Chrome', 'Safari', 'Firefox', 'Edge', 'Edge'), k % 5)",
+    "isp": "if((user_id * 7 + k) % 12 = 0, '', concat('ISP ', (user_id * 7 + k) % 12))",
+    "connection_type": "get(array('wifi', 'cellular'), k % 2)",
+    "custom_var_3": "if(user_id % 6 = 5, NULL, concat('v', user_id % 6))",
+}
+ATTRIBUTES = list(ATTRIBUTE_SQL)
+DEVICE_FACTOR = "get(array(1.5BD, 1.0BD, 0.3BD), k % 3)"
+MONEY_KEYS = ("revenue", "payout", "cost", "profit")
+
+
+# The columns of the events file, declared so that no reader opens it to ask.
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
     "props string"
@@ -58,7 +47,7 @@ EVENTS_SCHEMA = (
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_attributes(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return with_attributes(spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet"))
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,100 +58,64 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_attributes(frame: DataFrame) -> DataFrame:
     """Events with the tracker attributes of their user and ``props.k``."""
-    user, k = F.col("user_id"), F.col("k")
-    isp = (user * 7 + k) % 12
-    return frame.withColumn("k", F.get_json_object("props", "$.k").cast("int")).withColumns(
-        {
-            "campaign_id": _label("c", user % 8),
-            "campaign_name": _label("Campaign ", user % 8),
-            "offer_id": _label("o", user % 5),
-            "offer_name": _label("Offer ", user % 5),
-            "traffic_source_id": _label("t", user % 3),
-            "traffic_source_name": _label("Source ", user % 3),
-            "affiliate_network_id": _label("n", user % 2),
-            "affiliate_network_name": _label("Network ", user % 2),
-            "lander_id": _label("l", k % 4),
-            "lander_name": _label("Lander ", k % 4),
-            "country_code": _pick(COUNTRIES, k % 8),
-            "device": _pick(DEVICES, k % 3),
-            "os": _pick(SYSTEMS, k % 4),
-            "browser": _pick(BROWSERS, k % 5),
-            "isp": F.when(isp == 0, "").otherwise(_label("ISP ", isp)),
-            "connection_type": _pick(["wifi", "cellular"], k % 2),
-            "custom_var_3": F.when(user % 6 != 5, _label("v", user % 6)),
-            "amount": F.col("value").cast("decimal(12,2)"),
-        }
-    )
+    return frame.selectExpr(
+        "event_id",
+        "ts",
+        "user_id",
+        "event_type",
+        "value",
+        "cast(get_json_object(props, '$.k') as int) AS k",
+        "cast(value as decimal(12,2)) AS amount",
+    ).selectExpr("*", *[f"{sql} AS {name}" for name, sql in ATTRIBUTE_SQL.items()])
 
 
 def visits_of(events: DataFrame) -> DataFrame:
     """One wide row per visit, with its click and conversion flags and its money."""
-    kind = F.col("event_type")
-    revenue = F.when(kind == "purchase", F.col("value").cast(MONEY)).otherwise(F.lit(0).cast(MONEY))
-    cost = (F.col("amount") * F.lit("0.1").cast("decimal(2,1)")).cast(MONEY)
-    return events.select(
-        F.col("event_id").cast("string").alias("visit_id"),
-        F.col("event_id").cast("string").alias("click_id"),
-        F.col("ts").alias("visit_timestamp"),
-        kind.isin("click", "signup", "purchase").alias("is_click"),
-        (kind == "purchase").alias("is_conversion"),
-        revenue.alias("revenue"),
-        cost.alias("cost"),
-        (revenue - cost).cast(MONEY).alias("profit"),
+    return events.selectExpr(
+        "cast(event_id as string) AS visit_id",
+        "cast(event_id as string) AS click_id",
+        "ts AS visit_timestamp",
+        "event_type IN ('click', 'signup', 'purchase') AS is_click",
+        "event_type = 'purchase' AS is_conversion",
+        f"cast(if(event_type = 'purchase', value, 0D) as {MONEY}) AS revenue",
+        f"cast(amount * 0.1BD as {MONEY}) AS cost",
         *ATTRIBUTES,
-    )
+    ).withColumn("profit", (F.col("revenue") - F.col("cost")).cast(MONEY))
 
 
 def live_visits_of(events: DataFrame) -> DataFrame:
-    return (
-        events.filter(F.col("event_type").isin("view", "click"))
-        .select(
-            F.col("event_id").cast("string").alias("click_id"),
-            F.col("ts").alias("visit_timestamp"),
-            *ATTRIBUTES,
-        )
+    return events.filter("event_type IN ('view', 'click')").selectExpr(
+        "cast(event_id as string) AS click_id", "ts AS visit_timestamp", *ATTRIBUTES
     )
 
 
 def live_clicks_of(events: DataFrame) -> DataFrame:
-    return (
-        events.filter(F.col("event_type") == "click")
-        .select(
-            F.col("event_id").cast("string").alias("click_id"),
-            F.col("ts").alias("click_timestamp"),
-            *ATTRIBUTES,
-        )
+    return events.filter("event_type = 'click'").selectExpr(
+        "cast(event_id as string) AS click_id", "ts AS click_timestamp", *ATTRIBUTES
     )
 
 
 def touches_of(events: DataFrame) -> DataFrame:
     """Views and clicks a conversion can be attributed to."""
-    return (
-        events.filter(F.col("event_type").isin("view", "click"))
-        .select("user_id", F.col("ts").alias("touch_timestamp"), F.col("event_id").alias("touch_id"))
+    return events.filter("event_type IN ('view', 'click')").selectExpr(
+        "user_id", "ts AS touch_timestamp", "event_id AS touch_id"
     )
 
 
 def unattributed_conversions_of(events: DataFrame) -> DataFrame:
-    kind = F.col("event_type")
-    amount = F.col("amount")
-    revenue = (
-        amount * _pick(DEVICE_FACTORS, F.col("k") % 3).cast("decimal(2,1)")
-    ).cast(MONEY)
-    cost = (amount * F.lit("0.1").cast("decimal(2,1)")).cast(MONEY)
     return (
-        events.filter(kind.isin("purchase", "signup"))
-        .select(
+        events.filter("event_type IN ('purchase', 'signup')")
+        .selectExpr(
             "user_id",
-            F.col("event_id").cast("string").alias("transaction_id"),
-            F.col("ts").alias("postback_timestamp"),
-            F.when(kind == "purchase", "sale").otherwise("lead").alias("conversion_type"),
-            revenue.alias("revenue"),
-            (amount * F.lit("0.6").cast("decimal(2,1)")).cast(MONEY).alias("payout"),
-            cost.alias("cost"),
-            (revenue - cost).cast(MONEY).alias("profit"),
+            "cast(event_id as string) AS transaction_id",
+            "ts AS postback_timestamp",
+            "if(event_type = 'purchase', 'sale', 'lead') AS conversion_type",
+            f"cast(amount * {DEVICE_FACTOR} as {MONEY}) AS revenue",
+            f"cast(amount * 0.6BD as {MONEY}) AS payout",
+            f"cast(amount * 0.1BD as {MONEY}) AS cost",
             *ATTRIBUTES,
         )
+        .withColumn("profit", (F.col("revenue") - F.col("cost")).cast(MONEY))
     )
 
 
@@ -178,42 +131,29 @@ def live_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live_clicks_of(events(spark, sf_dir))
 
 
-def touches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return touches_of(events(spark, sf_dir))
-
-
-def unattributed_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unattributed_conversions_of(events(spark, sf_dir))
-
-
 def conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversions carrying the click they came from; ``orphan-…`` where there is none."""
+    rows = events(spark, sf_dir)
     attributed = asof_last(
-        unattributed_conversions(spark, sf_dir),
-        touches(spark, sf_dir),
+        unattributed_conversions_of(rows),
+        touches_of(rows),
         by="user_id",
         at="postback_timestamp",
         other_at="touch_timestamp",
         value="touch_id",
     )
-    return attributed.select(
-        F.coalesce(
-            F.col("touch_id").cast("string"), F.concat(F.lit("orphan-"), F.col("transaction_id"))
-        ).alias("click_id"),
+    return attributed.selectExpr(
+        "coalesce(cast(touch_id as string), concat('orphan-', transaction_id)) AS click_id",
         "transaction_id",
         "conversion_type",
         "postback_timestamp",
-        F.col("touch_timestamp").alias("visit_timestamp"),
-        "revenue",
-        "payout",
-        "cost",
-        "profit",
+        "touch_timestamp AS visit_timestamp",
+        *MONEY_KEYS,
         *ATTRIBUTES,
     )
 
 
 def _raw_time(c: str) -> Column:
-    """Time text as the tracker's feeds write it: the 12-hour clock has no fractions."""
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
@@ -224,6 +164,3 @@ def raw_rows(frame: DataFrame, fields: list[tuple[str, str]], times: list[tuple[
     clock = [_raw_time(column).alias(key) for key, column in times]
     amounts = [F.col(c).cast("double").alias(c) for c in frame.columns if c in MONEY_KEYS]
     return frame.select(F.to_json(F.struct(*present, *clock, *amounts)).alias("value"), "ingest_seq")
-
-
-MONEY_KEYS = ("revenue", "payout", "cost", "profit")
