@@ -304,11 +304,11 @@ def format_report_row(report: DataFrame) -> DataFrame:
         return F.format_number(F.col(c), 0)
 
     def dollars(c: str) -> Column:
-        # The sign goes behind the currency mark.
         return F.concat(F.lit("$"), F.format_number(F.col(c), 2))
 
     def percent(c: str, places: int) -> Column:
-        return F.concat(F.format_number(F.col(c), places), F.lit("%"))
+        exact = F.round(F.col(c).cast("decimal(18,4)"), places)
+        return F.concat(F.format_number(exact, places), F.lit("%"))
 
     parts = [
         ("Visits: ", whole("visits")),

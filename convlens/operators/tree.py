@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from convlens.functions.expr import money
+from convlens.functions.expr import minute_start, money
 from convlens.operators.median import grouped_median
 from convlens.operators.patterns import clean_conversions
 from convlens.runtime import cut
@@ -370,28 +370,34 @@ def segment_rules(conversions: DataFrame, *, keep: int | None = 5, **settings) -
     return SegmentTrees(conversions, **settings).rules(keep=keep)
 
 
-def numbered(rows: DataFrame, keys: list[str], row_id: str, *, buckets: int = 1024) -> DataFrame:
-    """Number the rows of each ``keys`` group from 0, without ordering a group in one task.
+def numbered(
+    rows: DataFrame, keys: list[str], at: str, row_id: str, *, bucket=minute_start
+) -> DataFrame:
+    """Number the rows of each ``keys`` group from 0 in (``at``, ``row_id``) order.
 
-    Rows fall into hash buckets of their id; a row's number is the size of its group's earlier
-    buckets plus its place in its own. ``buckets`` bounds the rows of the first window, and cuts
-    the second one into that many pieces per group.
+    No group is ordered in one task: a row's number is the size of its group's earlier time
+    buckets, known from one row per bucket, plus its place in its own bucket. Rows without a time
+    come first.
     """
-    placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(row_id), F.lit(buckets)).cast("int"))
-    sizes = placed.groupBy(*keys, "_bucket").agg(_count().alias("_size"))
+    first = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+    placed = rows.withColumn("_bucket", F.coalesce(bucket(at), first))
     earlier = (
         Window.partitionBy(*keys)
         .orderBy("_bucket")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = sizes.select(
-        *keys,
-        "_bucket",
-        F.coalesce(F.sum("_size").over(earlier), F.lit(0).cast("bigint")).alias("_start"),
+    starts = (
+        placed.groupBy(*keys, "_bucket")
+        .agg(_count().alias("_size"))
+        .select(
+            *keys,
+            "_bucket",
+            F.coalesce(F.sum("_size").over(earlier), F.lit(0).cast("bigint")).alias("_start"),
+        )
     )
-    place = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(row_id))
+    order = Window.partitionBy(*keys, "_bucket").orderBy(F.asc_nulls_first(at), row_id)
     return (
-        placed.withColumn("_place", place)
+        placed.withColumn("_place", F.row_number().over(order))
         .join(starts, [*keys, "_bucket"])
         .withColumn("number", F.col("_start") + F.col("_place") - 1)
         .drop("_bucket", "_place", "_start")
@@ -405,12 +411,13 @@ def tree_cv_accuracy(
     var3: str | None = None,
     max_depth: int = 4,
     min_leaf: int = 10,
+    at: str = "postback_timestamp",
     row_id: str = "transaction_id",
 ) -> DataFrame:
     """Mean stratified k-fold accuracy of each campaign's tree, k = min(5, n // 10 + 1).
 
-    Folds are dealt within (campaign, label), so each holds its share of both labels. The trees
-    of all folds grow together: the fold held out is one more group key of the cells.
+    Folds are dealt in time order within (campaign, label), so each holds its share of both labels.
+    The trees of all folds grow together: the fold held out is one more group key of the cells.
     """
     rows = clean_conversions(conversions, TREE_FEATURES).withColumnRenamed("custom_var_3", "var3")
     if var3 is not None:
@@ -424,12 +431,13 @@ def tree_cv_accuracy(
         "var3",
         "folds",
         *TREE_FEATURES,
+        at,
         row_id,
         (money("revenue") > F.col("median")).cast("int").alias("label"),
     )
     fold = F.pmod(F.col("number"), F.col("folds")).cast("int")
     cells = cut(
-        numbered(labelled, ["var3", "label"], row_id)
+        numbered(labelled, ["var3", "label"], at, row_id)
         .groupBy("var3", "folds", fold.alias("fold"), *TREE_FEATURES)
         .agg(_count().alias("n"), F.sum("label").alias("h"))
     )

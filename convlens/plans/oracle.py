@@ -802,52 +802,65 @@ def gini(h: str, size: str) -> str:
     return f"(2.0::DOUBLE * ({h}) * (({size}) - ({h})) / ({size}))"
 
 
-def tree_parts(depth: int = 4) -> list[str]:
-    """The four levels, one after another: where every conversion is, and each node's best split."""
+def grow_parts(keys: str, depth: int = 4) -> list[str]:
+    """The levels below ``at0``: every node's best split, then where every conversion goes."""
     picked = "CASE b.feature " + " ".join(f"WHEN '{f}' THEN a.{f}" for f in TREE_FEATURES) + " END"
-    parts = [
-        f"""at0 AS MATERIALIZED (
-      SELECT var3, {", ".join(TREE_FEATURES)}, CAST({dbl("revenue")} > m AS INT) AS h, 1 AS node
-      FROM rows JOIN medians ON custom_var_3 = var3 WHERE all_n >= 50)"""
-    ]
+    same = " AND ".join(f"a.{k.strip()} = b.{k.strip()}" for k in f"{keys}, node".split(","))
+    gain = f"{gini('hh', 'nn')} - {gini('hl', 'nl')} - {gini('hh - hl', 'nn - nl')}"
+    parts = []
     for level in range(depth):
         each = " UNION ALL ".join(
-            f"SELECT var3, node, '{f}' AS feature, {f} AS value, h FROM at{level} "
-            f"WHERE node >= {2**level}"
+            f"SELECT {keys}, node, '{f}' AS feature, {f} AS value, h FROM at{level} "
+            f"WHERE training AND node >= {2**level}"
             for f in TREE_FEATURES
         )
-        gain = f"{gini('hh', 'nn')} - {gini('hl', 'nl')} - {gini('hh - hl', 'nn - nl')}"
         parts.append(
             f"""split{level} AS MATERIALIZED (
       SELECT *, {gain} AS gain FROM (
-        SELECT var3, node, feature, value,
+        SELECT {keys}, node, feature, value,
           CAST(sum(n) OVER run AS BIGINT) AS nl, CAST(sum(h) OVER run AS BIGINT) AS hl,
           CAST(sum(n) OVER al AS BIGINT) AS nn, CAST(sum(h) OVER al AS BIGINT) AS hh,
           lead(value) OVER run AS next_value
-        FROM (SELECT var3, node, feature, value, count(*) AS n, sum(h) AS h FROM ({each}) GROUP BY ALL)
-        WINDOW run AS (PARTITION BY var3, node, feature ORDER BY value),
-               al AS (PARTITION BY var3, node, feature))
+        FROM (SELECT {keys}, node, feature, value, count(*) AS n, sum(h) AS h FROM ({each}) GROUP BY ALL)
+        WINDOW run AS (PARTITION BY {keys}, node, feature ORDER BY value),
+               al AS (PARTITION BY {keys}, node, feature))
       WHERE nl >= 10 AND nn - nl >= 10 AND nn >= 20 AND hh > 0 AND hh < nn AND {gain} > 1e-9
-      QUALIFY row_number() OVER (PARTITION BY var3, node
+      QUALIFY row_number() OVER (PARTITION BY {keys}, node
         ORDER BY CAST({gain} AS DECIMAL(30,9)) DESC, feature, value) = 1)"""
         )
         parts.append(
             f"""at{level + 1} AS MATERIALIZED (
       SELECT a.* REPLACE (CASE WHEN b.feature IS NULL THEN a.node
           WHEN {picked} <= b.value THEN a.node * 2 ELSE a.node * 2 + 1 END AS node)
-      FROM at{level} a LEFT JOIN split{level} b ON a.var3 = b.var3 AND a.node = b.node)"""
+      FROM at{level} a LEFT JOIN split{level} b ON {same})"""
         )
-    parts.append(
-        "splits AS MATERIALIZED ("
-        + " UNION ALL ".join(f"SELECT * FROM split{level}" for level in range(depth))
-        + ")"
-    )
-    parts.append(
-        f"""leaves AS MATERIALIZED (
+    return parts
+
+
+def tree_parts(depth: int = 4) -> list[str]:
+    """One tree per campaign, with its splits and leaves."""
+    start = f"""at0 AS MATERIALIZED (
+      SELECT var3, {", ".join(TREE_FEATURES)}, CAST({dbl("revenue")} > m AS INT) AS h, 1 AS node,
+        true AS training
+      FROM rows JOIN medians ON custom_var_3 = var3 WHERE all_n >= 50)"""
+    splits = " UNION ALL ".join(f"SELECT * FROM split{level}" for level in range(depth))
+    leaves = f"""leaves AS MATERIALIZED (
       SELECT var3, node, {n()} AS samples, CAST(sum(h) AS BIGINT) AS high_count
       FROM at{depth} GROUP BY 1, 2)"""
-    )
-    return parts
+    return [start, *grow_parts("var3", depth), f"splits AS MATERIALIZED ({splits})", leaves]
+
+
+def folds_part() -> str:
+    """Every conversion once per held-out fold: for testing in its own, for training elsewhere."""
+    return f"""at0 AS MATERIALIZED (
+      SELECT *, CAST(fold <> held_out AS BOOLEAN) AS training FROM (
+        SELECT *, unnest(range(folds)) AS held_out FROM (
+          SELECT *, (row_number() OVER (PARTITION BY var3, h
+              ORDER BY postback_timestamp NULLS FIRST, transaction_id) - 1) % folds AS fold
+          FROM (SELECT var3, {", ".join(TREE_FEATURES)}, postback_timestamp, transaction_id,
+                  CAST({dbl("revenue")} > m AS INT) AS h, 1 AS node,
+                  CAST(least(5, all_n // 10 + 1) AS INT) AS folds
+                FROM rows JOIN medians ON custom_var_3 = var3 WHERE all_n >= 50))))"""
 
 
 TREE = [CONVERSIONS, TREE_ROWS, MEDIANS, *tree_parts()]
@@ -905,6 +918,22 @@ sql(
       FROM rules WHERE high_pct > 60 OR high_pct < 40) WHERE rule_rank <= 5""",
     *TREE,
 )
+sql(
+    "tree_cv_accuracy",
+    """ SELECT var3, CAST(count(*) AS INT) AS folds,
+      CAST(round(CAST(avg(accuracy) AS DECIMAL(20,9)), 6) AS DOUBLE) AS cv_accuracy
+    FROM (SELECT var3, held_out,
+            avg(CAST((h = 1) = says_high AS INT)::DOUBLE) FILTER (WHERE NOT training) AS accuracy
+          FROM at4 JOIN (SELECT var3, held_out, node, sum(h) * 2 > count(*) AS says_high
+                         FROM at4 WHERE training GROUP BY 1, 2, 3) USING (var3, held_out, node)
+          GROUP BY 1, 2)
+    GROUP BY 1""",
+    CONVERSIONS,
+    TREE_ROWS,
+    MEDIANS,
+    folds_part(),
+    *grow_parts("var3, held_out"),
+)
 _ML = """SELECT custom_var_3 AS var3, count(*) AS n, sum(revenue) AS r,
     CAST(sum(revenue) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS mu
   FROM rows GROUP BY 1 HAVING count(*) >= 50"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
@@ -94,6 +95,8 @@ def upsert_table(
     if not table_exists(spark, path):
         batch.write.partitionBy(DAY).parquet(path)
         return
+    # Read three times below; what a lost executor held is read from the source again.
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     target = read_table(spark, path, schema)
     held = target.select(*keys, DAY).alias("t")
     wanted = batch.select(*keys).alias("b")
@@ -108,6 +111,7 @@ def upsert_table(
     if None in touched:
         inside = inside | F.col(DAY).isNull()
     _overwrite_days(upsert(target.filter(inside), batch, keys, keep=(DAY,)), path)
+    batch.unpersist()
 
 
 def expire_table(

@@ -233,14 +233,17 @@ def test_hot_join_key_is_cut_without_losing_rows(spark):
     assert [r["l"] for r in got.filter(~F.col("converted")).collect()] == [4]
 
 
-def test_numbering_is_gapless(spark):
-    rows = spark.range(1000).select(
-        F.col("id").cast("string").alias("id"), (F.col("id") % 3).alias("g")
-    )
-    got = defaultdict(list)
-    for r in tree.numbered(rows, ["g"], "id", buckets=16).collect():
-        got[r["g"]].append(r["number"])
-    assert {g: sorted(v) for g, v in got.items()} == {g: list(range(len(v))) for g, v in got.items()}
+def test_numbering_follows_the_order(spark):
+    rng = random.Random(2)
+    rows = [
+        (f"{i:03}", i % 3, None if i % 50 == 0 else AS_OF + timedelta(seconds=10 * rng.randrange(90)))
+        for i in range(600)
+    ]
+    frame = spark.createDataFrame(rows, "id string, g int, t timestamp_ntz")
+    got = {r["id"]: r["number"] for r in tree.numbered(frame, ["g"], "t", "id").collect()}
+    for g in range(3):
+        own = sorted((t is not None, t or AS_OF, i) for i, group, t in rows if group == g)
+        assert [got[i] for _, _, i in own] == list(range(len(own)))
 
 
 CONVERSION = (

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import statistics
 from collections import defaultdict
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -13,10 +14,11 @@ from pyspark.sql import functions as F
 from convlens.operators import tree
 from convlens.operators.tree import TREE_FEATURES, SegmentTrees
 
+START = datetime(2025, 1, 1)
 SCHEMA = (
     "transaction_id string, custom_var_3 string, "
     + ", ".join(f"{f} string" for f in TREE_FEATURES)
-    + ", revenue decimal(12,6)"
+    + ", revenue decimal(12,6), postback_timestamp timestamp_ntz"
 )
 
 
@@ -28,7 +30,8 @@ def make(seed, sizes):
         for _ in range(size):
             values = [f"{f[:2]}{rng.randrange(2 + i)}" for i, f in enumerate(TREE_FEATURES)]
             lean = 40 * (values[1] == "de1") - 30 * (values[5] in ("is0", "is4"))
-            rows.append((str(len(rows)), var3, *values, Decimal(100 + lean + rng.randrange(60))))
+            amount = Decimal(100 + lean + rng.randrange(60))
+            rows.append((str(len(rows)), var3, *values, amount, START + timedelta(seconds=len(rows))))
     return rows
 
 
@@ -71,8 +74,8 @@ def test_same_splits_as_recursion(grown, rows):
     want = {}
     for var3 in ("big", "mid"):
         own = [r for r in rows if r[1] == var3]
-        median = statistics.median([r[-1] for r in own])
-        labelled = [(r[2:8], int(r[-1] > median)) for r in own]
+        median = statistics.median([r[-2] for r in own])
+        labelled = [(r[2:8], int(r[-2] > median)) for r in own]
         want |= {(var3, node): info for node, info in recurse(labelled).items()}
     got = {
         (r["var3"], r["node"]): (r["samples"], r["high_count"], r["feature"], r["split_value"])
@@ -112,7 +115,7 @@ def test_rules_describe_leaves(grown):
 
 
 def test_equal_revenue_gives_a_root_and_no_rules(spark):
-    rows = [(str(i), "v", *[f"x{i % 3}"] * 6, Decimal(5)) for i in range(60)]
+    rows = [(str(i), "v", *[f"x{i % 3}"] * 6, Decimal(5), START) for i in range(60)]
     one = SegmentTrees(spark.createDataFrame(rows, SCHEMA))
     (root,) = one.nodes().collect()
     assert (root["node"], root["samples"], root["is_leaf"]) == (1, 60, True)
@@ -125,7 +128,7 @@ def test_rule_text_lists_three_values_of_the_campaign(spark):
     rows = []
     for i in range(160):
         value = f"a{i % 8}"
-        rows.append((str(i), "v", value, *["x"] * 5, Decimal(1 if value < "a5" else 9)))
+        rows.append((str(i), "v", value, *["x"] * 5, Decimal(1 if value < "a5" else 9), START))
     got = {r["type"]: r["rule"] for r in SegmentTrees(spark.createDataFrame(rows, SCHEMA)).rules().collect()}
     assert got == {
         "GOOD": "country_code IN (a5, a6, a7)",
