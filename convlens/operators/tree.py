@@ -8,7 +8,8 @@ cells. Each level is a fixed piece of relational work for every campaign and nod
     of splitting after each value -> best split per node -> route the cells.
 
 Values split in sorted order ("up to this value" against the rest). Cells and the chosen splits
-are checkpointed, so a level's plan does not contain the levels before it.
+are written tables, so a level's plan does not contain the levels before it, and routing the cells
+broadcasts the splits whenever their files are small.
 """
 
 from __future__ import annotations

@@ -335,3 +335,24 @@ def test_name_is_the_latest(spark):
     rows[1] = (*rows[1][:2], "Renamed", *rows[1][3:])
     got = report.performance_report(visits(spark, rows), AS_OF.date()).first()
     assert (got["name"], got["visits"]) == ("Renamed", 2)
+
+
+def test_views_answer_sql(spark, sf):
+    from convlens.plans.views import register_views
+    from convlens.sources import derive
+
+    as_of = datetime(2024, 1, 30, 22)
+    names = register_views(
+        spark,
+        as_of,
+        visits=derive.visits(spark, sf),
+        live_visits=derive.live_visits(spark, sf),
+        live_clicks=derive.live_clicks(spark, sf),
+        conversions=derive.conversions(spark, sf),
+    )
+    assert len(names) == 23
+    total = spark.sql("SELECT sum(visits) FROM daily_summary WHERE country_code = 'US'").first()[0]
+    rows = derive.visits(spark, sf).filter(X.trailing("visit_timestamp", as_of, days=30))
+    assert total == rows.filter("country_code = 'US'").count()
+    plan = spark.sql("SELECT click_id FROM visit_conversions WHERE device = 'mobile'")
+    assert plan.count() > 0
