@@ -45,6 +45,17 @@ def minute_start(ts: str | Column) -> Column:
     )
 
 
+def minute_number(ts: str | Column) -> Column:
+    """Whole minutes since the epoch."""
+    ts = col(ts)
+    day = F.unix_date(ts.cast("date")).cast("bigint")
+    return day * 1440 + F.hour(ts) * 60 + F.minute(ts)
+
+
+def micros_in_minute(ts: str | Column) -> Column:
+    return (F.date_part(F.lit("SECOND"), col(ts)) * 1_000_000).cast("bigint")
+
+
 def dow(ts: str | Column) -> Column:
     """Day of week with Sunday = 0."""
     return (F.dayofweek(col(ts)) - 1).cast("int")
@@ -80,12 +91,7 @@ def instant_to_utc(instant: Column) -> Column:
 def utc_to_instant(ts: str | Column) -> Column:
     """UTC ``timestamp_ntz`` to a zoned ``timestamp`` (event-time operators need that type)."""
     ts = col(ts)
-    day = F.unix_date(ts.cast("date")).cast("bigint")
-    whole = F.hour(ts) * 3600 + F.minute(ts) * 60
-    micros = F.date_part(F.lit("SECOND"), ts) * 1_000_000
-    return F.timestamp_micros(
-        (day * 86400 + whole.cast("bigint")) * 1_000_000 + micros.cast("bigint")
-    )
+    return F.timestamp_micros(minute_number(ts) * 60_000_000 + micros_in_minute(ts))
 
 
 def seconds_between(start: str | Column, end: str | Column) -> Column:

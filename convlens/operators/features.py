@@ -7,91 +7,96 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from convlens.functions.expr import dow, mean, minute_start, trailing, ts_lit
+from convlens.functions.expr import dow, micros_in_minute, minute_number, trailing, ts_lit
 
 
-def trailing_activity(
-    visits: DataFrame, *, short_hours: int = 1, long_hours: int = 24, bucket=minute_start
+def with_activity(
+    visits: DataFrame, *, short_hours: int = 1, long_hours: int = 24
 ) -> DataFrame:
-    """Campaign activity before each moment: one row per (campaign_id, visit_timestamp).
+    """Each visit with its campaign's activity before it.
 
     ``campaign_visits_1h`` counts the campaign's visits in the open interval (t - 1 h, t), and
     ``campaign_cr_24h`` is their conversion rate over (t - 24 h, t), NULL if there are none.
 
-    Both are differences of running totals: visits before t minus visits up to t - 1 h. A running
-    total over a whole campaign would put a dominant campaign in one task, so it is assembled from
-    two bounded pieces: the total of all earlier time buckets, computed on one row per bucket, and
-    the running total inside a (campaign, bucket) piece. Visits are first counted per distinct
-    (campaign, moment).
+    A range window per campaign would put a dominant campaign in one task. The timeline is cut
+    into (campaign, minute) pieces instead, and a piece holds all that its visits need:
+
+    * a carry row with the totals of the preceding 60 (or 1440) whole minutes, from a summary of
+      one row per campaign and minute;
+    * the visits themselves, counting +1 for those after them;
+    * narrow copies of the visits one hour (one day) older, which fall into the same place of the
+      minute and count -1: they are in the carry row but have left the interval.
+
+    Running sums of these signed counts are the answers, so one shuffle of the visits and of two
+    narrow copies does it, without a join.
     """
-    moments = visits.groupBy("campaign_id", "visit_timestamp").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("is_conversion").alias("hits")
-    )
-    ts = F.col("visit_timestamp")
+    minute, place = minute_number("visit_timestamp"), micros_in_minute("visit_timestamp")
     none = F.lit(0).cast("bigint")
+    one = F.lit(1).cast("bigint")
+    hit = F.when(F.col("is_conversion"), one).otherwise(none)
+
+    # Positions order a minute: the carry row, then at equal times leavers before visits.
+    timed = visits.withColumns({"_minute": minute, "_place": place * 2 + 1, "_hit": hit})
+    own = timed.withColumns({"_short": one, "_long": one, "_own": F.lit(True)})
 
-    def probe(kind: int, hours: int):
+    def leaving(hours: int, short, long, hits):
         return F.struct(
-            (ts - F.make_dt_interval(F.lit(0), F.lit(hours))).alias("at"),
-            F.lit(kind).alias("kind"),
-            none.alias("n"),
-            none.alias("hits"),
+            (F.col("_minute") + 60 * hours).alias("_minute"),
+            short.alias("_short"),
+            long.alias("_long"),
+            hits.alias("_hit"),
         )
 
-    here = F.struct(ts.alias("at"), F.lit(1).alias("kind"), F.col("n"), F.col("hits"))
-    points = moments.select(
+    leavers = timed.select(
         "campaign_id",
-        "visit_timestamp",
-        F.inline(F.array(here, probe(2, short_hours), probe(3, long_hours))),
-    ).withColumn("bucket", bucket("at"))
-
-    earlier = (
-        Window.partitionBy("campaign_id")
-        .orderBy("bucket")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        (F.col("_place") - 1).alias("_place"),
+        F.inline(
+            F.array(
+                leaving(short_hours, -one, none, none),
+                leaving(long_hours, none, -one, -F.col("_hit")),
+            )
+        ),
     )
-    base = (
-        points.groupBy("campaign_id", "bucket")
-        .agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+
+    def preceding(hours: int):
+        return Window.partitionBy("campaign_id").orderBy("_minute").rangeBetween(-60 * hours, -1)
+
+    carry = (
+        timed.groupBy("campaign_id", "_minute")
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum("_hit").alias("_hits"))
         .select(
             "campaign_id",
-            "bucket",
-            F.col("bucket").alias("at"),
-            F.lit(0).alias("kind"),
-            F.coalesce(F.sum("n").over(earlier), none).alias("n"),
-            F.coalesce(F.sum("hits").over(earlier), none).alias("hits"),
+            "_minute",
+            F.lit(-1).cast("bigint").alias("_place"),
+            F.coalesce(F.sum("_n").over(preceding(short_hours)), none).alias("_short"),
+            F.coalesce(F.sum("_n").over(preceding(long_hours)), none).alias("_long"),
+            F.coalesce(F.sum("_hits").over(preceding(long_hours)), none).alias("_hit"),
         )
     )
-    # At equal times the base comes first and probes come after the visits they must include.
-    within = (
-        Window.partitionBy("campaign_id", "bucket")
-        .orderBy("at", "kind")
-        .rowsBetween(Window.unboundedPreceding, 0)
+
+    # Everything at a smaller position: simultaneous visits share a position and do not count.
+    before = (
+        Window.partitionBy("campaign_id", "_minute")
+        .orderBy("_place")
+        .rangeBetween(Window.unboundedPreceding, -1)
     )
-    running = (
-        points.unionByName(base, allowMissingColumns=True)
-        .select(
-            "campaign_id",
-            "visit_timestamp",
-            "kind",
-            # A visit does not count itself nor its simultaneous peers.
-            (F.sum("n").over(within) - F.when(F.col("kind") == 1, F.col("n")).otherwise(none)).alias("n"),
-            (
-                F.sum("hits").over(within)
-                - F.when(F.col("kind") == 1, F.col("hits")).otherwise(none)
-            ).alias("hits"),
+    shared = {"allowMissingColumns": True}
+    return (
+        own.unionByName(leavers, **shared)
+        .unionByName(carry, **shared)
+        .withColumns(
+            {
+                "campaign_visits_1h": F.sum("_short").over(before),
+                "_n": F.sum("_long").over(before),
+                "_hits": F.sum("_hit").over(before),
+            }
         )
-        .filter(F.col("kind") > 0)
-    )
-
-    def total(kind: int, measure: str):
-        return F.max(F.when(F.col("kind") == kind, F.col(measure)))
-
-    return running.groupBy("campaign_id", "visit_timestamp").agg(
-        (total(1, "n") - total(2, "n")).alias("campaign_visits_1h"),
-        mean(total(1, "hits") - total(3, "hits"), total(1, "n") - total(3, "n")).alias(
-            "campaign_cr_24h"
-        ),
+        .filter(F.col("_own"))
+        .withColumn(
+            "campaign_cr_24h",
+            F.col("_hits").cast("double") / F.nullif(F.col("_n").cast("double"), F.lit(0.0)),
+        )
+        .select(*visits.columns, "campaign_visits_1h", "campaign_cr_24h")
     )
 
 
@@ -106,14 +111,19 @@ def ml_features(
     history = visits.filter(
         (F.col("visit_timestamp") > ts_lit(as_of - timedelta(days=days, hours=long_hours)))
         & (F.col("visit_timestamp") <= ts_lit(as_of))
+    ).select(
+        "visit_id",
+        "campaign_id",
+        "visit_timestamp",
+        "country_code",
+        "device",
+        "os",
+        "browser",
+        "connection_type",
+        "is_conversion",
     )
-    activity = trailing_activity(
-        history.select("campaign_id", "visit_timestamp", "is_conversion"),
-        short_hours=short_hours,
-        long_hours=long_hours,
-    )
-    described = visits.filter(trailing("visit_timestamp", as_of, days=days))
-    return described.join(activity, ["campaign_id", "visit_timestamp"]).select(
+    active = with_activity(history, short_hours=short_hours, long_hours=long_hours)
+    return active.filter(trailing("visit_timestamp", as_of, days=days)).select(
         "visit_id",
         "campaign_id",
         F.hour("visit_timestamp").alias("hour"),
