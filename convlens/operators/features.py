@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from convlens.functions.expr import dow, micros_in_minute, minute_number, trailing, ts_lit
+from convlens.functions.expr import dow, minute_number, trailing, ts_lit
 
 
 def with_activity(
@@ -24,24 +24,27 @@ def with_activity(
     * a carry row with the totals of the preceding 60 (or 1440) whole minutes, from a summary of
       one row per campaign and minute;
     * the visits themselves, counting +1 for those after them;
-    * narrow copies of the visits one hour (one day) older, which fall into the same place of the
-      minute and count -1: they are in the carry row but have left the interval.
+    * narrow copies of the visits one hour (one day) older, moved to the moment they leave the
+      interval, where they count -1: the carry row still includes them.
 
     Running sums of these signed counts are the answers, so one shuffle of the visits and of two
     narrow copies does it, without a join.
     """
-    minute, place = minute_number("visit_timestamp"), micros_in_minute("visit_timestamp")
     none = F.lit(0).cast("bigint")
     one = F.lit(1).cast("bigint")
     hit = F.when(F.col("is_conversion"), one).otherwise(none)
-
-    # Positions order a minute: the carry row, then at equal times leavers before visits.
-    timed = visits.withColumns({"_minute": minute, "_place": place * 2 + 1, "_hit": hit})
+    at = F.col("visit_timestamp")
+    timed = visits.withColumns({"_minute": minute_number(at), "_at": at, "_hit": hit})
     own = timed.withColumns({"_short": one, "_long": one, "_own": F.lit(True)})
 
+    # A visit has left when it is exactly as old as the interval; the sums below take what is
+    # strictly earlier, hence the microsecond.
+    tick = F.expr("interval '0.000001' second")
+
     def leaving(hours: int, short, long, hits):
         return F.struct(
             (F.col("_minute") + 60 * hours).alias("_minute"),
+            (F.col("_at") + F.make_dt_interval(F.lit(0), F.lit(hours)) - tick).alias("_at"),
             short.alias("_short"),
             long.alias("_long"),
             hits.alias("_hit"),
@@ -49,7 +52,6 @@ def with_activity(
 
     leavers = timed.select(
         "campaign_id",
-        (F.col("_place") - 1).alias("_place"),
         F.inline(
             F.array(
                 leaving(short_hours, -one, none, none),
@@ -63,32 +65,35 @@ def with_activity(
 
     carry = (
         timed.groupBy("campaign_id", "_minute")
-        .agg(F.count(F.lit(1)).alias("_n"), F.sum("_hit").alias("_hits"))
+        .agg(
+            F.count(F.lit(1)).alias("_n"), F.sum("_hit").alias("_hits"), F.min("_at").alias("_at")
+        )
         .select(
             "campaign_id",
             "_minute",
-            F.lit(-1).cast("bigint").alias("_place"),
+            (F.col("_at") - F.expr("interval '1' minute")).alias("_at"),
             F.coalesce(F.sum("_n").over(preceding(short_hours)), none).alias("_short"),
             F.coalesce(F.sum("_n").over(preceding(long_hours)), none).alias("_long"),
             F.coalesce(F.sum("_hits").over(preceding(long_hours)), none).alias("_hit"),
         )
     )
 
-    # Everything at a smaller position: simultaneous visits share a position and do not count.
-    before = (
-        Window.partitionBy("campaign_id", "_minute")
-        .orderBy("_place")
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
+    def before(measure: str):
+        """Sum of what is strictly earlier in the piece; simultaneous visits do not count."""
+        return F.expr(
+            f"sum({measure}) OVER (PARTITION BY campaign_id, _minute ORDER BY _at "
+            "RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL '0.000001' SECOND PRECEDING)"
+        )
+
     shared = {"allowMissingColumns": True}
     return (
         own.unionByName(leavers, **shared)
         .unionByName(carry, **shared)
         .withColumns(
             {
-                "campaign_visits_1h": F.sum("_short").over(before),
-                "_n": F.sum("_long").over(before),
-                "_hits": F.sum("_hit").over(before),
+                "campaign_visits_1h": before("_short"),
+                "_n": before("_long"),
+                "_hits": before("_hit"),
             }
         )
         .filter(F.col("_own"))
