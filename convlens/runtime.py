@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,24 +10,19 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``.
+    """The session's ``spark.checkpoint.dir``, else a folder below its warehouse.
 
-    Only a local session may go without: it gets a temporary folder of its own. On a cluster a
-    machine-local folder would be lost with its machine, so a missing setting is an error.
+    Every executor can reach either; a machine-local folder would be lost with its machine.
     """
-    configured = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING, None)
+    configured = spark.conf.get(SETTING, None)
     if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="convlens-")
-    spark.conf.set(SETTING, folder)
-    return folder
+        return configured.rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(frame: DataFrame) -> DataFrame:
