@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convlens.llm.components import components
-from convlens.llm.text import LOWER, Words, chunks, distinct, raw, windows, words
+from convlens.llm.text import LOWER, Words, chunks, distinct, raw, translated, windows, words
 from convlens.runtime import cut
 
 #: Bytes of text that one counting segment stands for, which bounds what a task counts at once.
@@ -74,7 +74,7 @@ def _count_chunks(size: int, segments: int):
         part = TaskContext.get().partitionId()
         for number, chunk in enumerate(chunks(batches)):
             data, bounds = raw(chunk.column("text"))
-            sets = shingle_sets(words(LOWER[data], bounds), size)
+            sets = shingle_sets(words(translated(data, LOWER), bounds), size)
             sizes = np.fromiter(map(len, sets), np.int32, len(sets))
             grams = np.concatenate(sets)
             order = np.argsort(grams)
@@ -170,7 +170,7 @@ def _node_sets(size: int):
 
 def _lowered(chunk: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     data, bounds = raw(chunk.column("text"))
-    return LOWER[data], bounds
+    return translated(data, LOWER), bounds
 
 
 def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
