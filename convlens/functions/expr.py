@@ -12,7 +12,7 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(12,6)"
+MONEY = "decimal(18,6)"
 
 # Names of dow 0..6.
 WEEKDAYS = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]

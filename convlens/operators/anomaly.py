@@ -4,26 +4,45 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convlens.functions.expr import hour_start, pct, rounded, trailing
 
+# Every operator that takes ``visits`` here also takes visits counted by campaign, hour and step, as
+# the streaming job stores them: columns ``until`` (the step's end), ``hour``, ``visits`` and
+# ``conversions`` instead of one row per visit. For an ``as_of`` on a step boundary both agree.
+
+
+def _at(rows: DataFrame) -> str:
+    return "until" if "until" in rows.columns else "visit_timestamp"
+
+
+def _visits(rows: DataFrame) -> Column:
+    return F.sum("visits") if "until" in rows.columns else F.count(F.lit(1))
+
+
+def _conversions(rows: DataFrame) -> Column:
+    return F.sum("conversions") if "until" in rows.columns else F.count_if("is_conversion")
+
+
+def _hour(rows: DataFrame) -> Column:
+    return F.col("hour") if "until" in rows.columns else hour_start("visit_timestamp")
+
 
 def cr_baseline(
     visits: DataFrame, as_of: datetime, *, days: int = 7, min_visits: int = 100
 ) -> DataFrame:
     """Mean and sample deviation of the per-visit conversion flag, per campaign.
 
-    For a 0/1 flag both follow from two counts, so the baseline is an integer aggregation that
-    can be stored and merged; ``stream_alerts`` joins micro-batches to it.
+    For a 0/1 flag both follow from two counts, so the baseline is an integer aggregation.
     """
     n = F.col("visits").cast("double")
     hits = F.col("conversions").cast("double")
     return (
-        visits.filter(trailing("visit_timestamp", as_of, days=days))
+        visits.filter(trailing(_at(visits), as_of, days=days))
         .groupBy("campaign_id", "campaign_name")
-        .agg(F.count(F.lit(1)).alias("visits"), F.count_if("is_conversion").alias("conversions"))
+        .agg(_visits(visits).alias("visits"), _conversions(visits).alias("conversions"))
         .filter(F.col("visits") > min_visits)
         .withColumn("avg_cr", hits / n)
         .withColumn("stddev_cr", F.when(n > 1, F.sqrt((hits - hits * hits / n) / (n - 1))))
@@ -35,9 +54,9 @@ def cr_current(
 ) -> DataFrame:
     """Conversion rate of the latest hours, per campaign."""
     return (
-        visits.filter(trailing("visit_timestamp", as_of, hours=hours))
+        visits.filter(trailing(_at(visits), as_of, hours=hours))
         .groupBy("campaign_id")
-        .agg(F.count(F.lit(1)).alias("_n"), F.count_if("is_conversion").alias("_hits"))
+        .agg(_visits(visits).alias("_n"), _conversions(visits).alias("_hits"))
         .filter(F.col("_n") > min_visits)
         .select(
             "campaign_id",
@@ -131,9 +150,9 @@ def low_traffic_hours(
 ) -> DataFrame:
     """Hours of the last day that stay below ``ratio`` of their campaign's hourly mean."""
     hourly = (
-        visits.filter(trailing("visit_timestamp", as_of, hours=hours))
-        .groupBy("campaign_id", "campaign_name", hour_start("visit_timestamp").alias("hour"))
-        .agg(F.count(F.lit(1)).alias("visits"))
+        visits.filter(trailing(_at(visits), as_of, hours=hours))
+        .groupBy("campaign_id", "campaign_name", _hour(visits).alias("hour"))
+        .agg(_visits(visits).alias("visits"))
     )
     # The window sees hourly rows, not visits: about 25 per campaign.
     usual = F.avg("visits").over(Window.partitionBy("campaign_id"))
@@ -148,32 +167,30 @@ def check_alerts(
     *,
     traffic_hours: int = 24,
     ratio: float = 0.3,
-    limit: int = 10,
+    limit: int | None = 10,
     **anomaly,
 ) -> DataFrame:
-    """Traffic and conversion-rate alerts, ``limit`` of each kind.
+    """Traffic and conversion-rate alerts, ``limit`` of each kind (all of them without one).
 
     A traffic alert may concern any hour of the last day; ``hour`` says which. Worst come first,
     so the limit keeps the most severe. ``anomaly`` takes the arguments of :func:`anomaly_cr`.
     """
     drop = pct(F.col("avg_visits") - F.col("visits"), "avg_visits", 0)
-    traffic = (
-        low_traffic_hours(visits, as_of, hours=traffic_hours, ratio=ratio)
-        .withColumn("_drop", drop)
-        .orderBy(F.desc("_drop"), "campaign_name", "hour")
-        .limit(limit)
-        .select(
-            F.lit("traffic_drop").alias("alert_type"),
-            "campaign_name",
-            F.format_string(
-                "Traffic dropped %d%% in last hour", F.col("_drop").cast("bigint")
-            ).alias("message"),
-            F.lit("warning").alias("severity"),
-            "hour",
-        )
+    drops = low_traffic_hours(visits, as_of, hours=traffic_hours, ratio=ratio).withColumn("_drop", drop)
+    rates = anomaly_cr(visits, as_of, **anomaly)
+    if limit is not None:
+        drops = drops.orderBy(F.desc("_drop"), "campaign_name", "hour").limit(limit)
+        rates = rates.limit(limit)
+    traffic = drops.select(
+        F.lit("traffic_drop").alias("alert_type"),
+        "campaign_name",
+        F.format_string("Traffic dropped %d%% in last hour", F.col("_drop").cast("bigint")).alias(
+            "message"
+        ),
+        F.lit("warning").alias("severity"),
+        "hour",
     )
-    rates = cr_alerts(anomaly_cr(visits, as_of, **anomaly).limit(limit))
-    return traffic.unionByName(rates)
+    return traffic.unionByName(cr_alerts(rates))
 
 
 def cr_alerts(anomalies: DataFrame) -> DataFrame:

@@ -22,10 +22,15 @@ def _parsed(raw: DataFrame, schema: StructType, column: str) -> tuple[DataFrame,
 
 
 def _amount(key: str) -> Column:
-    """Missing, unreadable and zero amounts are all 0."""
+    """Missing amounts are 0; so are unreadable ones, whose text :func:`unread_amount` keeps."""
     return F.coalesce(F.col(key).try_cast(MONEY), F.lit(0).cast(MONEY))
 
 
+def unread_amount(key: str) -> Column:
+    """The text of an amount that is no number, or too large to be held, else NULL."""
+    return F.when(F.col(key).try_cast(MONEY).isNull(), nonempty(key))
+
+
 def _normalize(raw, column, schema, fields, times, amounts=()) -> DataFrame:
     rows, others = _parsed(raw, schema, column)
     return rows.select(
@@ -33,6 +38,7 @@ def _normalize(raw, column, schema, fields, times, amounts=()) -> DataFrame:
         *[parse_event_ts(f"_r.{key}").alias(name) for key, name in times],
         *[_amount(f"_r.{key}").alias(key) for key in amounts],
         *[unparsed_ts(f"_r.{key}").alias(f"{name}_raw") for key, name in times],
+        *[unread_amount(f"_r.{key}").alias(f"{key}_raw") for key in amounts],
         F.col(column).alias("raw_data"),
         *others,
     )
@@ -48,7 +54,7 @@ def normalize_clicks(raw: DataFrame, column: str = "value") -> DataFrame:
 
 
 def normalize_conversions(raw: DataFrame, column: str = "value") -> DataFrame:
-    """Raw conversions to stored rows; missing amounts are 0."""
+    """Raw conversions to stored rows; missing amounts are 0, unreadable ones are kept as text too."""
     return _normalize(
         raw,
         column,
@@ -84,6 +90,7 @@ def normalize_visits_fallback(raw: DataFrame, column: str = "value") -> DataFram
             for name, keys in S.VISIT_ALTERNATE_TIMES.items()
         ],
         *[_amount(f"_r.{key}").alias(key) for key in ("cost", "revenue", "profit")],
+        *[unread_amount(f"_r.{key}").alias(f"{key}_raw") for key in ("cost", "revenue", "profit")],
         flag("isClick").alias("is_click"),
         (flag("isConversion") | counted).alias("is_conversion"),
         F.col(column).alias("raw_data"),
@@ -113,6 +120,7 @@ def normalize_conversions_fallback(
         visited.alias("visit_timestamp"),
         (converted - visited).alias("time_to_convert"),
         *[_amount(f"_r.{key}").alias(key) for key in ("revenue", "payout")],
+        *[unread_amount(f"_r.{key}").alias(f"{key}_raw") for key in ("revenue", "payout")],
         F.col(column).alias("raw_data"),
         *others,
     )

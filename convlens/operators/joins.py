@@ -10,67 +10,13 @@ from pyspark.sql import functions as F
 from convlens.functions.expr import money, or_unknown, pct, seconds_between, trailing
 
 
-def hot_keys(
-    frame: DataFrame, key: str, *, share: int = 1000, min_rows: int = 100_000
-) -> DataFrame:
-    """Keys holding more than 1/``share`` of the rows, and how many pieces each should be cut into.
-
-    Fewer than ``share`` keys can pass that test, so the result is bounded whatever the input is.
-    Below ``min_rows`` rows per key cutting is not worth it and the result is empty.
-    """
-    counts = frame.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    fair = F.greatest(
-        F.ceil(counts.agg(F.sum("_n").alias("n")).scalar() / share), F.lit(min_rows)
-    )
-    return counts.filter(F.col("_n") > fair).select(
-        key, F.ceil(F.col("_n") / fair).cast("int").alias("_pieces")
-    )
-
+def visit_conversions(live_visits: DataFrame, conversions: DataFrame) -> DataFrame:
+    """Every visit beside each of its conversions (one row per conversion, or one without).
 
-def salted_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    spread: str,
-    *,
-    share: int = 1000,
-    min_rows: int = 100_000,
-) -> DataFrame:
-    """``left LEFT JOIN right USING (key)`` where one key may own much of ``right``.
-
-    AQE may only split the preserved side of an outer join, so a hot key on the right would be one
-    task. Here a hot key's right rows are dealt over several pieces by a hash of ``spread``, and
-    its left rows are repeated once per piece; both sides learn the pieces from the bounded
-    :func:`hot_keys` list. A repeated left row that meets no right row in its piece is dropped:
-    the key has right rows, so it matches in another piece and nothing is lost. With no hot keys
-    the list is empty and this is a plain join.
+    A left join may only be split on its left, so a click that owns much of the conversions would be
+    one task. The matching rows come from an inner join, which can be split on either side, and the
+    others from an anti join with the distinct clicks.
     """
-    hot = F.broadcast(hot_keys(right, key, share=share, min_rows=min_rows))
-    pieces = F.coalesce(F.col("_pieces"), F.lit(1))
-    dealt = (
-        right.join(hot, key, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(spread), pieces).cast("int"))
-        .drop("_pieces")
-        .withColumn("_hit", F.lit(True))
-    )
-    repeated = (
-        left.join(hot, key, "left")
-        .withColumn("_cut", F.col("_pieces").isNotNull())
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
-        .drop("_pieces")
-    )
-    return (
-        repeated.join(dealt, [key, "_salt"], "left")
-        .filter(~F.col("_cut") | F.col("_hit").isNotNull())
-        .withColumn("converted", F.col("_hit").isNotNull())
-        .drop("_salt", "_cut", "_hit")
-    )
-
-
-def visit_conversions(
-    live_visits: DataFrame, conversions: DataFrame, *, share: int = 1000, min_rows: int = 100_000
-) -> DataFrame:
-    """Every visit beside each of its conversions (one row per conversion, or one without)."""
     optional = ["custom_var_1", "custom_var_2"]
     visit = live_visits.select(
         "click_id",
@@ -95,9 +41,10 @@ def visit_conversions(
         "offer_name",
         "transaction_id",
     )
-    return salted_left_join(
-        visit, conversion, "click_id", "transaction_id", share=share, min_rows=min_rows
-    )
+    matched = visit.join(conversion, "click_id").withColumn("converted", F.lit(True))
+    clicks = conversion.select("click_id").distinct()
+    others = visit.join(clicks, "click_id", "left_anti").withColumn("converted", F.lit(False))
+    return matched.unionByName(others, allowMissingColumns=True)
 
 
 def _conversion_rates(
@@ -121,7 +68,7 @@ def _conversion_rates(
         .agg(
             F.count(F.lit(1)).alias("visits"),
             F.count("_converted").alias("conversions"),
-            money(F.coalesce(F.sum("_revenue"), F.lit(0).cast("decimal(32,6)"))).alias("revenue"),
+            money(F.coalesce(F.sum("_revenue"), F.lit(0).cast("decimal(38,6)"))).alias("revenue"),
         )
         .filter(F.col("visits") > min_visits)
         .withColumn("cr", pct("conversions", "visits"))

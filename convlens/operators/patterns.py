@@ -45,7 +45,7 @@ def recent_conversions(conversions: DataFrame, as_of: datetime, *, days: int = 3
 
 
 def clean_conversions(conversions: DataFrame, features: list[str] = ()) -> DataFrame:
-    """Unreadable revenue becomes 0; a missing campaign variable or ``features`` value 'unknown'."""
+    """Unreadable revenue becomes 0 (see ``unread_amount``); a missing campaign variable or ``features`` value 'unknown'."""
     filled = {c: F.coalesce(c, F.lit("unknown")) for c in ("custom_var_3", *features)}
     revenue = F.coalesce(F.col("revenue").try_cast(MONEY), F.lit(0).cast(MONEY))
     return conversions.withColumns({**filled, "revenue": revenue})
@@ -105,7 +105,7 @@ def conversion_totals(conversions: DataFrame, live_visits: DataFrame) -> DataFra
     tracked = live_visits.agg(_count().alias("n")).scalar()
     return conversions.agg(
         _count().alias("total_conversions"),
-        F.coalesce(F.sum(money_or_zero("revenue")), F.lit(0).cast("decimal(22,6)")).alias("_r"),
+        F.coalesce(F.sum(money_or_zero("revenue")), F.lit(0).cast("decimal(28,6)")).alias("_r"),
     ).select(
         "total_conversions",
         money("_r").alias("total_revenue"),
@@ -409,7 +409,7 @@ def patterns_by_var3(
     return patterns.select(
         "var3",
         F.initcap(F.replace("feature", F.lit("_"), F.lit(" "))).alias("dimension"),
-        F.substring("value", 1, 30).alias("value"),
+        "value",
         "conversions",
         "avg_revenue",
         "total_revenue",

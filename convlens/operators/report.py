@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convlens.functions.expr import (
@@ -142,7 +142,8 @@ def performance_report(
 ) -> DataFrame:
     """Metrics per value of one dimension (the top ``limit`` by ``sort_by``) and a total row.
 
-    The total covers every value, also those beyond the limit; it is summed from the grouped rows.
+    The total covers every value, also those beyond the limit: grouping sets add up the grouped rows
+    once per value and once in all, so the visits are scanned a single time.
     ``tz`` applies to the day bounds and to the day, hour and weekday dimensions alike.
     """
     if sort_by not in METRICS:
@@ -150,15 +151,27 @@ def performance_report(
     first, last = report_days(today, from_date, to_date, days_back)
     groups = _grouped(visits, group_by, first, last, tz, filters)
     order = F.desc_nulls_last(sort_by) if descending else F.asc_nulls_last(sort_by)
-    rows = _with_rates(groups, "dimension", "name").orderBy(order, "dimension").limit(limit)
-    totals = _with_rates(
-        groups.agg(
-            *[F.sum(c).alias(c) for c in ("visits", "clicks", "conversions")],
-            *[F.sum(c).alias(c) for c in ("revenue", "cost", "profit")],
-        )
-    ).select(F.lit(None).cast("string").alias("dimension"), F.lit("total").alias("name"), *METRICS)
-    return rows.withColumn("row_type", F.lit("group")).unionByName(
-        totals.withColumn("row_type", F.lit("total"))
+    value = F.col("dimension")
+    sums = groups.groupingSets([[value], []], value).agg(
+        F.grouping("dimension").alias("_total"),
+        F.max("name").alias("_name"),
+        *[F.sum(c).alias(c) for c in ("visits", "clicks", "conversions")],
+        *[F.sum(c).alias(c) for c in ("revenue", "cost", "profit")],
+    )
+    named = sums.withColumns(
+        {
+            "name": F.when(F.col("_total") == 1, "total").otherwise(F.col("_name")),
+            "row_type": F.when(F.col("_total") == 1, "total").otherwise("group"),
+        }
+    )
+    # The limit counts group rows only; it is applied in the map tasks first.
+    place = F.row_number().over(Window.partitionBy("row_type").orderBy(order, "dimension"))
+    return (
+        _with_rates(named, "dimension", "name", "row_type")
+        .withColumn("_place", place)
+        .filter(F.col("_place") <= limit)
+        .orderBy("row_type", "_place")
+        .select("dimension", "name", *METRICS, "row_type")
     )
 
 

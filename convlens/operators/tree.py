@@ -38,11 +38,11 @@ def _eligible(n: Column, min_samples: int) -> Column:
 def high_revenue_label(conversions: DataFrame) -> DataFrame:
     """Each conversion with its campaign's median revenue and whether it earns more.
 
-    The medians are one row per campaign variable; AQE broadcasts them when they turn out small
-    and splits a dominant campaign's partition when they do not.
+    The medians are one row per campaign variable. As a written table of known size they are
+    broadcast when small; when not, a dominant campaign's partition is split.
     """
     rows = clean_conversions(conversions, TREE_FEATURES)
-    medians = grouped_median(rows, ["custom_var_3"], "revenue").drop("n")
+    medians = cut(grouped_median(rows, ["custom_var_3"], "revenue").drop("n"))
     return rows.join(medians, "custom_var_3").select(
         "transaction_id",
         F.col("custom_var_3").alias("var3"),
@@ -77,7 +77,7 @@ def segment_cells(
     if var3 is not None:
         rows = rows.filter(F.col("var3") == var3)
     amounts = rows.groupBy("var3", *TREE_FEATURES, "revenue").agg(_count().alias("n"))
-    medians = (
+    medians = cut(
         grouped_median(amounts, ["var3"], "revenue", weight="n")
         .filter(_eligible(F.col("n"), min_samples))
         .drop("n")
@@ -423,7 +423,7 @@ def tree_cv_accuracy(
     rows = clean_conversions(conversions, TREE_FEATURES).withColumnRenamed("custom_var_3", "var3")
     if var3 is not None:
         rows = rows.filter(F.col("var3") == var3)
-    medians = (
+    medians = cut(
         grouped_median(rows, ["var3"], "revenue")
         .filter(_eligible(F.col("n"), min_samples))
         .select("var3", "median", F.expr("least(5, n div 10 + 1)").cast("int").alias("folds"))

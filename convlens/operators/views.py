@@ -68,7 +68,7 @@ def hourly_rollup(visits: DataFrame, since: datetime, until: datetime | None = N
             F.max_by("campaign_name", F.struct("_last", "campaign_name")).alias("campaign_name"),
             *[F.sum(c).alias(c) for c in ("visits", "clicks", "conversions")],
             *[
-                F.sum(c).cast("decimal(22,6)").alias(c)
+                F.sum(c).cast("decimal(28,6)").alias(c)
                 for c in ("revenue", "cost", "profit")
             ],
         )
@@ -217,7 +217,7 @@ def country_trends(
     week = week_start("visit_timestamp")
     current = F.sum(F.when(week == this_week, F.col("revenue")))
     previous = F.sum(F.when(week == F.date_sub(this_week, 7), F.col("revenue")))
-    zero = F.lit(0).cast("decimal(22,6)")
+    zero = F.lit(0).cast("decimal(28,6)")
     return (
         visits.filter(trailing("visit_timestamp", as_of, days=days))
         .groupBy("country_code")
@@ -252,7 +252,7 @@ def emerging_countries(
     """Countries whose last ``days`` earned more than ``growth`` times the days before."""
     boundary = ts_lit(as_of) - F.make_dt_interval(F.lit(days))
     ts = F.col("visit_timestamp")
-    zero = F.lit(0).cast("decimal(22,6)")
+    zero = F.lit(0).cast("decimal(28,6)")
     recent = F.sum(F.when(ts > boundary, F.col("revenue")))
     # The older half includes its upper end; its lower end is the scan bound.
     previous = F.sum(F.when(ts <= boundary, F.col("revenue")))
@@ -291,7 +291,7 @@ def campaign_momentum(
     """
     midnight = F.col("visit_timestamp").cast("date").cast("timestamp_ntz")
     is_recent = midnight > (ts_lit(as_of) - F.make_dt_interval(F.lit(days)))
-    zero = F.lit(0).cast("decimal(22,6)")
+    zero = F.lit(0).cast("decimal(28,6)")
     recent, previous = F.col("_recent"), F.col("_previous")
     return (
         visits.filter(trailing("visit_timestamp", as_of, days=2 * days))

@@ -621,7 +621,7 @@ CAMPAIGN = f""", campaigns AS (
       WHERE value IS NOT NULL AND value NOT IN ('', 'unknown') GROUP BY 1, 2, 3
       HAVING count(*) >= greatest(5, any_value(all_n) // 20) AND abs(deviation) > 25)"""
 SHEET = """SELECT var3, CASE feature WHEN 'country_code' THEN 'Country Code' WHEN 'device' THEN 'Device'
-        WHEN 'os' THEN 'Os' ELSE 'Isp' END AS dimension, left(value, 30) AS value, conversions,
+        WHEN 'os' THEN 'Os' ELSE 'Isp' END AS dimension, value, conversions,
       avg_revenue, total_revenue, deviation / 100 AS vs_campaign_median,
       CASE WHEN deviation > 25 THEN 'SCALE' ELSE 'BLOCK' END AS action FROM patterns"""
 sql("patterns_by_var3", f"{CAMPAIGN} {SHEET}", CONVERSIONS, CLEAN)
@@ -958,19 +958,26 @@ def stored_sql(table: str, fields, times, amounts=()) -> str:
     columns = [c if c in known else f"CAST(NULL AS VARCHAR) AS {c}" for _, c in fields]
     columns += [c for _, c in times] + [f"{dbl(c)} AS {c}" for c in amounts]
     columns += [f"CAST(NULL AS VARCHAR) AS {c}_raw" for _, c in times]
+    columns += [f"CAST(NULL AS VARCHAR) AS {c}_raw" for c in amounts]
     return f"SELECT {', '.join(columns)} FROM {table}"
 
 
 sql("normalize_visits", " " + stored_sql("live_visits", schemas.VISIT_FIELDS, schemas.VISIT_TIMES), LIVE)
 sql("normalize_clicks", " " + stored_sql("live_clicks", schemas.CLICK_FIELDS, schemas.CLICK_TIMES), LIVE)
+ODD_AMOUNT = "CAST(transaction_id AS BIGINT) % 7"
+ODD_REVENUE = f"""CASE {ODD_AMOUNT} WHEN 0 THEN 0.01 WHEN 1 THEN 999999.99 WHEN 2 THEN 1500000
+  WHEN 3 THEN 1000000000 WHEN 4 THEN 0 WHEN 5 THEN 0 ELSE revenue END"""
 conv_sql(
     "normalize_conversions",
-    stored_sql(
+    f"""SELECT * REPLACE ({dbl(ODD_REVENUE)} AS revenue,
+      CASE WHEN {ODD_AMOUNT} = 4 THEN 'n/a' END AS revenue_raw) FROM ("""
+    + stored_sql(
         "conversions",
         schemas.CONVERSION_FIELDS,
         schemas.CONVERSION_TIMES,
         schemas.CONVERSION_MONEY,
-    ),
+    )
+    + ")",
 )
 visits_sql(
     "normalize_visits_fallback",
@@ -1093,7 +1100,7 @@ conv_sql(
 sql(
     "clean_conversions",
     f""" SELECT transaction_id, custom_var_3,
-      CASE WHEN device = 'tablet' THEN 0 ELSE {dbl("revenue")} END AS revenue,
+      {dbl(ODD_REVENUE)} AS revenue,
       {", ".join(TREE_FEATURES)} FROM rows""",
     CONVERSIONS,
     TREE_ROWS,

@@ -162,5 +162,10 @@ def raw_rows(frame: DataFrame, fields: list[tuple[str, str]], times: list[tuple[
     names = dict((column, key) for key, column in fields)
     present = [F.col(c).alias(names[c]) for c in frame.columns if c in names]
     clock = [_raw_time(column).alias(key) for key, column in times]
-    amounts = [F.col(c).cast("double").alias(c) for c in frame.columns if c in MONEY_KEYS]
+    # Amounts that are text already stay as they are written.
+    amounts = [
+        (F.col(c) if kind == "string" else F.col(c).cast("double")).alias(c)
+        for c, kind in frame.dtypes
+        if c in MONEY_KEYS
+    ]
     return frame.select(F.to_json(F.struct(*present, *clock, *amounts)).alias("value"), "ingest_seq")

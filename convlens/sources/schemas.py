@@ -172,17 +172,17 @@ RAW_CONVERSION_V1 = T.StructType(
     + _strings(["revenue", "payout"])
 )
 
-MONEY = T.DecimalType(12, 6)
+MONEY = T.DecimalType(18, 6)
 NTZ = T.TimestampNTZType()
 
 
 def stored_schema(fields, times, money=()) -> T.StructType:
-    """Schema of a stored table: text, UTC times, exact money, raw row and unread time text."""
+    """Schema of a stored table: text, UTC times, exact money, unread time and money text, raw row."""
     return T.StructType(
         _strings([name for _, name in fields])
         + [T.StructField(name, NTZ) for _, name in times]
         + [T.StructField(name, MONEY) for name in money]
-        + _strings([f"{name}_raw" for _, name in times] + ["raw_data"])
+        + _strings([*(f"{name}_raw" for _, name in times), *(f"{name}_raw" for name in money), "raw_data"])
     )
 
 
@@ -194,7 +194,7 @@ HOURLY_STATS = T.StructType(
     [T.StructField("hour_timestamp", NTZ)]
     + _strings(["campaign_id", "campaign_name", "country_code", "device"])
     + [T.StructField(name, T.LongType()) for name in ("visits", "clicks", "conversions")]
-    + [T.StructField(name, T.DecimalType(22, 6)) for name in ("revenue", "cost", "profit")]
+    + [T.StructField(name, T.DecimalType(28, 6)) for name in ("revenue", "cost", "profit")]
     + [T.StructField(name, T.DoubleType()) for name in ("ctr", "cr", "epc")]
 )
 

@@ -23,11 +23,11 @@ from convlens.functions.expr import (
     trailing,
     utc_to_instant,
 )
-from convlens.operators.anomaly import cr_alerts, score_cr
+from convlens.operators.anomaly import check_alerts
 from convlens.operators.views import finish_rollup
 from convlens.plans.sync import FEEDS, ROLLUP_KEYS, arrival_order
 from convlens.sources import schemas as S
-from convlens.sources.tables import upsert_table
+from convlens.sources.tables import read_table, upsert_table
 
 LATENESS = "24 hours"  # how late an event may arrive; the batch cycle re-reads as much
 INTERVAL = "2 minutes"
@@ -98,7 +98,7 @@ def stream_hourly_rollup(visits: DataFrame, *, lateness: str = LATENESS) -> Data
             F.count(F.lit(1)).alias("visits"),
             F.count_if("is_click").alias("clicks"),
             F.count_if("is_conversion").alias("conversions"),
-            *[F.sum(c).cast("decimal(22,6)").alias(c) for c in ("revenue", "cost", "profit")],
+            *[F.sum(c).cast("decimal(28,6)").alias(c) for c in ("revenue", "cost", "profit")],
         )
         .withColumn("hour_timestamp", instant_to_utc(F.col("w.start")))
         .withColumn("campaign_name", F.col("_name.campaign_name"))
@@ -226,67 +226,64 @@ def realtime_cr_of_counts(
     )
 
 
-def hourly_baseline(visits: DataFrame, as_of: datetime, *, hours: int = 24) -> DataFrame:
-    """Mean visits per hour with traffic, per campaign."""
-    return (
-        visits.filter(trailing("visit_timestamp", as_of, hours=hours))
-        .groupBy("campaign_id", hour_start("visit_timestamp").alias("_hour"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy("campaign_id")
-        .agg((F.sum("_n").cast("double") / F.count(F.lit(1))).alias("avg_visits"))
-    )
+ALERT_COUNTS = T.StructType(
+    [
+        T.StructField("until", T.TimestampNTZType()),
+        T.StructField("hour", T.TimestampNTZType()),
+        T.StructField("campaign_id", T.StringType()),
+        T.StructField("campaign_name", T.StringType()),
+        T.StructField("visits", T.LongType()),
+        T.StructField("conversions", T.LongType()),
+    ]
+)
+ALERT_KEYS = ["until", "hour", "campaign_id", "campaign_name"]
 
 
-def batch_alerts(
-    batch: DataFrame,
-    cr_baseline: DataFrame,
-    traffic_baseline: DataFrame,
-    *,
-    min_current: int = 10,
-    z_threshold: float = 2,
-    ratio: float = 0.3,
+def stream_alert_counts(
+    visits: DataFrame, *, step: str = "5 minutes", lateness: str = LATENESS
 ) -> DataFrame:
-    """Alerts of one micro-batch of visits against stored baselines."""
-    current = (
-        batch.groupBy("campaign_id")
-        .agg(F.count(F.lit(1)).alias("_n"), F.count_if("is_conversion").alias("_hits"))
-        .filter(F.col("_n") > min_current)
-        .select(
-            "campaign_id",
-            (F.col("_hits").cast("double") / F.col("_n").cast("double")).alias("current_cr"),
+    """Visits and conversions per step, hour and campaign (update mode): what alerts are judged by.
+
+    A step ends at ``until``, inclusive, like the trailing windows; the visit that falls on the hour
+    belongs to the next hour, so the hour is a key of its own.
+    """
+    moment = F.col("event_time") - F.expr("interval 1 microsecond")
+    return (
+        visits.withColumn("hour", hour_start("visit_timestamp"))
+        .withColumn("event_time", utc_to_instant("visit_timestamp"))
+        .withColumn("event_time", moment)
+        .withWatermark("event_time", lateness)
+        .groupBy(F.window("event_time", step).alias("w"), "hour", "campaign_id", "campaign_name")
+        .agg(
+            F.count(F.lit(1)).alias("visits"), F.count_if("is_conversion").alias("conversions")
         )
+        .withColumn("until", instant_to_utc(F.col("w.end")))
     )
-    hourly = batch.groupBy(
-        "campaign_id", "campaign_name", hour_start("visit_timestamp").alias("hour")
-    ).agg(F.count(F.lit(1)).alias("visits"))
-    drop = pct(F.col("avg_visits") - F.col("visits"), "avg_visits", 0)
-    traffic = (
-        hourly.join(traffic_baseline, "campaign_id")
-        .filter(F.col("visits") < F.col("avg_visits") * ratio)
-        .select(
-            F.lit("traffic_drop").alias("alert_type"),
-            "campaign_name",
-            F.format_string("Traffic dropped %d%% in last hour", drop.cast("bigint")).alias(
-                "message"
-            ),
-            F.lit("warning").alias("severity"),
-            "hour",
+
+
+def alert_counts_writer(counts: DataFrame, warehouse: str):
+    """Merge running totals into the stored counts, so that no alert depends on how batches fall."""
+
+    def merge(batch: DataFrame) -> None:
+        upsert_table(
+            batch.sparkSession,
+            batch.select(*ALERT_COUNTS.fieldNames()),
+            f"{warehouse}/alert_counts",
+            ALERT_COUNTS,
+            ALERT_KEYS,
+            "until",
         )
-    )
-    return traffic.unionByName(cr_alerts(score_cr(cr_baseline, current, z_threshold=z_threshold)))
 
+    return merge_into(counts, merge, "update")
 
-def stream_alerts(
-    visits: DataFrame,
-    cr_baseline: DataFrame,
-    traffic_baseline: DataFrame,
-    path: str,
-    **thresholds,
-):
-    """Write every micro-batch's alerts to a folder of its own."""
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        alerts = batch_alerts(batch, cr_baseline, traffic_baseline, **thresholds)
-        alerts.write.mode("overwrite").parquet(f"{path}/batch={epoch}")
+def stored_alerts(
+    spark: SparkSession, warehouse: str, as_of: datetime, *, limit: int | None = None, **thresholds
+) -> DataFrame:
+    """The alerts of :func:`check_alerts` from the stored counts, for an ``as_of`` on a step boundary.
 
-    return visits.writeStream.outputMode("append").foreachBatch(write)
+    Baselines come from the same counts and so follow them; ``thresholds`` are those of
+    :func:`check_alerts`.
+    """
+    counts = read_table(spark, f"{warehouse}/alert_counts", ALERT_COUNTS)
+    return check_alerts(counts, as_of, limit=limit, **thresholds)

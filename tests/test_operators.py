@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 import statistics
 from collections import defaultdict
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from convlens.functions import expr as X
-from convlens.operators import anomaly, features, joins, patterns, report, tree, views
+from convlens.operators import anomaly, features, ingest, joins, patterns, report, tree, views
 from convlens.operators.asof import asof_last
 from convlens.operators.median import grouped_median
 
@@ -219,18 +220,36 @@ def test_median_against_statistics(spark):
     assert again == got
 
 
-def test_hot_join_key_is_cut_without_losing_rows(spark):
-    left = spark.createDataFrame([("hot", 1), ("warm", 2), ("cold", 3), ("none", 4)], "k string, l int")
-    right = [("hot", f"h{i}") for i in range(100)] + [("warm", "w1"), ("warm", "w2"), ("cold", "c")]
-    right += [("other", "o")]
-    right = spark.createDataFrame(right, "k string, r string")
-    # More than a tenth of the rows makes a key hot.
-    assert [r["k"] for r in joins.hot_keys(right, "k", share=10, min_rows=1).collect()] == ["hot"]
-    got = joins.salted_left_join(left, right, "k", "r", share=10, min_rows=1)
-    plain = joins.salted_left_join(left, right, "k", "r")
-    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
-    assert got.count() == 104
-    assert [r["l"] for r in got.filter(~F.col("converted")).collect()] == [4]
+def test_every_visit_meets_each_of_its_conversions(spark):
+    names = ["campaign_id", "campaign_name", "country_code", "device", "os", "browser", "isp"]
+    visit = ", ".join(["click_id string", "visit_timestamp timestamp_ntz", *(f"{n} string" for n in names)])
+    rows = [(c, AS_OF, *names) for c in ("hot", "warm", "cold", "none", None)]
+    visits = spark.createDataFrame(rows, visit)
+    conversion = "click_id string, postback_timestamp timestamp_ntz, revenue decimal(18,6), payout decimal(18,6), offer_name string, transaction_id string"
+    found = [("hot", f"h{i}") for i in range(100)] + [("warm", "w1"), ("warm", "w2"), ("cold", "c"), ("other", "o"), (None, "n")]
+    conversions = spark.createDataFrame([(c, AS_OF, None, None, "o", t) for c, t in found], conversion)
+    got = joins.visit_conversions(visits, conversions)
+    plan = got._jdf.queryExecution().toString()
+    assert "strategy=broadcast" not in plan
+    assert got.count() == 105
+    assert {r["click_id"] for r in got.filter(~F.col("converted")).collect()} == {"none", None}
+
+
+def test_large_amounts_and_median_of_wide_money(spark):
+    texts = ["0.01", "999999.99", "1500000", "2500000.5", "1.0E9", "999999999999.999999", "1000000000000", "n/a", "", None]
+    raw = spark.createDataFrame([(json.dumps({"clickId": str(i), "revenue": t}),) for i, t in enumerate(texts)], "value string")
+    rows = {r["click_id"]: r for r in ingest.normalize_conversions(raw).collect()}
+    assert [str(rows[str(i)]["revenue"]) for i in range(6)] == [
+        "0.010000", "999999.990000", "1500000.000000", "2500000.500000", "1000000000.000000", "999999999999.999999"
+    ]
+    assert [rows[str(i)]["revenue_raw"] for i in range(10)] == [None] * 6 + ["1000000000000", "n/a", None, None]
+    assert all(rows[str(i)]["revenue"] == 0 for i in range(6, 10))
+    rng = random.Random(8)
+    values = [Decimal(rng.randrange(-(10**17), 10**17)) / 10**6 for _ in range(501)] + [Decimal("999999999999.999999")] * 3
+    values += [Decimal(rng.randrange(-(10**7), 10**7)) / 10**6 for _ in range(400)]
+    frame = spark.createDataFrame([("k", v) for v in values], "g string, v decimal(18,6)")
+    (row,) = grouped_median(frame, ["g"], "v").collect()
+    assert row["median"] == pytest.approx(float(statistics.median(values)), rel=1e-12)
 
 
 def test_numbering_follows_the_order(spark):

@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from convlens.plans.catalog import REGISTRY
+from convlens.plans.oracle import ORACLE
 from tests.compare import differences, duck
 
 # Trees and streams start many jobs; two of each stand for their family here, and
@@ -17,7 +19,7 @@ def connection(sf):
     return duck(sf)
 
 
-@pytest.mark.parametrize("key", [k for k in entry.oracle_sql() if k not in SLOW])
+@pytest.mark.parametrize("key", [k for k in ORACLE if k not in SLOW])
 def test_query_agrees(spark, sf, connection, key):
     frame = entry.queries()[key](spark, sf)
     assert differences(frame, connection.sql(entry.oracle_sql()[key])) == []
@@ -34,7 +36,7 @@ def test_entry_has_rows(spark):
 def test_plans_stay_distributed(spark, sf):
     """No query needs a cross join, a nested loop or Python workers."""
     skipped = {"segment_tree", "segment_rules", "feature_importance", "tree_cv_accuracy"}
-    for key, query in entry.queries().items():
+    for key, query in REGISTRY.items():
         if key in skipped or key.startswith("stream_"):
             continue
         plan = query(spark, sf)._jdf.queryExecution().executedPlan().toString()

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from convlens.operators import joins, views
+from convlens.operators import anomaly, joins, views
 from convlens.operators.ingest import normalize_visits
 from convlens.sources import derive, schemas as S
 from convlens.sources.tables import read_table
@@ -130,23 +130,27 @@ def test_joined_streams(spark, tmp_path):
     assert {r["click_id"] for r in want.collect()} == {"k0", "k7"}
 
 
-@pytest.mark.parametrize("epoch_again", [False, True])
-def test_alerts_per_batch(spark, sf, tmp_path, epoch_again):
-    from convlens.operators import anomaly
-
+@pytest.mark.parametrize("files", [1, 3, 20])
+def test_alerts_do_not_depend_on_the_batches(spark, sf, tmp_path, files):
+    settings = {"min_baseline": 2, "hours": 24, "min_current": 1, "z_threshold": 0.1, "ratio": 0.9}
     as_of = datetime(2024, 1, 30, 22)
-    history = derive.visits(spark, sf)
-    writer = jobs.stream_alerts(
-        derive.visits_of(derive.event_stream(spark, sf)),
-        anomaly.cr_baseline(history, as_of, min_visits=1),
-        jobs.hourly_baseline(history, as_of),
-        f"{tmp_path}/out",
-        min_current=0,
-        z_threshold=0.01,
-        ratio=0.9,
-    )
-    once(writer, tmp_path)
-    first = spark.read.parquet(f"{tmp_path}/out").count()
-    if epoch_again:  # a batch that is written again replaces itself
-        once(writer, tmp_path / "again")
-    assert spark.read.parquet(f"{tmp_path}/out").count() == first > 0
+    rows = spark.read.parquet(f"{sf}/events.parquet")
+    rows.repartitionByRange(files, "ts").write.parquet(str(tmp_path / "events"))
+    stream = spark.readStream.schema(derive.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1)
+    visits = derive.visits_of(derive.with_attributes(stream.parquet(str(tmp_path / "events"))))
+    counts = jobs.stream_alert_counts(visits, lateness="60 days")
+    once(jobs.alert_counts_writer(counts, str(tmp_path)), tmp_path)
+    got = jobs.stored_alerts(spark, str(tmp_path), as_of, **settings).collect()
+    whole = anomaly.check_alerts(derive.visits(spark, sf), as_of, limit=None, **settings).collect()
+    assert len(whole) > 5
+    assert sorted(map(str, got)) == sorted(map(str, whole))
+
+
+def test_a_steady_campaign_raises_no_alert_in_small_batches(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    rows = [(start + timedelta(minutes=i), "c", "C", False) for i in range(48 * 60)]
+    schema = "visit_timestamp timestamp_ntz, campaign_id string, campaign_name string, is_conversion boolean"
+    spark.createDataFrame(rows, schema).repartitionByRange(12, "visit_timestamp").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    once(jobs.alert_counts_writer(jobs.stream_alert_counts(stream), str(tmp_path)), tmp_path)
+    assert jobs.stored_alerts(spark, str(tmp_path), start + timedelta(hours=47)).count() == 0
