@@ -148,9 +148,10 @@ def test_alerts_do_not_depend_on_the_batches(spark, sf, tmp_path, files):
 
 def test_a_steady_campaign_raises_no_alert_in_small_batches(spark, tmp_path):
     start = datetime(2024, 1, 1)
-    rows = [(start + timedelta(minutes=i), "c", "C", False) for i in range(48 * 60)]
+    # Forty visits in every hour, none near its ends: no hour is cut by the trailing windows.
+    rows = [(start + timedelta(hours=h, minutes=10 + i), "c", "C", False) for h in range(48) for i in range(40)]
     schema = "visit_timestamp timestamp_ntz, campaign_id string, campaign_name string, is_conversion boolean"
     spark.createDataFrame(rows, schema).repartitionByRange(12, "visit_timestamp").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     once(jobs.alert_counts_writer(jobs.stream_alert_counts(stream), str(tmp_path)), tmp_path)
-    assert jobs.stored_alerts(spark, str(tmp_path), start + timedelta(hours=47)).count() == 0
+    assert jobs.stored_alerts(spark, str(tmp_path), start + timedelta(hours=47, minutes=55)).count() == 0
