@@ -128,7 +128,8 @@ TEXTS = {
 }
 
 #: Lines that name holders and years, with marks of comments before them; A-Z are lower case by then.
-COPYRIGHT_LINE = r"(?m)^[ \t/*#;!%>-]*(copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+#: A line that merely begins with the word is part of a wrapped sentence.
+COPYRIGHT_LINE = r"(?m)^[ \t/*#;!%>-]*(copyright[^\n]*(\(c\)|©|\b(19|20)\d\d\b)|\(c\)|©|all rights reserved)[^\n]*$"
 #: What separates words of the canonical form.
 BETWEEN = r"[^\p{L}\p{N}]+"
 

@@ -197,7 +197,7 @@ def _borders(slim: DataFrame, wanted: dict[int, float]) -> list[tuple[int, int,
 
     ``slim(pattern, stratum, size, hash)``; ``wanted``: how many times a pattern's words are used. What
     is missing or too much after all strata settled is asked of the smallest documents that can give
-    it, and so on a few times.
+    it, else of all that are small enough, and so on a few times.
     """
     totals = slim.groupBy("pattern", "stratum").agg(F.sum("size").alias("all")).collect()
     copies = {p: int(wanted[p] + 1e-9) for p in wanted}
@@ -214,10 +214,13 @@ def _borders(slim: DataFrame, wanted: dict[int, float]) -> list[tuple[int, int,
         for p in taken:
             short = goals[p] - taken[p]
             if abs(short) >= 1:
-                room = [(s, c) for (q, s), c in cells.items() if q == p and 0 <= c.goal + short <= c.all and 1 << s <= 2 * abs(short)]
-                if room:
-                    s, cell = min(room, key=lambda x: x[0])
-                    moved[p, s] = Cell(cell.all, cell.goal + short)
+                own = sorted(((s, c) for (q, s), c in cells.items() if q == p and 1 << s <= 2 * abs(short)), key=lambda x: x[0])
+                room = [(s, c) for s, c in own if 0 <= c.goal + short <= c.all]
+                for s, cell in room[:1] or own[::-1]:  # the smallest that can give it all, else all together
+                    step = min(max(short, -cell.goal), cell.all - cell.goal)
+                    if step:
+                        moved[p, s] = Cell(cell.all, cell.goal + step)
+                        short -= step
         if not moved:
             break
         _search(slim, moved)
