@@ -12,11 +12,12 @@ How the work is cut so that no set meets all others, and no link is lost:
    partner; this drops texts that merely share a passage. Equal sets are one node from here on.
 2. **Postings.** Of the nodes left, n-grams are ordered rare first. Two linked nodes share an n-gram
    among the first ``n - ceil(n * num/den) + 1`` of each (prefix filter).
-3. **Tries.** Per prefix n-gram, all nodes join the group of the smallest one. Groups are dealt into
-   pieces of a bounded number of nodes, each with the group's smallest, and joined by trie.
-4. **The rest.** Nodes that share a prefix n-gram, pass the length bound and are not in one component
-   yet meet in further tries. Together 3 and 4 cover every pair that the prefix filter leaves, but
-   for pairs that are in one component anyway.
+3. **Tries.** All nodes that share a prefix n-gram join the group of the smallest one. A group that
+   fits into one trie is joined whole. A larger one is dealt into pieces of bounded size, twice by
+   different hashes, each piece with the group's smallest node.
+4. **The rest.** Where a larger group is not in one component by then, its nodes outside the largest
+   component meet all pieces of the group, in blocks. So every pair that shares a prefix n-gram meets
+   in a trie, but for pairs that are in one component anyway.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convlens.llm.components import components
@@ -251,8 +252,13 @@ class Trie:
             i += 1
 
 
-def trie_links(ids: list[int], sizes: list[int], grams: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
-    """Links that connect what is similar among the given sets: a star for each component."""
+def trie_links(
+    ids: list[int], sizes: list[int], grams: list[np.ndarray], num: int, den: int, roots: list[int] | None = None
+) -> list[tuple[int, int]]:
+    """Links that connect what is similar among the given sets: a star for each component.
+
+    ``roots``: what is known of their components; equal roots need no link.
+    """
     every = np.concatenate(grams)
     ordered = np.sort(every)
     first = np.flatnonzero(distinct(ordered))
@@ -268,9 +274,12 @@ def trie_links(ids: list[int], sizes: list[int], grams: list[np.ndarray], num: i
     order = sorted(range(len(ids)), key=lambda i: sequences[i].astype(">u4").tobytes())
     sequences = [sequences[i] for i in order]
     ids, sizes = [ids[i] for i in order], [sizes[i] for i in order]
+    known = ids if roots is None else [roots[i] for i in order]
     trie = Trie(sequences, sizes)
     held = np.zeros(max(len(kept), 1), np.int8)
-    root, parts = list(range(len(ids))), len(ids)
+    first_of: dict[int, int] = {}
+    root = [first_of.setdefault(r, i) for i, r in enumerate(known)]
+    parts = len(first_of)
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -292,22 +301,53 @@ def trie_links(ids: list[int], sizes: list[int], grams: list[np.ndarray], num: i
     return [(x, least[find(i)]) for i, x in enumerate(ids) if least[find(i)] != x]
 
 
-def _join_groups(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links among the nodes of each ``(anchor, nid)`` group, in pieces that hold the anchor too."""
-    pieces = groups.groupBy("anchor").agg(F.ceil(F.count("*") / TRIE_NODES).cast("int").alias("pieces"))
-    dealt = (
-        groups.join(pieces, "anchor")
-        .select("anchor", F.pmod(F.xxhash64("nid"), F.col("pieces")).cast("int").alias("piece"), "nid")
-        .unionByName(pieces.select("anchor", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.col("anchor").alias("nid")))
-    )
+def _links(blocks: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links found by a trie for each of the ``blocks(anchor, piece, nid, root)``."""
 
     def links(table: pa.Table) -> pa.Table:
-        ids = table.column("nid").to_pylist()
+        ids, sizes, roots = (table.column(c).to_pylist() for c in ("nid", "n", "root"))
         grams = [np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]
-        found = trie_links(ids, table.column("n").to_pylist(), grams, num, den)
+        found = trie_links(ids, sizes, grams, num, den, roots)
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
-    return dealt.join(sets, "nid").select("anchor", "piece", "nid", "n", "grams").groupBy("anchor", "piece").applyInArrow(links, "a long, b long")
+    held = blocks.join(sets, "nid").select("anchor", "piece", "nid", "root", "n", "grams")
+    return held.groupBy("anchor", "piece").applyInArrow(links, "a long, b long")
+
+
+def _pieces(count: str) -> Column:
+    return F.ceil(F.col(count) / TRIE_NODES).cast("int")
+
+
+def _dealt(seed: int, pieces: str) -> Column:
+    return F.pmod(F.xxhash64("nid", F.lit(seed)), F.col(pieces)).cast("int")
+
+
+def _first_blocks(groups: DataFrame) -> DataFrame:
+    """Whole groups, and larger ones dealt twice, with the anchor in every piece."""
+    sizes = groups.groupBy("anchor").agg(F.count("*").alias("c")).withColumn("pieces", _pieces("c"))
+    deals = F.when(F.col("pieces") > 1, F.array(_dealt(1, "pieces"), F.col("pieces") + _dealt(2, "pieces")))
+    members = groups.join(sizes, "anchor").select("anchor", F.explode(F.coalesce(deals, F.array(F.lit(0)))).alias("piece"), "nid")
+    last = F.when(F.col("pieces") > 1, 2 * F.col("pieces") - 1).otherwise(0)
+    anchors = sizes.select("anchor", F.explode(F.sequence(F.lit(0), last)).alias("piece"), F.col("anchor").alias("nid"))
+    return members.unionByName(anchors).withColumn("root", F.col("nid"))
+
+
+def _other_blocks(groups: DataFrame, known: DataFrame) -> DataFrame:
+    """Of larger groups that are not in one component: the nodes outside the largest one, with each piece."""
+    every = groups.unionByName(groups.select("anchor", F.col("anchor").alias("nid")).distinct())
+    placed = every.join(known.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+    torn = (
+        placed.groupBy("anchor", "root").agg(F.count("*").alias("c"))
+        .groupBy("anchor")
+        .agg(F.max_by("root", F.struct("c", "root")).alias("major"), F.sum("c").alias("all"), F.max("c").alias("most"))
+        .where(f"all > {TRIE_NODES} and most < all")
+        .select("anchor", "major", _pieces("all").alias("pieces"), F.ceil((F.col("all") - F.col("most")) / TRIE_NODES).cast("int").alias("parts"))
+    )
+    held = placed.join(torn, "anchor").withColumns({"piece": _dealt(1, "pieces"), "part": _dealt(3, "parts")})
+    whole = held.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    minor = held.where("root <> major").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    block = (F.col("part").cast("long") * F.col("pieces") + F.col("piece")).alias("piece")
+    return whole.unionByName(minor).select("anchor", block, "nid", "root").distinct()
 
 
 def similar_classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -359,33 +399,10 @@ def similar_classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
         .select("nid", "n", F.col("h.gram").alias("gram"))
     )
     leaders = postings.groupBy("gram").agg(F.min("nid").alias("anchor"), F.count("*").alias("c")).where("c > 1")
-    led = postings.join(leaders, "gram").where("nid <> anchor").select("anchor", "nid").distinct()
-    links = cut(_join_groups(cut(led), slim_sets, num, den))
-    known = components(links)
-
-    placed = cut(
-        postings.join(known.withColumnRenamed("node", "nid"), "nid", "left").select(
-            "gram", "nid", "n", F.coalesce("root", "nid").alias("root")
-        )
-    )
-    split = (
-        placed.groupBy("gram", "root").agg(F.count("*").alias("c"))
-        .groupBy("gram").agg(F.max_by("root", F.struct("c", "root")).alias("major"), F.count("*").alias("roots"))
-        .where("roots > 1").select("gram", "major")
-    )
-    torn = placed.join(split, "gram")
-    pairs = (
-        torn.where("root <> major").alias("x")
-        .join(torn.alias("y"), "gram")
-        .where(
-            f"x.root <> y.root and (y.root = y.major or x.nid < y.nid)"
-            f" and least(x.n, y.n) * {den}L >= greatest(x.n, y.n) * {num}L"
-        )
-        .select(F.col("x.nid").alias("anchor"), F.col("y.nid").alias("nid"))
-        .distinct()
-    )
-    more = cut(_join_groups(cut(pairs), slim_sets, num, den))
-    final = components(links.unionByName(more))
+    groups = cut(postings.join(leaders, "gram").where("nid <> anchor").select("anchor", "nid").distinct())
+    links = cut(_links(_first_blocks(groups), slim_sets, num, den))
+    others = cut(_other_blocks(groups, components(links)))
+    final = components(links.unionByName(_links(others, slim_sets, num, den)))
 
     ids = marked.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     rooted = (
