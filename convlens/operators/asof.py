@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convlens.functions.expr import minute_start
 
+ASKER, SEEN = 1, 2  # kinds order equal times: carry rows (0), then askers, then what they must not see
+UNTIMED_PIECES = 64
+
 
 def asof_last(
     rows: DataFrame,
@@ -20,28 +23,69 @@ def asof_last(
 ) -> DataFrame:
     """Add ``other_at`` and ``value`` of the latest ``others`` row with ``other_at < at``.
 
-    Equal times resolve to the largest ``value``; rows without a match get NULLs.
-
-    One key may own a large share of all rows, so the timeline is cut into (key, bucket) pieces
-    and a window never orders a whole key. What a bucket must know about the past is one "carry"
-    row: the last match of all earlier buckets, found on a summary that holds a single row per
-    (key, bucket). That makes three shuffles, none of which gathers a key's rows in one task.
+    Equal times resolve to the largest ``value``; rows without a match, or without a time, get NULLs.
     """
     keep = [c for c in rows.columns if c != by]
-    left = rows.select(
-        F.col(by).alias("_key"),
-        F.col(at).alias("_at"),
-        F.lit(1).alias("_kind"),
-        *keep,
+    asking = rows.select(
+        F.col(by).alias("_key"), F.col(at).alias("_at"), F.lit(ASKER).alias("_kind"), *keep
     )
-    right = others.select(
+    seen = others.select(
         F.col(by).alias("_key"),
         F.col(other_at).alias("_at"),
-        F.lit(2).alias("_kind"),
+        F.lit(SEEN).alias("_kind"),
         F.struct(F.col(other_at).alias("at"), F.col(value).alias("value")).alias("_seen"),
     )
-    timeline = left.unionByName(right, allowMissingColumns=True).withColumn(
-        "_bucket", bucket("_at")
+    timeline = asking.unionByName(seen, allowMissingColumns=True)
+    return _matched(timeline, by, keep, other_at, value, bucket)
+
+
+def asof_last_within(
+    rows: DataFrame,
+    *,
+    by: str,
+    at: str,
+    asks: Column,
+    seen: Column,
+    other_at: str,
+    value: str,
+    id_of_seen: str,
+    bucket=minute_start,
+) -> DataFrame:
+    """:func:`asof_last` where both sides are rows of one frame, which is then scanned once for both.
+
+    The rows for which ``asks`` holds get the time and ``id_of_seen`` of the latest strictly earlier row
+    for which ``seen`` holds, as ``other_at`` and ``value``. A row may be both.
+    """
+    keep = [f for f in rows.schema.fields if f.name != by]
+    last = F.struct(F.col(at).alias("at"), F.col(id_of_seen).alias("value"))
+    kind = rows.select(last.alias("s")).schema["s"].dataType
+
+    def entry(number: int, of: Column, found: Column) -> Column:
+        own = [(F.col(f.name) if number == ASKER else F.lit(None).cast(f.dataType)).alias(f.name) for f in keep]
+        return F.when(of, F.struct(F.lit(number).alias("_kind"), *own, found.alias("_seen")))
+
+    entries = F.array(entry(ASKER, asks, F.lit(None).cast(kind)), entry(SEEN, seen, last))
+    timeline = rows.filter(asks | seen).select(
+        F.col(by).alias("_key"), F.col(at).alias("_at"), F.inline(F.array_compact(entries))
+    )
+    return _matched(timeline, by, [f.name for f in keep], other_at, value, bucket)
+
+
+def _matched(
+    timeline: DataFrame, by: str, keep: list[str], other_at: str, value: str, bucket
+) -> DataFrame:
+    """The askers of a timeline with their matches.
+
+    One key may own a large share of all rows, so the timeline is cut into (key, bucket) pieces
+    and a window never orders a whole key. What a bucket must know about the past is one "carry"
+    row: the last match of all earlier buckets, found on a summary that holds a single row per
+    (key, bucket). That makes three shuffles, none of which gathers a key's rows in one task.
+    Askers without a time match nothing; they are spread over pieces of their own.
+    """
+    untimed = F.col("_at").isNull()
+    spread = F.when(untimed, F.pmod(F.monotonically_increasing_id(), F.lit(UNTIMED_PIECES)))
+    timeline = timeline.filter(~untimed | (F.col("_kind") == ASKER)).withColumns(
+        {"_bucket": bucket("_at"), "_spread": spread}
     )
 
     # Rows of both sides take part, so that every bucket that will be asked gets a carry row.
@@ -51,7 +95,8 @@ def asof_last(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     carry = (
-        timeline.groupBy("_key", "_bucket")
+        timeline.filter(~untimed)
+        .groupBy("_key", "_bucket")
         .agg(F.max("_seen").alias("_newest"))
         .select(
             "_key",
@@ -62,17 +107,15 @@ def asof_last(
         )
         .filter(F.col("_seen").isNotNull())
     )
-
-    # Kinds order equal times: carry first, then askers, then the rows they must not see.
     within = (
-        Window.partitionBy("_key", "_bucket")
+        Window.partitionBy("_key", "_bucket", "_spread")
         .orderBy("_at", "_kind", "_seen")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
         timeline.unionByName(carry, allowMissingColumns=True)
         .withColumn("_match", F.last("_seen", ignorenulls=True).over(within))
-        .filter(F.col("_kind") == 1)
+        .filter(F.col("_kind") == ASKER)
         .select(
             F.col("_key").alias(by),
             *keep,

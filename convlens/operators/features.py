@@ -28,32 +28,41 @@ def with_activity(
       interval, where they count -1: the carry row still includes them.
 
     Running sums of these signed counts are the answers, so one shuffle of the visits and of two
-    narrow copies does it, without a join.
+    narrow copies does it, without a join. The visits are scanned once for these and once for the
+    summary.
     """
     none = F.lit(0).cast("bigint")
     one = F.lit(1).cast("bigint")
     hit = F.when(F.col("is_conversion"), one).otherwise(none)
     at = F.col("visit_timestamp")
     timed = visits.withColumns({"_minute": minute_number(at), "_at": at, "_hit": hit})
-    own = timed.withColumns({"_short": one, "_long": one, "_own": F.lit(True)})
 
     # A visit has left when it is exactly as old as the interval; the sums below take what is
     # strictly earlier, hence the microsecond.
     tick = F.expr("interval '0.000001' second")
+    wide = [f for f in visits.schema.fields if f.name != "campaign_id"]
 
-    def leaving(hours: int, short, long, hits):
+    def entry(minute, moment, short, long, hits, own: bool):
+        """A signed count at a moment; only the visit itself carries its other columns."""
         return F.struct(
-            (F.col("_minute") + 60 * hours).alias("_minute"),
-            (F.col("_at") + F.make_dt_interval(F.lit(0), F.lit(hours)) - tick).alias("_at"),
+            *[(F.col(f.name) if own else F.lit(None).cast(f.dataType)).alias(f.name) for f in wide],
+            minute.alias("_minute"),
+            moment.alias("_at"),
             short.alias("_short"),
             long.alias("_long"),
             hits.alias("_hit"),
+            F.lit(own).alias("_own"),
         )
 
-    leavers = timed.select(
+    def leaving(hours: int, short, long, hits):
+        left = F.col("_at") + F.make_dt_interval(F.lit(0), F.lit(hours)) - tick
+        return entry(F.col("_minute") + 60 * hours, left, short, long, hits, False)
+
+    counted = timed.select(
         "campaign_id",
         F.inline(
             F.array(
+                entry(F.col("_minute"), F.col("_at"), one, one, F.col("_hit"), True),
                 leaving(short_hours, -one, none, none),
                 leaving(long_hours, none, -one, -F.col("_hit")),
             )
@@ -85,10 +94,8 @@ def with_activity(
             "RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL '0.000001' SECOND PRECEDING)"
         )
 
-    shared = {"allowMissingColumns": True}
     return (
-        own.unionByName(leavers, **shared)
-        .unionByName(carry, **shared)
+        counted.unionByName(carry, allowMissingColumns=True)
         .withColumns(
             {
                 "campaign_visits_1h": before("_short"),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convlens.functions.expr import MONEY
-from convlens.operators.asof import asof_last
+from convlens.operators.asof import asof_last_within
 
 # Fixed values of the derived data, as Spark SQL over ``user_id``, ``k`` and ``value``. ``get``
 # gives NULL past the end of its array, which is the eighth country.
@@ -95,28 +95,20 @@ def live_clicks_of(events: DataFrame) -> DataFrame:
     )
 
 
-def touches_of(events: DataFrame) -> DataFrame:
-    """Views and clicks a conversion can be attributed to."""
-    return events.filter("event_type IN ('view', 'click')").selectExpr(
-        "user_id", "ts AS touch_timestamp", "event_id AS touch_id"
-    )
-
-
-def unattributed_conversions_of(events: DataFrame) -> DataFrame:
-    return (
-        events.filter("event_type IN ('purchase', 'signup')")
-        .selectExpr(
-            "user_id",
-            "cast(event_id as string) AS transaction_id",
-            "ts AS postback_timestamp",
-            "if(event_type = 'purchase', 'sale', 'lead') AS conversion_type",
-            f"cast(amount * {DEVICE_FACTOR} as {MONEY}) AS revenue",
-            f"cast(amount * 0.6BD as {MONEY}) AS payout",
-            f"cast(amount * 0.1BD as {MONEY}) AS cost",
-            *ATTRIBUTES,
-        )
-        .withColumn("profit", (F.col("revenue") - F.col("cost")).cast(MONEY))
-    )
+def conversion_columns(events: DataFrame) -> DataFrame:
+    """Events with the columns that a conversion has."""
+    return events.selectExpr(
+        "user_id",
+        "event_id",
+        "event_type",
+        "cast(event_id as string) AS transaction_id",
+        "ts AS postback_timestamp",
+        "if(event_type = 'purchase', 'sale', 'lead') AS conversion_type",
+        f"cast(amount * {DEVICE_FACTOR} as {MONEY}) AS revenue",
+        f"cast(amount * 0.6BD as {MONEY}) AS payout",
+        f"cast(amount * 0.1BD as {MONEY}) AS cost",
+        *ATTRIBUTES,
+    ).withColumn("profit", (F.col("revenue") - F.col("cost")).cast(MONEY))
 
 
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,14 +125,17 @@ def live_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversions carrying the click they came from; ``orphan-…`` where there is none."""
-    rows = events(spark, sf_dir)
-    attributed = asof_last(
-        unattributed_conversions_of(rows),
-        touches_of(rows),
+    kind = F.col("event_type")
+    converted = conversion_columns(events(spark, sf_dir))
+    attributed = asof_last_within(
+        converted,
         by="user_id",
         at="postback_timestamp",
+        asks=kind.isin("purchase", "signup"),
+        seen=kind.isin("view", "click"),
         other_at="touch_timestamp",
         value="touch_id",
+        id_of_seen="event_id",
     )
     return attributed.selectExpr(
         "coalesce(cast(touch_id as string), concat('orphan-', transaction_id)) AS click_id",
