@@ -8,10 +8,11 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convlens.functions.expr import ts_lit
+from convlens.functions.expr import nonempty
 from convlens.operators import ingest
 from convlens.operators.ingest import backfill_chunks, of_campaign_name, sync_window
 from convlens.operators.views import hourly_rollup
+from convlens.runtime import cut
 from convlens.sources import schemas as S
 from convlens.sources.tables import (
     expire_table,
@@ -51,8 +52,20 @@ ROLLUP_KEYS = ["hour_timestamp", "campaign_id", "country_code", "device"]
 
 
 def arrival_order(raw: DataFrame) -> DataFrame:
-    """Number raw rows by file and position, so "first" has a meaning within a batch."""
-    return raw.withColumn("ingest_seq", F.monotonically_increasing_id())
+    """``ingest_seq`` orders raw rows by the age and name of their file and by position, so that "first"
+    has a meaning within a batch; rows that come from no file are ordered as they are read."""
+    read = F.monotonically_increasing_id().alias("row")
+    if "arrival" not in raw.columns:
+        return raw.withColumn("ingest_seq", F.struct(read))
+    return raw.withColumn("ingest_seq", F.struct("arrival", read)).drop("arrival")
+
+
+def rejected_rows(rows: DataFrame, feed: str) -> DataFrame:
+    """Normalised rows that cannot be stored where they belong, with the reason and the original text."""
+    _, _, _, keys, ts = FEEDS[feed]
+    unread = F.col(f"{ts}_raw").isNotNull()
+    reason = F.when(nonempty(keys[0]).isNull(), "no id or broken row").when(unread, "unreadable time")
+    return rows.select(reason.alias("reason"), "raw_data").filter(F.col("reason").isNotNull())
 
 
 def load_feed(
@@ -64,13 +77,21 @@ def load_feed(
     since: datetime | None = None,
     until: datetime | None = None,
     campaign_filter: str | None = None,
-) -> None:
-    """Merge a folder of raw JSON lines into its stored table."""
+) -> int:
+    """Merge a folder of raw JSON lines into its stored table; returns the rows merged.
+
+    Rows without an id, and those whose time cannot be read, are kept in ``rejected/feed=…``; it holds
+    what the folder's rows of the latest load were rejected for.
+    """
     normalize, dedupe, schema, keys, ts = FEEDS[feed]
-    rows = of_campaign_name(normalize(arrival_order(read_raw(spark, raw_path))), campaign_filter)
+    every = normalize(arrival_order(read_raw(spark, raw_path)))
+    rejected_rows(every, feed).write.mode("overwrite").parquet(f"{warehouse}/rejected/feed={feed}")
+    rows = of_campaign_name(every, campaign_filter)
     if since is not None and until is not None:
         rows = sync_window(rows, ts, since, until)
-    upsert_table(spark, dedupe(rows), f"{warehouse}/{feed}", schema, keys, ts)
+    batch = cut(dedupe(rows).drop("ingest_seq"))
+    upsert_table(spark, batch, f"{warehouse}/{feed}", schema, keys, ts)
+    return batch.count()
 
 
 def read_state(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -90,11 +111,9 @@ def last_sync(spark: SparkSession, warehouse: str, feed: str, now: datetime, day
     return row["last_sync_timestamp"] if row else now - timedelta(days=days_back)
 
 
-def save_state(spark: SparkSession, warehouse: str, feed: str, until: datetime) -> None:
-    stored = read_table(spark, f"{warehouse}/{feed}", FEEDS[feed][2])
-    state = stored.agg(F.count(F.lit(1)).alias("records_synced")).select(
-        F.lit(feed).alias("sync_type"), ts_lit(until).alias("last_sync_timestamp"), "records_synced"
-    )
+def save_state(spark: SparkSession, warehouse: str, feed: str, until: datetime, synced: int) -> None:
+    """Note that a feed is read up to a moment, and how many rows this run merged."""
+    state = spark.createDataFrame([(feed, until, synced)], S.SYNC_STATE)
     state.write.mode("append").parquet(f"{warehouse}/sync_state")
 
 
@@ -129,7 +148,7 @@ def run_cycle(
     """
     for feed, path in raw.items():
         windowed = feed == "conversions"
-        load_feed(
+        synced = load_feed(
             spark,
             path,
             warehouse,
@@ -138,7 +157,7 @@ def run_cycle(
             until=now if windowed else None,
             campaign_filter=campaign_filter if windowed else None,
         )
-        save_state(spark, warehouse, feed, now)
+        save_state(spark, warehouse, feed, now, synced)
     return {
         feed: expire_table(
             spark, f"{warehouse}/{feed}", FEEDS[feed][2], FEEDS[feed][4], now, days=retention_days

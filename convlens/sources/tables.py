@@ -30,9 +30,18 @@ PATTERN_COLUMNS = [
 ]
 
 
+def with_arrival(files: DataFrame) -> DataFrame:
+    """Text rows with ``arrival``: when their file was written, its name, and where they stand in it.
+
+    Only the file itself can tell: Spark hands out files by size, not by age.
+    """
+    place = [f"_metadata.{c}" for c in ("file_modification_time", "file_path", "file_block_start")]
+    return files.select("value", F.struct(*place).alias("arrival"))
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw JSON lines as text, so that the original row can be kept."""
-    return spark.read.text(path)
+    """Raw JSON lines as text, so that the original row can be kept, with their ``arrival``."""
+    return with_arrival(spark.read.text(path))
 
 
 def scan_projected(

@@ -27,7 +27,7 @@ from convlens.operators.anomaly import check_alerts
 from convlens.operators.views import finish_rollup
 from convlens.plans.sync import FEEDS, ROLLUP_KEYS, arrival_order
 from convlens.sources import schemas as S
-from convlens.sources.tables import read_table, upsert_table
+from convlens.sources.tables import read_table, upsert_table, with_arrival
 
 LATENESS = "24 hours"  # how late an event may arrive; the batch cycle re-reads as much
 INTERVAL = "2 minutes"
@@ -48,11 +48,11 @@ def merge_into(
 
 
 def raw_stream(spark: SparkSession, path: str, *, files_per_batch: int | None = None) -> DataFrame:
-    """A folder of raw JSON lines as a stream of text rows."""
+    """A folder of raw JSON lines as a stream of text rows with their ``arrival``."""
     reader = spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    return with_arrival(reader.load(path))
 
 
 def stream_ingest(raw: DataFrame, warehouse: str, feed: str):

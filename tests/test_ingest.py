@@ -144,10 +144,10 @@ def test_dedupe_conversions_by_click_and_time(spark):
 
 def test_campaign_name_filter(spark):
     rows = spark.createDataFrame(
-        [("Brand MB 1",), ("brand mb",), ("MB",), (None,)], "campaign_name string"
+        [("Brand XY 1",), ("brand xy",), ("XY",), (None,)], "campaign_name string"
     )
-    kept = ingest.of_campaign_name(rows, "MB").collect()
-    assert [r[0] for r in kept] == ["Brand MB 1", "MB"]
+    kept = ingest.of_campaign_name(rows, "XY").collect()
+    assert [r[0] for r in kept] == ["Brand XY 1", "XY"]
     assert ingest.of_campaign_name(rows, None).count() == 4
 
 
@@ -246,9 +246,9 @@ def test_stored_table_merge_and_expiry(spark, tmp_path):
 def test_sync_cycle(spark, tmp_path):
     visits = [{"clickId": f"v{i}", "timestamp": f"2025-01-0{1 + i % 3}T10:00:00Z"} for i in range(9)]
     conversions = [
-        {"clickId": "v1", "campaignName": "Brand MB", "postbackTimestamp": "2025-01-03T09:10:00Z", "revenue": 2},
+        {"clickId": "v1", "campaignName": "Brand XY", "postbackTimestamp": "2025-01-03T09:10:00Z", "revenue": 2},
         {"clickId": "v2", "campaignName": "Other", "postbackTimestamp": "2025-01-03T09:20:00Z"},
-        {"clickId": "v3", "campaignName": "MB two", "postbackTimestamp": "2025-01-03T10:30:00Z"},
+        {"clickId": "v3", "campaignName": "XY two", "postbackTimestamp": "2025-01-03T10:30:00Z"},
     ]
     folders = {}
     for feed, rows in {"live_visits": visits + visits[:2], "conversions": conversions}.items():
@@ -257,7 +257,7 @@ def test_sync_cycle(spark, tmp_path):
     now = datetime(2025, 1, 3, 10, 45)
     for _ in range(2):  # a repeated cycle changes nothing
         expired = sync.run_cycle(
-            spark, folders, f"{tmp_path}/tables", now, retention_days=2, campaign_filter="MB"
+            spark, folders, f"{tmp_path}/tables", now, retention_days=2, campaign_filter="XY"
         )
         kept = read_table(spark, f"{tmp_path}/tables/conversions", S.CONVERSIONS)
         assert [r["click_id"] for r in kept.collect()] == ["v1"]  # filter, and the running hour
@@ -272,6 +272,41 @@ def test_sync_cycle(spark, tmp_path):
     assert read_table(spark, f"{tmp_path}/back/live_visits", S.LIVE_VISITS).count() == 6
 
 
+def test_first_is_decided_by_the_files_not_their_sizes(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    row = {"clickId": "v", "timestamp": "2025-01-01T10:00:00Z"}
+    (folder / "0001.json").write_text(json.dumps({**row, "os": "first"}) + "\n")
+    later = [{**row, "os": "second"}] + [{**row, "clickId": f"x{i}", "os": "x" * 200} for i in range(2000)]
+    (folder / "0002.json").write_text("\n".join(map(json.dumps, later)))
+    assert sync.load_feed(spark, str(folder), f"{tmp_path}/t", "live_visits") == 2001
+    assert stored(spark, f"{tmp_path}/t/live_visits")["v"]["os"] == "first"
+
+
+def test_rows_that_cannot_be_stored_are_kept(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    lines = [
+        json.dumps({"clickId": "a", "postbackTimestamp": "2025-01-03T09:10:00Z", "revenue": "x"}),
+        json.dumps({"clickId": "b", "postbackTimestamp": "soon"}),
+        json.dumps({"clickId": "c"}),
+        "{broken",
+    ]
+    (folder / "1.json").write_text("\n".join(lines))
+    now = datetime(2025, 1, 3, 12)
+    for _ in range(2):
+        sync.run_cycle(spark, {"conversions": str(folder)}, f"{tmp_path}/t", now)
+        rejected = spark.read.parquet(f"{tmp_path}/t/rejected").collect()
+        assert sorted((r["feed"], r["reason"], r["raw_data"]) for r in rejected) == [
+            ("conversions", "no id or broken row", "{broken"),
+            ("conversions", "unreadable time", lines[1]),
+        ]
+    (row,) = read_table(spark, f"{tmp_path}/t/conversions", S.CONVERSIONS).collect()
+    assert (row["click_id"], row["revenue"], row["revenue_raw"]) == ("a", 0, "x")
+    state = sync.read_state(spark, f"{tmp_path}/t").collect()
+    assert [(r["sync_type"], r["records_synced"]) for r in state] == [("conversions", 1)]
+
+
 def test_rollup_merge_repeats_without_duplicates(spark, tmp_path):
     rows = spark.createDataFrame(
         [
