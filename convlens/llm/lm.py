@@ -41,6 +41,8 @@ PRIOR = 8.0
 MIN_COUNT = 1
 #: Bytes of training text that one segment stands for.
 SEGMENT_BYTES = 16 << 20
+#: N-grams that are looked up at once.
+ASKED = 1 << 16
 #: Bytes of filter that are sent to every worker, at most.
 FILTER_BYTES = 128 << 20
 ALPHA = 0.1
@@ -124,6 +126,10 @@ class Filter:
 
     def counts(self, hashes: np.ndarray) -> np.ndarray:
         """The count of each n-gram, by asking for one level after the other until one is missing."""
+        parts = [self._counts(hashes[i : i + ASKED]) for i in range(0, len(hashes), ASKED)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
+    def _counts(self, hashes: np.ndarray) -> np.ndarray:
         level = np.zeros(len(hashes), np.int64)
         segment = _segment(hashes, self.segments).astype(np.int64)
         there = np.flatnonzero(self.bits[segment] > 0)

@@ -17,7 +17,12 @@ def test_counts_of_documents_and_odd_texts(spark, sf):
         assert got[doc] == plain.quality_counts(text), text
 
 
-def test_query_rejects_the_bad_and_keeps_the_good(spark, sf):
+#: Large enough for labels of both kinds to learn from and to hold back (some fifty bad ones).
+LABELLED = "/root/testdata/sf0.01"
+
+
+def test_query_rejects_the_bad_and_keeps_the_good(spark):
+    sf = LABELLED
     got = {r.doc_id: r for r in op9_quality_rules(spark, sf).collect()}
     labels = spark.read.parquet(f"{sf}/labels.parquet").where("quality is not null").collect()
     good = [got[r.doc_id].kept for r in labels if r.quality == 1 and r.doc_id in got and not got[r.doc_id].base_failed]
