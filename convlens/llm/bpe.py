@@ -27,11 +27,13 @@ from pyspark.sql import functions as F
 #: (``(?U)`` makes white space mean all of Unicode's).
 PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Distinct words whose encodings a task keeps between batches; then it starts anew.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 150_000
 #: Pairs of tokens that a task remembers, likewise.
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 300_000
+#: Rank of what uses up a whole token: nothing.
+NEVER = 1 << 60
 #: Words of texts that are put together at once.
-CHUNK_WORDS = 1_000_000
+CHUNK_WORDS = 250_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -66,71 +68,71 @@ class Vocabulary:
             self.rank[left, right] = number
             if whole not in self.made:
                 self.made[whole] = (number, left, right)
-        self.longest = max(map(len, self.id_of))
-        self.apart: dict[tuple[int, int], bool] = {}
-        self.whole: dict[int, bool] = {}
+        self.rights: dict[int, list[tuple[int, int]]] = {}
+        self.lefts: dict[int, list[tuple[int, int]]] = {}
+        #: For a pair of tokens, as one number, whether they can be neighbours.
+        self.apart: dict[int, bool] = {}
         self.known: dict[bytes, bytes] = {}
+        #: Tokens that their own bytes are encoded as; no other can be in an encoding.
+        whole: dict[int, bool] = {}
+        for token, (_, left, right) in sorted(self.made.items(), key=lambda x: x[1][0]):
+            whole[token] = whole.get(left, True) and whole.get(right, True) and self._apart(left, right, True)
+        #: A trie of those tokens from their last byte to their first: the node that follows another by
+        #: a byte, and the token that a node's bytes are, or -1.
+        self.back: dict[int, int] = {}
+        self.token_at = [-1]
+        for own, token in self.id_of.items():
+            if whole.get(token, True):
+                node = 0
+                for byte in reversed(own):
+                    node = self.back.setdefault(node << 8 | byte, len(self.token_at))
+                    if node == len(self.token_at):
+                        self.token_at.append(-1)
+                self.token_at[node] = token
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """The pieces at one edge of a token, smallest first, each with the rank that uses it up."""
-        spine, used = [], 1 << 60
-        while True:
-            spine.append((token, used))
-            if token not in self.made:
-                return spine[::-1]
-            used, token = self.made[token][0], self.made[token][side]
-
-    def stays_apart(self, left: int, right: int) -> bool:
-        """Whether ``left`` and ``right`` can be neighbours in an encoding."""
-        found = self.apart.get((left, right))
-        if found is None:
-            a, b = self._spine(left, 2), self._spine(right, 1)
-            i = j = 0
-            found = True
-            while True:
-                merge = self.rank.get((a[i][0], b[j][0]))
-                # Merges of one rank run from left to right, so the left piece is used up first.
-                if merge is not None and merge < a[i][1] and merge <= b[j][1]:
-                    found = False
-                    break
-                if i + 1 == len(a) and j + 1 == len(b):
-                    break
-                if a[i][1] <= b[j][1]:
-                    i += 1
-                else:
-                    j += 1
-            self.apart[left, right] = found
-        return found
-
-    def is_whole(self, token: int) -> bool:
-        """Whether a token's own bytes are encoded as that token."""
-        found = self.whole.get(token)
-        if found is None:
-            found = True
+        kept = self.rights if side == 2 else self.lefts
+        spine = kept.get(token)
+        if spine is None:
+            spine = [(token, NEVER)]
             if token in self.made:
-                _, left, right = self.made[token]
-                found = self.is_whole(left) and self.is_whole(right) and self._merges_first(left, right)
-            self.whole[token] = found
-        return found
-
-    def _merges_first(self, left: int, right: int) -> bool:
-        """Whether the halves, made separately, meet: nothing at the seam merges before they do."""
+                rank, half = self.made[token][0], self.made[token][side]
+                inner = self._spine(half, side)
+                spine = [*inner[:-1], (half, rank), *spine]
+            kept[token] = spine
+        return spine
+
+    def _apart(self, left: int, right: int, until_whole: bool = False) -> bool:
+        """Whether nothing at the seam of two tokens merges, not counting the two as wholes if so asked."""
         a, b = self._spine(left, 2), self._spine(right, 1)
         i = j = 0
-        while i + 1 < len(a) or j + 1 < len(b):
-            merge = self.rank.get((a[i][0], b[j][0]))
-            if merge is not None and merge < a[i][1] and merge <= b[j][1]:
+        (x, used_x), (y, used_y) = a[0], b[0]
+        rank = self.rank
+        while True:
+            last = used_x == used_y == NEVER
+            if until_whole and last:
+                return True
+            merge = rank.get((x, y))
+            # Merges of one rank run from left to right, so the left piece is used up first.
+            if merge is not None and merge < used_x and merge <= used_y:
                 return False
-            if a[i][1] <= b[j][1]:
+            if last:
+                return True
+            if used_x <= used_y:
                 i += 1
+                x, used_x = a[i]
             else:
                 j += 1
-        return True
+                y, used_y = b[j]
 
     def walk(self, words: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
-        """The ids of distinct words, depth first through their trie."""
-        id_of, longest = self.id_of, self.longest
-        before, states = b"", [(-1, 0)]  # per prefix of the word before: its last token and that one's length
+        """The ids of distinct words, depth first through their trie.
+
+        A state per prefix of the word at hand: the token that its encoding ends with, and its length.
+        """
+        back, token_at, apart = self.back.get, self.token_at, self.apart
+        before, states = b"", [(-1, 0)]
         for word in sorted(words):
             shared = 0
             for x, y in zip(before, word):
@@ -139,13 +141,27 @@ class Vocabulary:
                 shared += 1
             del states[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for begin in range(max(0, end - longest), end):
-                    token = id_of.get(word[begin:end])
-                    if token is not None and (
-                        self.stays_apart(states[begin][0], token) if begin else True
-                    ) and self.is_whole(token):
-                        states.append((token, end - begin))
+                node, begin, fits = 0, end, []
+                while begin:
+                    node = back(node << 8 | word[begin - 1])
+                    if node is None:
                         break
+                    begin -= 1
+                    if token_at[node] >= 0:
+                        fits.append(begin)
+                        fits.append(token_at[node])
+                while fits:
+                    token = fits.pop()
+                    begin = fits.pop()
+                    if begin:
+                        left = states[begin][0]
+                        stays = apart.get(left << 32 | token)
+                        if stays is None:
+                            stays = apart[left << 32 | token] = self._apart(left, token)
+                        if not stays:
+                            continue
+                    states.append((token, end - begin))
+                    break
                 else:
                     raise ValueError(f"the vocabulary has no token for byte {word[end - 1]}")
             before, at, ids = word, len(word), []
@@ -270,6 +286,7 @@ def encode(docs: DataFrame, tokenizer: str, decode_too: bool = False) -> DataFra
     schema = ", ".join([*fields, "ids array<int>", *(["decoded string"] if decode_too else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # what other stages' tasks left in this process
         own = vocabulary(sent.value)
         coded = _encoded(batches, own)
         yield from _decoded(coded, own) if decode_too else coded
