@@ -167,11 +167,14 @@ def _dealt(filed: DataFrame, sizes: dict[int, int], limit: int, other: dict[int,
     return placed.withColumn("across", F.explode(F.expr("sequence(0, others - 1)"))).drop("own", "others")
 
 
+BEST = "query long, ids array<long>, scores array<double>"
+
+
 def _best(k: int):
-    """Each query's best of a block: by score, then by id."""
+    """Each query's best of a block, by score and then by id, as one row."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"query": [], "id": [], "score": []}
+        out: dict[str, list] = {"query": [], "ids": [], "scores": []}
         if left.num_rows and right.num_rows:
             ids = right.column("id").to_numpy()
             order = np.argsort(ids, kind="stable")
@@ -185,10 +188,23 @@ def _best(k: int):
                 at = np.flatnonzero(row >= edge - 1e-9 * max(1.0, abs(edge)))
                 score = (vectors[at] * own).sum(axis=1)  # alike for equal vectors, wherever they stand
                 best = np.lexsort((ids[at], -score))[:count]
-                out["query"] += [query] * len(best)
-                out["id"] += ids[at[best]].tolist()
-                out["score"] += score[best].tolist()
-        return pa.table({"query": pa.array(out["query"], pa.int64()), "id": pa.array(out["id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
+                out["query"].append(query)
+                out["ids"].append(ids[at[best]])
+                out["scores"].append(score[best])
+        kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()))
+        return pa.table({name: pa.array(own, kind) for (name, own), kind in zip(out.items(), kinds)})
+
+    return run
+
+
+def _merged(k: int):
+    """A query's best of all its blocks, which are few: its parts, times the blocks of a part."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids = table.column("ids").combine_chunks().flatten().to_numpy()
+        scores = table.column("scores").combine_chunks().flatten().to_numpy()
+        best = np.lexsort((ids, -scores))[:k]
+        return pa.table({"query": pa.array([table.column("query")[0].as_py()] * len(best), pa.int64()), "id": ids[best], "score": scores[best]})
 
     return run
 
@@ -232,9 +248,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, router: Router |
     rows, queries = _sizes(filed), _sizes(sent)
     left = _dealt(sent, queries, BLOCK_QUERIES, rows, BLOCK_ROWS, "q").withColumnRenamed("across", "c")
     right = _dealt(filed, rows, BLOCK_ROWS, queries, BLOCK_QUERIES, "c").withColumnRenamed("across", "q")
-    found = left.groupBy("part", "q", "c").cogroup(right.groupBy("part", "q", "c")).applyInArrow(_best(k + 1), "query long, id long, score double")
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
-    found = found.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= k + 1).drop("rn")
+    blocks = left.groupBy("part", "q", "c").cogroup(right.groupBy("part", "q", "c")).applyInArrow(_best(k + 1), BEST)
+    found = blocks.groupBy("query").applyInArrow(_merged(k + 1), "query long, id long, score double")
     spoken = asks.join(speakers.withColumnRenamed("id", "query"), "vector").select(F.col("id").alias("query_id"), "query")
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     every = spoken.join(found, "query").where("query_id <> id").withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
