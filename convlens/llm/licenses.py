@@ -8,6 +8,11 @@ of it is DataFrame functions; the known table is small and its size is a matter
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -182,19 +187,43 @@ def plain_canonical(line: str) -> str:
     return " ".join(SPELLINGS.get(w, w) for w in words)
 
 
+def needles(lines: Iterable[str]) -> list[str]:
+    """Lower-case texts of which every line that is one of these canonical notices contains one.
+
+    Words are picked until each notice has one; a notice with all words of another one needs no word
+    of its own. A word counts in all spellings that it stands for.
+    """
+    bags: list[frozenset[str]] = []
+    for bag in sorted({frozenset(line.split()) for line in lines}, key=len):
+        if not any(less <= bag for less in bags):
+            bags.append(bag)
+    words: set[str] = set()
+    while bags:
+        count = Counter(w for bag in bags for w in bag)
+        if not count:
+            return [""]  # a notice without words: any line may be it
+        best = max(count, key=lambda w: (len(w) > 1, count[w], w))
+        words.add(best)
+        bags = [bag for bag in bags if best not in bag]
+    spellings = words | {a for a, b in SPELLINGS.items() if b in words}
+    return sorted(s for s in spellings if not any(o in s for o in spellings - {s}))
+
+
 def line_notices(text: Column, found: dict[str, str] | None = None) -> Column:
-    """The licences named by lines that are a known notice, sorted, each once."""
+    """The licences named by lines that are a known notice, sorted, each once.
+
+    Only lines with one of the ``needles`` are brought into the canonical form; no other can match.
+    """
     table = {plain_canonical(line): key for line, key in (notices() if found is None else found).items()}
-    longest = max(map(len, table))
     by_license: dict[str, list[str]] = {}
     for line, key in table.items():
         by_license.setdefault(key, []).append(line)
+    parts = needles(table)
     lines = F.transform(
-        F.filter(F.split(lowered(text), "\n"), lambda line: F.contains(line, F.lit("licen")) | F.contains(line, F.lit("cc"))),
+        F.filter(F.split(lowered(text), "\n"), lambda line: reduce(or_, [F.contains(line, F.lit(p)) for p in parts], F.lit(False))),
         lambda line: spelled(F.regexp_replace(line, BETWEEN, " ")),
     )
     named = [F.when(F.arrays_overlap(lines, F.lit(sorted(own))), F.lit(key)) for key, own in sorted(by_license.items())]
-    assert longest
     return F.array_compact(F.array(*named))
 
 

@@ -42,6 +42,27 @@ def test_notices_of_lines(spark):
     assert all(found == (None, []) for found in got[4:])
 
 
+def test_every_notice_is_found_as_a_line(spark):
+    known = licenses.notices()
+    first: dict[str, str] = {}
+    for line, key in known.items():
+        first[licenses.plain_canonical(line)] = key
+    texts = [f"story\n  {line}.\nmore" for line in known]
+    texts += ["Released under the GPLv3.", "Distributed under the MPL 2.0", "LICENCED UNDER THE MIT LICENCE"]
+    got = [n for _, n in scanned(spark, texts)]
+    assert got[: len(known)] == [[first[licenses.plain_canonical(line)]] for line in known]
+    assert got[len(known) :] == [["GPL-3.0"], ["MPL-2.0"], ["MIT"]]
+
+
+def test_needles_leave_no_notice_out():
+    for lines in (map(licenses.plain_canonical, licenses.notices()), ["x", "the gray one", "of behavior", "1 2"], []):
+        lines = list(lines)
+        found = licenses.needles(lines)
+        assert all(any(n in line for n in found) for line in lines)
+    assert licenses.needles(["gray"]) == ["gray", "grey"]
+    assert licenses.needles(["", "x"]) == [""]
+
+
 def test_query_agrees_with_sql_and_stays_native(spark, sf):
     frame = op1_license_scan(spark, sf)
     assert differences(frame, duck(sf).sql(oracle.license_scan())) == []
