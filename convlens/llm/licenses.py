@@ -132,6 +132,62 @@ TEXTS = {
     " If not, see <https://www.gnu.org/licenses/>.",
 }
 
+#: Further titles that entire texts customarily have; the names of notices are titles too.
+TITLES = {
+    "MIT": ["MIT", "MIT License (MIT)", "The MIT License (MIT)"],
+    "ISC": ["ISC", "ISC License (ISC)"],
+    "0BSD": ["0BSD", "BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License"],
+    "BSD-2-Clause": ["BSD-2-Clause", "BSD License", "2-Clause BSD License", "FreeBSD License"],
+    "BSD-3-Clause": ["BSD-3-Clause", "BSD License", "3-Clause BSD License", "Revised BSD License"],
+}
+#: Digests of the canonical forms of longer entire texts, as their publishers write them
+#: and in the usual shorter forms (without what follows the terms, or without the first title).
+DIGESTS = {
+    "Apache-2.0": [
+        "4bc3c949c895ead14c0dc8c6e33fd6ed118359acaad7c084c4d563cd526a878d",
+        "108490d21e2d3edc9128233e48fabc169818d0c7c5f0bbdd58231a367d2d6c87",
+        "045649cdaf85384ba827242062f2f3b36409835c98d297e25177cb1faf7c2847",
+    ],
+    "GPL-2.0": [
+        "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821",
+        "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34",
+    ],
+    "GPL-3.0": [
+        "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a",
+        "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636",
+    ],
+    "LGPL-2.1": [
+        "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891",
+        "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4",
+    ],
+    "LGPL-3.0": [
+        "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
+    ],
+    "MPL-2.0": [
+        "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9",
+    ],
+    "CC0-1.0": [
+        "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",
+        "a142ae38742c8c4c35f5fa19e0a40ebfa60fc38535daf9c570ca3d7e012e1e32",
+    ],
+    "CC-BY-SA-4.0": [
+        "4dd2d8faa991a43111f73718974d1a9133ba1453cd76d174da75d163e35fa974",
+    ],
+    "Unlicense": [
+        "7a4d92cdb11d254973a073803be1148a5402f1b2ca67808cdb3ef78b596102cd",
+        "41f84c538b3bc6dcfe6afaab48f6e16c34fd1b11b2c6be7db47873ba3bce291a",
+        "6077a8a20d606206e486caec85a30b2545701071b1e08d12c37fb9a0e490d1bf",
+    ],
+}
+
+#: Lines at the head of a text that name a holder without a year; what stands before them is group 1.
+#: The words after "copyright" that are looked for are those of wrapped sentences.
+HOLDER_LINES = (
+    r"(?i)\A((?:[^\n]{0,100}\n){0,6}?)(?:[ \t/*#;!%>-]*copyright(?:[ \t]+by)?[ \t:]+"
+    r"(?!(?:notices?|holders?|owners?|laws?|licen[sc]es?|interest|and|or|in|on|to|of|as|is|the above)\b)[^\s]+(?:[ \t]+[^\s]+){0,6}[ \t\r]*\n)+"
+)
+#: Characters of a text that are its head.
+HEAD = 1000
 #: Lines that name holders and years, with marks of comments before them; A-Z are lower case by then.
 #: A line that merely begins with the word is part of a wrapped sentence.
 COPYRIGHT_LINE = r"(?m)^[ \t/*#;!%>-]*(copyright[^\n]*(\(c\)|©|\b(19|20)\d\d\b)|\(c\)|©|all rights reserved)[^\n]*$"
@@ -162,13 +218,43 @@ def digest(text: Column) -> Column:
     return F.when(form != "", F.sha2(form, 256))
 
 
-def known_texts(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame:
-    """``(digest, license)`` of entire licence texts; of equal digests the first name counts."""
-    rows = [(name, text) for name, text in (TEXTS if texts is None else texts).items()]
-    table = spark.createDataFrame(rows, "license string, text string")
+def license_key(text: Column, own: Column) -> Column:
+    """What is looked up among the known digests: the text's ``own``, or that of the text without the
+    holders' lines at its head."""
+    head = F.substring(text.cast("string"), 1, HEAD)
+    bare = F.concat(F.regexp_replace(head, HOLDER_LINES, "$1"), F.substring(text.cast("string"), HEAD + 1, 1 << 30))
+    return F.when(head.rlike(HOLDER_LINES), digest(bare)).otherwise(own)
+
+
+def known_texts(spark: SparkSession, texts: dict[str, str] | DataFrame | None = None) -> DataFrame:
+    """``(digest, license)`` of entire licence texts; of equal digests the first name counts.
+
+    ``texts`` is a dict or a table ``(license, text)``, which may have several texts of a licence.
+    """
+    if isinstance(texts, DataFrame):
+        table = texts.select(F.col("license").cast("string").alias("license"), "text")
+    else:
+        rows = [(name, text) for name, text in (TEXTS if texts is None else texts).items()]
+        table = spark.createDataFrame(rows, "license string, text string")
     return table.select(digest(F.col("text")).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
 
 
+def titled_texts() -> list[tuple[str, str]]:
+    """``(license, text)`` of the known texts, bare and under each of their titles."""
+    rows = list(TEXTS.items())
+    for key, more in TITLES.items():
+        for title in [*NAMES.get(key, []), *more]:
+            rows += [(key, f"{title}\n\n{TEXTS[key]}"), (key, f"The {title}\n\n{TEXTS[key]}")]
+    return rows
+
+
+def known_licenses(spark: SparkSession) -> DataFrame:
+    """``(digest, license)`` of all texts known here."""
+    titled = known_texts(spark, spark.createDataFrame(titled_texts(), "license string, text string"))
+    longer = spark.createDataFrame([(d, key) for key, own in DIGESTS.items() for d in own], "digest string, license string")
+    return titled.unionByName(longer).groupBy("digest").agg(F.min("license").alias("license"))
+
+
 def notices() -> dict[str, str]:
     """One-line notices and the licence that each names, made of names and phrases."""
     found = {f"SPDX-License-Identifier: {key}": key for key in [*NAMES, *TEXTS]}
@@ -231,13 +317,15 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``docs(text, ...)`` with ``digest``, ``license`` (the entire text is that licence, else NULL) and
     ``notices`` (array of the licences that lines of it name).
 
-    The join is a hash join of every row's digest with the known ones; a text without letters or
-    digits has no digest and matches none. Repeated rows are kept; an empty table gives an empty one.
+    The join is a hash join of every row's digest with the known ones (``known_licenses``, unless a
+    table ``known(digest, license)`` is given); holders' lines without a year at the head of a text
+    do not count. A text without letters or digits has no digest and matches none. Repeated rows are kept; an empty table gives an empty one.
     Columns of those names are replaced, others are kept.
     """
-    known = known_texts(docs.sparkSession) if known is None else known
+    known = known_licenses(docs.sparkSession) if known is None else known
     text = F.col("text")
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("digest", "license", "notices")]
-    marked = docs.select(*rest, digest(text).alias("digest"), line_notices(text).alias("notices"))
+    own = digest(text)
+    marked = docs.select(*rest, own.alias("digest"), line_notices(text).alias("notices"), license_key(text, own).alias("_key"))
     found = known.select(F.col("digest").alias("_digest"), "license")
-    return marked.join(found, marked["digest"] == found["_digest"], "left").drop("_digest")
+    return marked.join(found, marked["_key"] == found["_digest"], "left").drop("_key", "_digest")

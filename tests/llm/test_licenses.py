@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import textwrap
+from pathlib import Path
+
 from convlens.llm import licenses, oracle
 from convlens.llm.queries import op1_license_scan
 from tests.compare import differences, duck
@@ -27,6 +30,36 @@ def test_every_known_text_has_its_own_digest(spark):
     assert sorted(known.values()) == sorted(licenses.TEXTS)
 
 
+def test_titles_and_holders_without_a_year(spark):
+    isc, bsd = licenses.TEXTS["ISC"], licenses.TEXTS["BSD-3-Clause"]
+    texts = [
+        "MIT License\n\nCopyright (c) 2020 X\n\n" + MIT,
+        "The MIT License (MIT)\n\nCopyright Jane Doe\n\n" + MIT,
+        "Copyright Jane Doe, Inc.\nCopyright: The Authors\nAll rights reserved.\n\n" + bsd,
+        "# ISC License\n#\n# Copyright (c) 2001 A\n# Copyright by B\n#\n" + isc,
+        "MIT License\n\nCopyright Jane Doe\n\n" + isc,
+        "Copyright Jane Doe\n\n" + MIT + " extra",
+    ]
+    assert [license for license, _ in scanned(spark, texts)] == ["MIT", "MIT", "BSD-3-Clause", "ISC", None, None]
+    wrapped = [(key, textwrap.fill(text, width, break_long_words=False)) for key, text in licenses.TEXTS.items() for width in range(30, 110, 7)]
+    assert [license for license, _ in scanned(spark, [t for _, t in wrapped])] == [key for key, _ in wrapped]
+
+
+def test_longer_entire_texts(spark):
+    """The publishers' texts, where the system has copies of them."""
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0"}
+    files |= {"MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    there = {key: path for name, key in files.items() if (path := Path("/usr/share/common-licenses", name)).exists()}
+    assert [license for license, _ in scanned(spark, [p.read_text("utf-8") for p in there.values()])] == list(there)
+
+
+def test_texts_from_a_table(spark):
+    texts = spark.createDataFrame([("Own", "You may."), ("Own", "You may too.")], "license string, text string")
+    docs = spark.createDataFrame([(1, "you MAY"), (2, "You may, too"), (3, MIT)], "doc_id long, text string")
+    got = licenses.scan(docs, licenses.known_texts(spark, texts))
+    assert {r.doc_id: r.license for r in got.collect()} == {1: "Own", 2: "Own", 3: None}
+
+
 def test_notices_of_lines(spark):
     got = scanned(
         spark,
