@@ -35,7 +35,8 @@ CONTENT_SHARE = 0.8
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>"
-    r"|<(?P<raw>script|style|textarea|title|noscript|iframe|template|svg|math|noframes|object|select)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"""|<(?:svg|math)(?=[\s/>])[^"'>]*(?:(?:"[^"]*"|'[^']*')[^"'>]*)*(?<=/)>"""  # closes itself
+    r"|<(?P<raw>script|style|textarea|title|noscript|iframe|template|svg|math|noframes|object|select)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>[^"'>]*(?:(?:"[^"]*"|'[^']*')[^"'>]*)*)>""",
     re.DOTALL | re.IGNORECASE,

@@ -31,6 +31,15 @@ def test_broken_markup_is_read_as_far_as_it_goes():
     assert html.extract('<article><p title="a > b">x</p></article') == "x\n\n</article"
 
 
+def test_raw_elements_end_where_they_end():
+    parts = ['<svg class="i" title="a > b"/>', "<math/>", "<SVG />", "<svg><path d=''/></svg>", "<svg><svg/><text>t</text></svg>"]
+    for part in parts:
+        assert html.extract(f"<article><p>one</p>{part}<p>two</p><p>three</p></article>") == "one\n\ntwo\n\nthree"
+    for name in ("title-bar", "select-box", "object-x"):
+        assert html.extract(f"<article><p>one</p><{name}>in</{name}><p>two</p></article>") == "one\n\nin\n\ntwo"
+    assert html.extract("<article><p>one</p><select><option>no</select><title>no</title><p>two</p></article>") == "one\n\ntwo"
+
+
 def page(number: int, text: str) -> str:
     return (
         f"<html><body><div class=top><p>Welcome to us</p></div><div class=story><h1>Title {number}</h1>"
