@@ -66,7 +66,33 @@ MARKS = frozenset(
     " pagination pager masthead copyright search".split()
 )
 HEADS = frozenset("header masthead banner topbar".split())
-UNMARKS = frozenset("with has no without main content article body".split())
+#: Elements that may wrap an article; words that say of a wrapper what is in it, and those of
+#: names that wrap an article together with what is beside it (as in content-sidebar-wrap).
+WRAPPERS = frozenset("html body main article section div".split())
+PLAIN = frozenset("html body article main".split())
+STATES = frozenset("with has no without".split())
+WHOLES, WRAPS = frozenset("main content article body".split()), frozenset("wrap wrapper container layout grid".split())
+SIDES = frozenset("sidebar aside".split())
+COMMENTS = frozenset("comment comments".split())
+
+
+def marks(tag: str, name: str) -> set[str]:
+    """The marks among the parts of one name of an element.
+
+    On a wrapper, a mark does not count behind a word that says what the wrapper has (with-sidebar,
+    no-ads), nor a side in the name of what wraps it together with the content; of comments on an
+    element that is never a mere part, whether they are open does not count either.
+    """
+    parts = [p.lower() for p in NAME_PART.findall(name)]
+    found = MARKS.intersection(parts)
+    if not found or tag not in WRAPPERS:
+        return found
+    if not WHOLES.isdisjoint(parts) and not WRAPS.isdisjoint(parts):
+        found -= SIDES
+    said = {p for before, p in zip(parts, parts[1:]) if before in STATES}
+    if tag in PLAIN:
+        said |= {p for p, after in zip(parts, parts[1:]) if p in COMMENTS and after in ("open", "closed")}
+    return found - said
 
 
 @dataclass
@@ -89,12 +115,13 @@ class Element:
             self.path = f"{outer}>{tag}" if outer else tag
             return
         found = {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(more)}
-        names = [p.lower() for k in ("class", "id", "role") for p in NAME_PART.findall(found.get(k, ""))]
+        given = [name for k in ("class", "id", "role") for name in found.get(k, "").split()]
+        names = [p.lower() for name in given for p in NAME_PART.findall(name)]
         hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
         hidden = hidden or re.sub(r"\s", "", found.get("style", "")).lower().find("display:none") >= 0
-        marked = not MARKS.isdisjoint(names) and UNMARKS.isdisjoint(names)
-        plain = tag in ("html", "body", "article", "main")
-        self.aside = hidden or tag in ASIDE or (marked and (not plain or not {"comment", "comments"}.isdisjoint(names)))
+        marked = set() if MARKS.isdisjoint(names) else set().union(*(marks(tag, name) for name in given))
+        plain = tag in PLAIN
+        self.aside = hidden or tag in ASIDE or bool(marked & COMMENTS if plain else marked)
         self.head = tag == "header" or not HEADS.isdisjoint(names) and not plain
         role = ".main" if found.get("role", "").lower() == "main" else ""
         self.name = tag + role + "".join("." + c for c in sorted(set(found.get("class", "").split()))) + ("#" + found["id"] if found.get("id") else "")

@@ -31,6 +31,19 @@ def test_broken_markup_is_read_as_far_as_it_goes():
     assert html.extract('<article><p title="a > b">x</p></article') == "x\n\n</article"
 
 
+def test_names_that_hold_a_mark_and_a_layout_word():
+    aside = ["article-comments", "comment-body", "comment-content", "sidebar-content", "ad-content", "cookie-notice-body", "main-nav"]
+    aside += ["comment has-reply", "comment-no-avatar", "main-sidebar", "post comment-body"]
+    for name in aside:
+        assert html.extract(f"<article><p>one</p><div class='{name}'><p>no</p></div><p>two</p></article>") == "one\n\ntwo"
+        assert html.extract(f"<body><div class=story><p>one</p></div><div class='{name}'><p>no</p></div></body>") == "one"
+    assert html.extract("<article><p>one</p><p class='no-comments'>Comments are closed.</p></article>") == "one"
+    for name in ["with-sidebar", "has-sidebar main", "no-sidebar", "content-with-sidebar", "content-sidebar-wrap", "post has-comments", "no-ads"]:
+        assert html.extract(f"<body><div class='{name}'><article><p>one</p></article></div></body>") == "one"
+        assert html.extract(f"<body class='{name}'><div class='{name}'><p>one</p></div></body>") == "one"
+    assert html.extract("<body class='main comments-open'><article class='post comments-closed'><p>one</p></article></body>") == "one"
+
+
 def test_raw_elements_end_where_they_end():
     parts = ['<svg class="i" title="a > b"/>', "<math/>", "<SVG />", "<svg><path d=''/></svg>", "<svg><svg/><text>t</text></svg>"]
     for part in parts:
