@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convlens.llm import ann, bpe, html, jaccard, licenses, lm, mixing, oracle, quality, sharding, urls
+from convlens.llm import ann, bpe, clusters, html, jaccard, licenses, lm, minhash, mixing, oracle, quality, sharding, turns, urls
+from convlens.runtime import cut
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,8 @@ URL_RULES = [
 SOURCE_WEIGHTS, MIX_SHARE, MIX_LIMIT = [5.0, 2.0, 1.0], 1.5, 2
 #: Bytes of a shard.
 SHARD_BYTES = oracle.SHARD_BYTES
+#: Centroids and rounds of the clustering, and what is hashed with an id to choose the first centroids.
+CENTROIDS, ROUNDS, SEED = 40, 5, 2
 
 
 def importable(spark: SparkSession) -> None:
@@ -103,6 +106,36 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = turns.ordered(_table(spark, sf_dir, "conversations"))
+    base, head = F.expr("conv_id - conv_id % 5"), F.expr("crc32(cast(cast(conv_id as string) as binary)) % 9")
+    trie = turns.prefix_trie(*turns.spliced(places, base, head))
+    rows = trie.nodes.join(turns.end_digests(trie.ends), ["k1", "k2"], "left")
+    return rows.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.lit(turns.NOTHING)).alias("ends_sha256"),
+    )
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    first = F.sha2(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("binary"), 256)
+    found, state = clusters.cluster(vectors, first, CENTROIDS, ROUNDS)
+    found = cut(found)
+    sums = {r.cluster: int(r.x) for r in found.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("x")).collect()}
+    about = spark.createDataFrame(
+        [(j, x, sum(sums.values()), clusters.centroid_digest(state.centroids[j])) for j, x in sums.items()],
+        "cluster int, cluster_inertia long, inertia long, centroid_sha256 string",
+    )
+    return found.join(F.broadcast(about), "cluster").select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), size=2, num=80, den=100)
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_url_filter": op2_url_filter,
@@ -114,6 +147,14 @@ QUERIES: dict[str, Query] = {
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_nearest": op10_nearest,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_centroids": op12_centroids,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
 
-ORACLE: dict[str, str] = {"op1_license_scan": oracle.license_scan(), "op5_sharding": oracle.sharding()}
+ORACLE: dict[str, str] = {
+    "op1_license_scan": oracle.license_scan(),
+    "op5_sharding": oracle.sharding(),
+    "op11_prefix_trie": oracle.prefix_trie(),
+    "op12_centroids": oracle.centroids(CENTROIDS, ROUNDS, SEED),
+}

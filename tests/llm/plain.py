@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 import re
@@ -93,3 +94,67 @@ def url_parts(url: str | None) -> tuple[str, str]:
     rest = url.split("://", 1)[1]
     host = re.split("[/?#]", rest, maxsplit=1)[0]
     return host.translate(ASCII_LOWER), re.split("[?#]", rest[len(host) :], maxsplit=1)[0]
+
+
+def rebuilt(rows: list[tuple]) -> dict[int, list[tuple[str, str]]]:
+    """Rows (conv_id, turn, role, text) as conversations, each with the head of another one."""
+    own: dict[int, list] = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            name = hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+            own.setdefault(conv, []).append((turn is not None, turn or 0, name, (role, text)))
+    lined = {c: [t[3] for t in sorted(ts)] for c, ts in own.items()}
+    out = {}
+    for c, ts in lined.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = lined.get(c - c % 5, [])[:h] + ts[h:]
+    return out
+
+
+def trie_rows(convs: dict[int, list[tuple[str, str]]]) -> list[tuple]:
+    """The rows of op11, by walking all prefixes."""
+    members: dict[tuple, list[int]] = {}
+    for c, ts in convs.items():
+        for d in range(len(ts) + 1):
+            members.setdefault(tuple(ts[:d]), []).append(c)
+    kids: dict[tuple, list[tuple]] = {}
+    for node in members:
+        if node:
+            kids.setdefault(node[:-1], []).append(node)
+    leaves, saved, out = {}, {}, []
+    for node in sorted(members, key=len, reverse=True):
+        below = kids.get(node, [])
+        leaves[node] = sum(leaves[k] for k in below) if below else 1
+        own = (len(members[node]) - 1) * len(node[-1][1].encode()) if node else 0
+        saved[node] = own + sum(saved[k] for k in below)
+        ends = sorted(c for c in members[node] if len(convs[c]) == len(node))
+        digest = hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest()
+        above = min(members[node[:-1]]) if node else None
+        out.append((min(members[node]), len(node), above, len(members[node]), len(below), leaves[node], saved[node], digest))
+    return sorted(out, key=str)
+
+
+def clustered(rows: list[tuple], order, count: int, rounds: int, size: int, scale: int) -> list[tuple]:
+    """(id, cluster, distance, cluster_inertia, inertia, digest) by assigning every vector in every round."""
+    kept = [
+        (i, [math.floor(scale * x) for x in v])
+        for i, v in rows
+        if v is not None and len(v) == size and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    middle = [v for _, v in sorted(kept, key=lambda r: (order(r[0]), r[1]))[:count]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), j) for j, c in enumerate(middle))
+
+    for _ in range(rounds):
+        groups: dict[int, list] = {}
+        for _, v in kept:
+            groups.setdefault(nearest(v)[1], []).append(v)
+        middle = [[sum(x) // len(groups[j]) for x in zip(*groups[j])] if j in groups else c for j, c in enumerate(middle)]
+    found = [(i, *nearest(v)[::-1]) for i, v in kept]
+    own: Counter = Counter()
+    for _, j, d in found:
+        own[j] += d
+    digest = {j: hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for j, c in enumerate(middle)}
+    return sorted(((i, j, d, own[j], sum(own.values()), digest[j]) for i, j, d in found), key=str)
