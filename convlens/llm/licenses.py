@@ -180,14 +180,12 @@ DIGESTS = {
     ],
 }
 
-#: Lines at the head of a text that name a holder without a year; what stands before them is group 1.
-#: The words after "copyright" that are looked for are those of wrapped sentences.
-HOLDER_LINES = (
-    r"(?i)\A((?:[^\n]{0,100}\n){0,6}?)(?:[ \t/*#;!%>-]*copyright(?:[ \t]+by)?[ \t:]+"
-    r"(?!(?:notices?|holders?|owners?|laws?|licen[sc]es?|interest|and|or|in|on|to|of|as|is|the above)\b)[^\s]+(?:[ \t]+[^\s]+){0,6}[ \t\r]*\n)+"
-)
-#: Characters of a text that are its head.
-HEAD = 1000
+#: What lines that name a holder without a year begin with; the words after "copyright" that stand in NO_HOLDER
+#: are those of wrapped sentences.
+HOLDER = r"[ \t/*#;!%>-]*copyright(?:[ \t]+by)?[ \t:]+"
+NO_HOLDER = r"(?:notices?|holders?|owners?|laws?|licen[sc]es?|interest|and|or|in|on|to|of|as|is|the above)\b"
+#: Such lines, anywhere in a lower-case text.
+HOLDER_LINE = rf"(?md)^{HOLDER}(?!{NO_HOLDER})[^\s]+(?:[ \t]+[^\s]+){{0,6}}[ \t\r]*$"
 #: Lines that name holders and years, with marks of comments before them; A-Z are lower case by then.
 #: A line that merely begins with the word is part of a wrapped sentence.
 COPYRIGHT_LINE = r"(?m)^[ \t/*#;!%>-]*(copyright[^\n]*(\(c\)|©|\b(19|20)\d\d\b)|\(c\)|©|all rights reserved)[^\n]*$"
@@ -206,24 +204,28 @@ def spelled(between: Column) -> Column:
     return F.trim(F.array_join(words, " "))
 
 
+def _contains(text: Column, parts: Iterable[str]) -> Column:
+    return reduce(or_, [F.contains(text, F.lit(p)) for p in parts], F.lit(False))
+
+
+def _form(low: Column) -> Column:
+    """The canonical form of a lower-case text; copyright lines are looked for where there can be one."""
+    bare = F.when(_contains(low, ["copyright", "(c)", "©", "all rights reserved"]), F.regexp_replace(low, COPYRIGHT_LINE, "")).otherwise(low)
+    return spelled(F.regexp_replace(bare, BETWEEN, " "))
+
+
 def canonical(text: Column) -> Column:
     """The canonical form of an entire text; NULL counts as empty."""
-    bare = F.regexp_replace(lowered(text), COPYRIGHT_LINE, "")
-    return spelled(F.regexp_replace(bare, BETWEEN, " "))
+    return _form(lowered(text))
 
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical form; NULL if nothing is left of the text."""
-    form = canonical(text)
+def _digest(form: Column) -> Column:
     return F.when(form != "", F.sha2(form, 256))
 
 
-def license_key(text: Column, own: Column) -> Column:
-    """What is looked up among the known digests: the text's ``own``, or that of the text without the
-    holders' lines at its head."""
-    head = F.substring(text.cast("string"), 1, HEAD)
-    bare = F.concat(F.regexp_replace(head, HOLDER_LINES, "$1"), F.substring(text.cast("string"), HEAD + 1, 1 << 30))
-    return F.when(head.rlike(HOLDER_LINES), digest(bare)).otherwise(own)
+def digest(text: Column) -> Column:
+    """SHA-256 of the canonical form; NULL if nothing is left of the text."""
+    return _digest(canonical(text))
 
 
 def known_texts(spark: SparkSession, texts: dict[str, str] | DataFrame | None = None) -> DataFrame:
@@ -295,37 +297,58 @@ def needles(lines: Iterable[str]) -> list[str]:
     return sorted(s for s in spellings if not any(o in s for o in spellings - {s}))
 
 
-def line_notices(text: Column, found: dict[str, str] | None = None) -> Column:
-    """The licences named by lines that are a known notice, sorted, each once.
-
-    Only lines with one of the ``needles`` are brought into the canonical form; no other can match.
-    """
+def _notice_table(found: dict[str, str] | None) -> dict[str, list[str]]:
+    """The canonical lines that name each licence."""
     table = {plain_canonical(line): key for line, key in (notices() if found is None else found).items()}
     by_license: dict[str, list[str]] = {}
-    for line, key in table.items():
+    for line, key in sorted(table.items()):
         by_license.setdefault(key, []).append(line)
-    parts = needles(table)
-    lines = F.transform(
-        F.filter(F.split(lowered(text), "\n"), lambda line: reduce(or_, [F.contains(line, F.lit(p)) for p in parts], F.lit(False))),
-        lambda line: spelled(F.regexp_replace(line, BETWEEN, " ")),
-    )
-    named = [F.when(F.arrays_overlap(lines, F.lit(sorted(own))), F.lit(key)) for key, own in sorted(by_license.items())]
-    return F.array_compact(F.array(*named))
+    return by_license
+
+
+def _notice_lines(low: Column, by_license: dict[str, list[str]]) -> Column:
+    """The canonical forms of a lower-case text's lines that can be a notice.
+
+    Only lines with one of the ``needles`` are brought into the canonical form; no other can match.
+    """
+    parts = needles(line for own in by_license.values() for line in own)
+    lines = F.filter(F.split(low, "\n"), lambda line: _contains(line, parts))
+    return F.transform(lines, lambda line: spelled(F.regexp_replace(line, BETWEEN, " ")))
 
 
-def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def _named(lines: Column, by_license: dict[str, list[str]]) -> Column:
+    named = [F.when(F.arrays_overlap(lines, F.lit(own)), F.lit(key)) for key, own in sorted(by_license.items())]
+    return F.when(F.size(lines) > 0, F.array_compact(F.array(*named))).otherwise(F.array().cast("array<string>"))
+
+
+def scan(docs: DataFrame, known: DataFrame | None = None, found: dict[str, str] | None = None) -> DataFrame:
     """``docs(text, ...)`` with ``digest``, ``license`` (the entire text is that licence, else NULL) and
-    ``notices`` (array of the licences that lines of it name).
+    ``notices`` (array of the licences that lines of it name, sorted, each once).
 
     The join is a hash join of every row's digest with the known ones (``known_licenses``, unless a
-    table ``known(digest, license)`` is given); holders' lines without a year at the head of a text
-    do not count. A text without letters or digits has no digest and matches none. Repeated rows are kept; an empty table gives an empty one.
-    Columns of those names are replaced, others are kept.
+    table ``known(digest, license)`` is given). A text with lines that name a holder without a year is
+    also looked up without them, wherever they stand. ``found`` replaces the known notices.
+
+    Whole texts are read, however long; each is lower-cased and brought into its form once. A text without letters or digits, NULL included, has no digest
+    and matches none. Repeated rows are kept; an empty table gives an empty one. Columns of the three names are replaced, others are kept, whatever their names.
     """
     known = known_licenses(docs.sparkSession) if known is None else known
-    text = F.col("text")
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("digest", "license", "notices")]
-    own = digest(text)
-    marked = docs.select(*rest, own.alias("digest"), line_notices(text).alias("notices"), license_key(text, own).alias("_key"))
-    found = known.select(F.col("digest").alias("_digest"), "license")
-    return marked.join(found, marked["_key"] == found["_digest"], "left").drop("_key", "_digest")
+    known = known.groupBy("digest").agg(F.min("license").alias("license"))
+    by_license = _notice_table(found)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    kept = [(i, c) for i, c in enumerate(docs.columns) if c not in ("digest", "license", "notices")]
+    own = [f"c{i}" for i, _ in kept]
+    low = F.col("low")
+    without = F.when(F.contains(low, F.lit("copyright")) & low.rlike(HOLDER_LINE), _form(F.regexp_replace(low, HOLDER_LINE, "")))
+    formed = plain.select(*own, lowered(F.col(f"c{docs.columns.index('text')}")).alias("low")).select(
+        *own, _form(low).alias("form"), without.alias("bare"), _notice_lines(low, by_license).alias("lines")
+    )
+    marked = formed.select(
+        *own, _digest(F.col("form")).alias("digest"), _digest(F.col("bare")).alias("bare"), _named(F.col("lines"), by_license).alias("notices")
+    )
+    entire = known.select(F.col("digest").alias("k1"), F.col("license").alias("l1"))
+    bare = known.select(F.col("digest").alias("k2"), F.col("license").alias("l2"))
+    rows = marked.join(entire, F.expr("digest = k1"), "left").join(bare, F.expr("bare = k2"), "left")
+    return rows.select(
+        *[F.col(f"c{i}").alias(c) for i, c in kept], "digest", "notices", F.coalesce("l1", "l2").alias("license")
+    )

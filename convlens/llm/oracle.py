@@ -45,24 +45,29 @@ def _digest(text: str) -> str:
 
 
 def license_scan() -> str:
-    """Canonical digests of whole texts, joined; lines that are a known notice."""
-    texts = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in licenses.TEXTS.items())
+    """Canonical digests of whole texts, with and without holders' lines, joined; lines that are a known notice."""
+    texts = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in licenses.titled_texts())
+    longer = ", ".join(f"({_quoted(k)}, {_quoted(d)})" for k, own in licenses.DIGESTS.items() for d in own)
     known = {licenses.plain_canonical(line): key for line, key in licenses.notices().items()}
     lines = ", ".join(f"({_quoted(line)}, {_quoted(key)})" for line, key in known.items())
+    holder = f"regexp_matches(line, {_quoted(f'^{licenses.HOLDER}[^ \\t\\r]+([ \\t]+[^ \\t\\r]+){{0,6}}[ \\t\\r]*$')})"
+    wrapped = f"regexp_matches(line, {_quoted(f'^{licenses.HOLDER}{licenses.NO_HOLDER}')})"
+    bare = f"array_to_string(list_filter(string_split(lower(coalesce(text, '')), chr(10)), lambda line: not ({holder} and not {wrapped})), chr(10))"
     return f"""
         with known as (
-            select digest, min(license) as license
-            from (select license, {_digest("text")} as digest from (values {texts}) t(license, text)) group by digest
+            select digest, min(license) as license from (
+                select license, {_digest("text")} as digest from (values {texts}) t(license, text)
+                union all select license, digest from (values {longer}) t(license, digest)
+            ) group by digest
         ), notice(line, license) as (values {lines}),
         line as (
             select doc_id, unnest(string_split(lower(coalesce(text, '')), chr(10))) as line from documents
         ), named as (
             select doc_id, array_to_string(list_sort(list(distinct n.license)), ',') as notices
-            from (select doc_id, {_spelled("line")} as line from line where line like '%licen%' or line like '%cc%') l
-            join notice n using (line) group by doc_id
-        ), marked as (select doc_id, {_digest("text")} as digest from documents)
-        select m.doc_id, m.digest, k.license, coalesce(n.notices, '') as notices
-        from marked m left join known k using (digest) left join named n using (doc_id)
+            from (select doc_id, {_spelled("line")} as line from line) l join notice n using (line) group by doc_id
+        ), marked as (select doc_id, {_digest("text")} as digest, {_digest(bare)} as bare from documents)
+        select m.doc_id, m.digest, coalesce(k.license, b.license) as license, coalesce(n.notices, '') as notices
+        from marked m left join known k using (digest) left join known b on b.digest = m.bare left join named n using (doc_id)
     """
 
 

@@ -45,6 +45,34 @@ def test_titles_and_holders_without_a_year(spark):
     assert [license for license, _ in scanned(spark, [t for _, t in wrapped])] == [key for key, _ in wrapped]
 
 
+def test_holders_wherever_they_stand(spark):
+    """Any number of holders' lines, in several groups; a long text is read to its end."""
+    many = "".join(f"Copyright The Holder Number {i}\n" for i in range(60))
+    texts = [
+        many + "\n" + MIT,
+        "MIT License\n\nCopyright Jane Doe\n\nCopyright John Doe\n\n" + MIT,
+        MIT + "\n\nCopyright by The Authors\n",
+        "\n" * 5000 + "Copyright Jane Doe\n" * 3000 + MIT,
+        many + "\n" + MIT + " extra",
+        ("word " * 50 + "\n") * 4000 + "Released under the MIT License.",
+    ]
+    got = scanned(spark, texts)
+    assert [license for license, _ in got] == ["MIT"] * 4 + [None] * 2
+    assert got[5] == (None, ["MIT"])
+
+
+def test_columns_of_any_name_and_texts_of_nothing(spark):
+    names = ["_key", "_digest", "low", "form", "bare", "lines", "k1", "l1", "c0"]
+    docs = spark.createDataFrame([(1, MIT, *names), (2, None, *names)], ["doc_id", "text", *names])
+    got = licenses.scan(docs)
+    assert got.columns == ["doc_id", "text", *names, "digest", "notices", "license"]
+    rows = {r.doc_id: r for r in got.collect()}
+    assert [rows[1][c] for c in names] == names and rows[1].license == "MIT"
+    assert (rows[2].digest, rows[2].license, rows[2].notices) == (None, None, [])
+    nothing = spark.createDataFrame([(1, None), (2, None)], "doc_id long, text string")
+    assert [(r.digest, r.license, r.notices) for r in licenses.scan(nothing).collect()] == [(None, None, [])] * 2
+
+
 def test_longer_entire_texts(spark):
     """The publishers' texts, where the system has copies of them."""
     files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0"}
