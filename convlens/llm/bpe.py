@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from convlens.llm.text import give_back, small_batches
+
 #: Fixed value: how the byte-level vocabularies cut a text into words, for Java's regular expressions
 #: (``(?U)`` makes white space mean all of Unicode's).
 PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -274,24 +276,30 @@ def encode(docs: DataFrame, tokenizer: str, decode_too: bool = False) -> DataFra
 
     ``tokenizer``: path of a byte-level BPE file, read on the driver and sent to the tasks; its size
     bounds what is sent. Ids are those of the file's own library without added special tokens at the
-    ends; a special token's string in a text is that token. Other columns must not be called
-    ``words``, ``ids`` or ``decoded``. NULL and empty texts have no ids. Rows meet no shuffle.
+    ends; a special token's string in a text is that token. Rows meet no shuffle.
+
+    NULL and empty texts have no ids; long texts are encoded whole, the longer ones in a batch by themselves. Repeated rows are
+    encoded each, an empty table gives an empty one. Columns called as the new ones are replaced, others are kept, whatever their names.
     """
+    spark = docs.sparkSession
+    small_batches(spark)
     with open(tokenizer, encoding="utf-8") as file:
-        sent = docs.sparkSession.sparkContext.broadcast(file.read())
-    words = text_words(list(vocabulary(sent.value).specials))
-    rest = [c for c in docs.columns if c != "text"]
-    kept = docs.select(*[F.col(f"`{c}`") for c in rest], words.alias("words"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "words"]
+        sent = spark.sparkContext.broadcast(file.read())
+    new = ["ids", *(["decoded"] if decode_too else [])]
+    rest = [c for c in docs.columns if c != "text" and c not in new]
+    own = [f"c{i}" for i in range(len(rest))]
+    found = text_words(list(vocabulary(sent.value).specials))
+    kept = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(rest, own, strict=True)], found.alias("words"))
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in kept.schema if f.name != "words"]
     schema = ", ".join([*fields, "ids array<int>", *(["decoded string"] if decode_too else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()  # what other stages' tasks left in this process
-        own = vocabulary(sent.value)
-        coded = _encoded(batches, own)
-        yield from _decoded(coded, own) if decode_too else coded
+        give_back()  # what other stages' tasks left in this process
+        coder = vocabulary(sent.value)
+        coded = _encoded(batches, coder)
+        yield from _decoded(coded, coder) if decode_too else coded
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema).toDF(*rest, *new)
 
 
 def decode(coded: DataFrame, tokenizer: str) -> DataFrame:

@@ -9,8 +9,9 @@ then drawn by a seeded hash until that many words are taken.
 Drawing is distributed: within a pattern, documents of like size (by powers of two) are one stratum,
 and the border between drawn and not drawn hashes is found by histograms of hash prefixes, each
 looking only into the border cell of the one before. No group is ever ordered or gathered, and the
-strata settle one after the other, large documents first, so that the words taken miss the flow by
-about half a small document.
+strata settle one after the other, large documents first. What is still missing or too much is a sum of
+few documents: of those with hashes next to the borders, a bounded number, the uses are changed whose
+sum comes nearest. A source of a few dozen documents is drawn as near to its target as any draw can be.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ from __future__ import annotations
 from collections import deque
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convlens.llm.text import WORD
@@ -28,8 +31,8 @@ from convlens.runtime import cut
 PATTERNS = 5_000
 #: Hash bits that one histogram decides, and how many histograms there are.
 BITS, ROUNDS = 12, 3
-#: How often what a mix misses its flow by is asked of smaller documents.
-REPAIRS = 2
+#: Documents next to a pattern's borders whose uses may change, about so many; and sums kept of them.
+NEAR, SUMS = 64, 1 << 18
 
 
 def word_count(text: str = "text") -> Column:
@@ -147,6 +150,7 @@ class Cell:
 
 
 Key = tuple[int, int]
+Place = tuple[int, int, int]
 
 
 def _search(slim: DataFrame, cells: dict[Key, Cell]) -> None:
@@ -158,7 +162,7 @@ def _search(slim: DataFrame, cells: dict[Key, Cell]) -> None:
     for number in range(1, ROUNDS + 1):
         shift = BITS * (ROUNDS - number)
         open_cells = [(p, s, c.prefix, float(c.goal - c.below)) for (p, s), c in cells.items() if c.border is None]
-        here = spark.createDataFrame(open_cells, "pattern int, stratum int, prefix long, goal double")
+        here = _table(spark, open_cells, pattern=pa.int32(), stratum=pa.int32(), prefix=pa.int64(), goal=pa.float64())
         border = (
             slim.withColumn("prefix", F.shiftright("hash", shift + BITS))
             .join(F.broadcast(here), ["pattern", "stratum", "prefix"])
@@ -192,47 +196,93 @@ def _decide(cells: dict[Key, Cell]) -> tuple[dict[Key, int], dict[int, int]]:
     return borders, taken
 
 
-def _borders(slim: DataFrame, wanted: dict[int, float]) -> list[tuple[int, int, int, int]]:
-    """``(pattern, stratum, copies, border)``: rows with a hash below the border are used once more.
+def nearest_sum(target: float, items: list[list[int]]) -> list[int]:
+    """An option for each item, so that the options' sum comes near ``target``; each item's first option is 0.
 
-    ``slim(pattern, stratum, size, hash)``; ``wanted``: how many times a pattern's words are used. What
-    is missing or too much after all strata settled is asked of the smallest documents that can give
-    it, else of all that are small enough, and so on a few times.
+    Sums of the items so far are kept, each reached once, and of very many the nearest ones. It ends
+    where no sum of whole numbers can be nearer.
     """
-    totals = slim.groupBy("pattern", "stratum").agg(F.sum("size").alias("all")).collect()
+    sums, steps = np.zeros(1, np.int64), []
+    best = abs(target - round(target)) + 1e-9
+    for options in items:
+        if np.abs(sums - target).min() <= best:
+            break
+        every = np.concatenate([sums + o for o in options])
+        _, first = np.unique(every, return_index=True)  # of equal sums the earliest option
+        if len(first) > SUMS:
+            first = first[np.argpartition(np.abs(every[first] - target), SUMS)[:SUMS]]
+        steps.append(np.divmod(first, len(sums)))
+        sums = every[first]
+    at, chosen = int(np.abs(sums - target).argmin()), []
+    for option, before in reversed(steps):
+        chosen.append(int(option[at]))
+        at = int(before[at])
+    return chosen[::-1] + [0] * (len(items) - len(chosen))
+
+
+def settled(short: float, near: list[tuple[Place, int, int]], base: int, limit: int) -> dict[Place, int]:
+    """Changes of uses, by place, whose words come nearest to ``short``; ``near``: ``(place, words, uses)``.
+
+    Uses change between ``base`` and one more; to other numbers up to ``limit`` only where that comes nearer.
+    """
+    near = sorted(near, key=lambda x: (abs(x[1] - abs(short)), x[0]))
+    best, missed = {}, abs(short)
+    for low, high in ((base, min(base + 1, limit)), (0, limit)):
+        uses = [sorted(range(low, high + 1), key=lambda u, own=own: (abs(u - own), u)) for _, _, own in near]
+        picked = nearest_sum(short, [[(u - own) * words for u in us] for us, (_, words, own) in zip(uses, near, strict=True)])
+        changes = {place: us[i] - own for i, us, (place, _, own) in zip(picked, uses, near, strict=True) if us[i] != own}
+        words = {place: words for place, words, _ in near}
+        miss = abs(short - sum(n * words[place] for place, n in changes.items()))
+        if miss < missed - 1e-6:
+            best, missed = changes, miss
+    return best
+
+
+def _table(spark: SparkSession, rows: list[tuple], **types: pa.DataType) -> DataFrame:
+    columns = list(zip(*rows)) if rows else [[] for _ in types]
+    return spark.createDataFrame(pa.table({n: pa.array(list(c), t) for (n, t), c in zip(types.items(), columns, strict=True)}))
+
+
+def _near(slim: DataFrame, strata: list[tuple[int, int, int, int]]) -> list[tuple[Place, int]]:
+    """``((pattern, stratum, hash), words)`` of the hashes next to the borders, from ``(pattern, stratum, low, high)``."""
+    band = _table(slim.sparkSession, strata, pattern=pa.int32(), stratum=pa.int32(), low=pa.int64(), high=pa.int64())
+    inside = slim.join(F.broadcast(band), ["pattern", "stratum"]).where("hash >= low and hash < high")
+    found = inside.groupBy("pattern", "stratum", "hash").agg(F.sum("size").alias("words")).collect()
+    return [((r["pattern"], r["stratum"], r["hash"]), r["words"]) for r in found]
+
+
+def _borders(slim: DataFrame, wanted: dict[int, float], limit: int) -> tuple[list[tuple[int, int, int, int]], dict[Place, int]]:
+    """``(pattern, stratum, copies, border)``: rows with a hash below the border are used once more; and
+    changes of that for single hashes.
+
+    ``slim(pattern, stratum, size, hash)``; ``wanted``: how many times a pattern's words are used.
+    """
+    totals = slim.groupBy("pattern", "stratum").agg(F.sum("size").alias("all"), F.count("*").alias("n")).collect()
     copies = {p: int(wanted[p] + 1e-9) for p in wanted}
     cells: dict[Key, Cell] = {}
-    goals = dict.fromkeys(wanted, 0.0)
+    goals, count, strata = dict.fromkeys(wanted, 0.0), {}, dict.fromkeys(wanted, 0)
     for r in totals:
-        goal = max(0.0, wanted[r["pattern"]] - copies[r["pattern"]]) * r["all"]
-        cells[r["pattern"], r["stratum"]] = Cell(r["all"], goal)
-        goals[r["pattern"]] += goal
+        p, key = r["pattern"], (r["pattern"], r["stratum"])
+        cells[key] = Cell(r["all"], max(0.0, wanted[p] - copies[p]) * r["all"])
+        goals[p] += cells[key].goal
+        count[key], strata[p] = r["n"], strata[p] + 1
     _search(slim, cells)
     borders, taken = _decide(cells)
-    for _ in range(REPAIRS):
-        moved = {}
-        for p in taken:
-            short = goals[p] - taken[p]
-            if abs(short) >= 1:
-                own = sorted(((s, c) for (q, s), c in cells.items() if q == p and 1 << s <= 2 * abs(short)), key=lambda x: x[0])
-                room = [(s, c) for s, c in own if 0 <= c.goal + short <= c.all]
-                for s, cell in room[:1] or own[::-1]:  # the smallest that can give it all, else all together
-                    step = min(max(short, -cell.goal), cell.all - cell.goal)
-                    if step:
-                        moved[p, s] = Cell(cell.all, cell.goal + step)
-                        short -= step
-        if not moved:
-            break
-        _search(slim, moved)
-        tried = cells | moved
-        new_borders, new_taken = _decide(tried)
-        better = {p for p in taken if abs(goals[p] - new_taken[p]) < abs(goals[p] - taken[p])}
-        cells = {k: tried[k] if k[0] in better else c for k, c in cells.items()}
-        borders = {k: new_borders[k] if k[0] in better else b for k, b in borders.items()}
-        taken = {p: new_taken[p] if p in better else t for p, t in taken.items()}
-        if not better:
-            break
-    return [(p, s, copies[p], border) for (p, s), border in borders.items()]
+    whole = 1 << BITS * ROUNDS
+    bands = []
+    for (p, s), border in sorted(borders.items()):
+        if abs(goals[p] - taken[p]) > 0.5:
+            width = whole * max(2, NEAR // strata[p]) // count[p, s] // 2 + 1
+            low = max(0, min(border, whole) - width)
+            bands.append((p, s, low, max(border + width, low + 2 * width)))
+    near: dict[int, list[tuple[Place, int, int]]] = {}
+    for place, words in _near(slim, bands) if bands else []:
+        p, s, own = place
+        near.setdefault(p, []).append((place, words, copies[p] + (own < borders[p, s])))
+    changed: dict[Place, int] = {}
+    for p, own in near.items():
+        changed |= settled(goals[p] - taken[p], own, copies[p], limit)
+    return [(p, s, copies[p], border) for (p, s), border in borders.items()], changed
 
 
 def mix(docs: DataFrame, members: Column, weights: list[float] | dict[str | None, float], share: float = 1.5, limit: int = 2, seed: int = 7) -> Mix:
@@ -261,17 +311,22 @@ def mix(docs: DataFrame, members: Column, weights: list[float] | dict[str | None
     targets = capped_targets(sizes, weights, share, limit)
     routed = route(known, targets, limit)
     wanted = {i: sum(routed.get(m, {}).values()) / n if n else 0.0 for i, (m, n) in enumerate(known)}
-    numbers = F.broadcast(spark.createDataFrame([(i, list(m)) for i, (m, _) in enumerate(known)], "pattern int, _mix_members array<string>"))
+    names = pa.list_(pa.string())
+    numbers = F.broadcast(_table(spark, [(i, list(m)) for i, (m, _) in enumerate(known)], pattern=pa.int32(), _mix_members=names))
     numbered = cut(
         slim.where("_mix_size > 0").join(numbers, "_mix_members")
         .select("pattern", F.col("_mix_stratum").alias("stratum"), F.col("_mix_size").alias("size"), F.col("_mix_hash").alias("hash"))
     )
-    decided = _borders(numbered, wanted)
-    table = spark.createDataFrame(
-        [(list(known[p][0]), s, c, b) for p, s, c, b in decided], "_mix_members array<string>, _mix_stratum int, _mix_base int, _mix_border long"
+    decided, changed = _borders(numbered, wanted, limit)
+    where = {"_mix_members": names, "_mix_stratum": pa.int32()}
+    table = _table(spark, [(list(known[p][0]), s, c, b) for p, s, c, b in decided], **where, _mix_base=pa.int32(), _mix_border=pa.int64())
+    single = _table(spark, [(list(known[p][0]), s, h, n) for (p, s, h), n in changed.items()], **where, _mix_hash=pa.int64(), _mix_change=pa.int32())
+    drawn = F.col("_mix_base") + (F.col("_mix_hash") < F.col("_mix_border")).cast("int") + F.coalesce("_mix_change", F.lit(0))
+    used = F.when(F.col("_mix_size") > 0, drawn).otherwise(0)
+    chosen = (
+        ready.join(F.broadcast(table), [*where], "left").join(F.broadcast(single), [*where, "_mix_hash"], "left")
+        .withColumn("_mix_copies", F.coalesce(used, F.lit(0)))
     )
-    used = F.when(F.col("_mix_size") > 0, F.col("_mix_base") + (F.col("_mix_hash") < F.col("_mix_border")).cast("int")).otherwise(0)
-    chosen = ready.join(F.broadcast(table), ["_mix_members", "_mix_stratum"], "left").withColumn("_mix_copies", F.coalesce(used, F.lit(0)))
     kept = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
     chosen = chosen.select(*kept, "_mix_members", "_mix_size", "_mix_copies")
     return Mix({s: (sizes[s], targets[s]) for s in sizes}, routed, chosen)

@@ -6,12 +6,14 @@ as themselves only, so cutting bytes and cutting code points give the same words
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: The words of all operators, as a pattern that Java, Python and DuckDB read alike.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,6 +21,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_BYTES = 4 << 20
 CHUNK_ROWS = 32_000
 
+#: Spark's limit of what a batch of rows holds on its way to Python, and what it is lowered to.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
 _WHITE = bytes([0x20, *range(0x09, 0x0E)])
 #: Byte tables: A-Z in lower case; whether a byte is white space; a byte's weight in its word's hash
 #: (white space none, the byte 255 does not occur in UTF-8).
@@ -138,3 +143,22 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     for i in range(size):
         value = mix(value * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + count])
     return value
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets rows travel to Python in batches of at most ``BATCH_BYTES``; a longer row is a batch by itself.
+
+    This lowers a setting of the session, and never raises it. It changes no result: what is bounded
+    is the memory on both sides, of which a batch takes several times its size.
+    """
+    own = spark.conf.get(BATCH_SETTING)
+    if int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(own)) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Return what this Python process has freed, but not given back, to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

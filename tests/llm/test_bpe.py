@@ -66,3 +66,28 @@ def test_forgetting_changes_nothing(vocabulary, monkeypatch):
     monkeypatch.setattr(bpe, "KEPT_WORDS", 2)
     monkeypatch.setattr(bpe, "KEPT_PAIRS", 1)
     assert vocabulary.encodings(words) == first == vocabulary.encodings(words)
+
+
+def test_columns_of_any_name_and_long_texts(spark, library):
+    rows = [(1, "a long text " * 400_000, "w", "i", "d", "s"), (2, None, "w", "i", "d", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, words string, ids string, decoded string, c0 string")
+    got = bpe.encode(docs, tokenizer_path())
+    assert got.columns == ["doc_id", "words", "decoded", "c0", "ids"]
+    found = {r.doc_id: r for r in got.collect()}
+    assert list(found[1].ids) == library.encode(rows[0][1], add_special_tokens=False).ids and list(found[2].ids) == []
+    assert (found[1].words, found[1].decoded, found[1].c0) == ("w", "d", "s")
+    both = bpe.encode(docs, tokenizer_path(), decode_too=True)
+    assert both.columns == ["doc_id", "words", "c0", "ids", "decoded"]
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    from convlens.llm.text import BATCH_BYTES, BATCH_SETTING, small_batches
+
+    before = spark.conf.get(BATCH_SETTING)
+    try:
+        for given, expected in (("64m", BATCH_BYTES), (str(1 << 20), 1 << 20)):
+            spark.conf.set(BATCH_SETTING, given)
+            small_batches(spark)
+            assert int(spark.conf.get(BATCH_SETTING).rstrip("b")) == expected
+    finally:
+        spark.conf.set(BATCH_SETTING, before)

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import itertools
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,3 +73,41 @@ def test_overlapping_sources_meet_their_targets(spark):
     mixed = mixing.mix(docs, F.col("sources"), {"a": 1.0, "b": 2.0}, share=0.6)
     used = sum(r["_mix_size"] * r["_mix_copies"] for r in mixed.documents.collect())
     assert used == pytest.approx(sum(t for _, t in mixed.sources.values()), rel=0.005)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_small_sources_come_as_near_as_any_draw(spark, seed):
+    """Sources of one to nine documents, of even and of very uneven sizes, against all choices of 0, 1 or 2 uses."""
+    draw = random.Random(seed)
+    rows = []
+    for source, count in enumerate([1, 2, 5, 9, 9]):
+        for _ in range(count):
+            size = draw.choice([draw.randint(1, 30), draw.randint(1, 30), draw.randint(200, 3000)])
+            rows.append((len(rows), " ".join(["w"] * size), f"s{source}"))
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), F.array("source"), [5.0, 2.0, 1.0])
+    got = {}
+    for r in mixed.documents.collect():
+        got.setdefault(r.source, []).append((r["_mix_size"], r["_mix_copies"]))
+    for source, own in got.items():
+        target = mixed.sources[source][1]
+        missed = abs(sum(n * c for n, c in own) - target)
+        best = min(abs(sum(n * c for (n, _), c in zip(own, uses)) - target) for uses in itertools.product(range(3), repeat=len(own)))
+        assert missed == pytest.approx(best, abs=1e-6), source
+
+
+def test_some_dozens_of_documents_meet_their_target(spark):
+    draw = random.Random(4)
+    rows = [(i, " ".join(["w"] * draw.choice([7, 40, 900, 2500])), f"s{i % 3}") for i in range(120)]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), F.array("source"), [5.0, 2.0, 1.0])
+    taken = {}
+    for r in mixed.documents.collect():
+        taken[r.source] = taken.get(r.source, 0) + r["_mix_size"] * r["_mix_copies"]
+    for source, (_, target) in mixed.sources.items():
+        assert abs(taken[source] - target) <= 0.5
+
+
+def test_nearest_sum():
+    assert mixing.nearest_sum(5.2, [[0, 3], [0, 2], [0, 9]]) == [1, 1, 0]
+    assert mixing.nearest_sum(0.3, [[0, 1], [0, -1]]) == [0, 0]
+    assert mixing.nearest_sum(-4.0, [[0, 3, -3], [0, -7]]) == [1, 1]
+    assert mixing.nearest_sum(1.0, []) == []
