@@ -89,6 +89,10 @@ def normalize_visits_fallback(raw: DataFrame, column: str = "value") -> DataFram
             parse_event_ts(_first_given(keys)).alias(name)
             for name, keys in S.VISIT_ALTERNATE_TIMES.items()
         ],
+        *[
+            unparsed_ts(_first_given(keys)).alias(f"{name}_raw")
+            for name, keys in S.VISIT_ALTERNATE_TIMES.items()
+        ],
         *[_amount(f"_r.{key}").alias(key) for key in ("cost", "revenue", "profit")],
         *[unread_amount(f"_r.{key}").alias(f"{key}_raw") for key in ("cost", "revenue", "profit")],
         flag("isClick").alias("is_click"),
@@ -145,6 +149,10 @@ def dedupe_visits(rows: DataFrame, order: str = "ingest_seq") -> DataFrame:
     return dedupe_first(rows, ["click_id"], order)
 
 
+def dedupe_visits_v1(rows: DataFrame, order: str = "ingest_seq") -> DataFrame:
+    return dedupe_first(rows, ["visit_id"], order)
+
+
 def dedupe_clicks(rows: DataFrame, order: str = "ingest_seq") -> DataFrame:
     return dedupe_first(rows, ["click_id"], order)
 

@@ -19,7 +19,8 @@ from convlens.operators import anomaly, features, ingest, joins, patterns, repor
 from convlens.operators.patterns import PATTERN_PRESETS
 from convlens.runtime import scratch
 from convlens.sources import derive, schemas
-from convlens.sources.tables import read_table, scan_projected
+from convlens.plans import sync
+from convlens.sources.tables import FORMATS, read_report, read_table, scan_projected, write_report
 from convlens.streaming import jobs
 
 AS_OF = datetime(2024, 1, 30, 22)
@@ -339,6 +340,93 @@ def rollup_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 register("rollup_merge", rollup_merge)
+
+
+def _arrive(rows: DataFrame, fields, times, folder: str, feed: str) -> None:
+    """More raw files in a feed's folder."""
+    derive.raw_rows(rows, fields, times).select("value").write.mode("append").text(f"{folder}/raw/{feed}")
+
+
+def sync_cycle_state(spark: SparkSession, sf: str) -> DataFrame:
+    """What four sync cycles stored: half of the files, none, the rest ten days later, none.
+
+    The files that come later hold old rows too; conversions after a cycle's hour wait for the next one.
+    """
+    folder = scratch(spark, "cycles")
+    feeds = {
+        "live_visits": (derive.live_visits(spark, sf), "click_id", schemas.VISIT_FIELDS, schemas.VISIT_TIMES, schemas.LIVE_VISITS),
+        "conversions": (derive.conversions(spark, sf), "transaction_id", schemas.CONVERSION_FIELDS, schemas.CONVERSION_TIMES, schemas.CONVERSIONS),
+    }
+    raw = {feed: f"{folder}/raw/{feed}" for feed in feeds}
+    found = []
+    for cycle, now in enumerate([NOW - timedelta(days=10), NOW - timedelta(days=10), NOW, NOW]):
+        for feed, (rows, number, fields, times, _) in feeds.items():
+            if cycle % 2 == 0:
+                half = F.col(number).cast("bigint") % 2 == cycle // 2
+                _arrive(_numbered(rows.filter(half), number), fields, times, folder, feed)
+        sync.run_cycle(spark, raw, f"{folder}/tables", now, days_back=5)
+        last = {r["sync_type"]: r["last_sync_timestamp"] for r in sync.read_state(spark, f"{folder}/tables").collect()}
+        for feed, (*_, schema) in feeds.items():
+            stored = read_table(spark, f"{folder}/tables/{feed}", schema).count()
+            found.append((cycle, feed, stored, sync.loads(spark, f"{folder}/tables", feed), last[feed]))
+    return spark.createDataFrame(found, "cycle int, feed string, stored_rows bigint, loads bigint, last_sync_timestamp timestamp_ntz")
+
+
+def raw_wide_visits(visits: DataFrame) -> DataFrame:
+    """Visits with their outcome as the first feed wrote them."""
+    clock = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+    text = [F.col(c).cast("string").alias(c) for c in ("cost", "revenue", "profit")]
+    return visits.select(
+        F.to_json(
+            F.struct(
+                F.col("visit_id").alias("visitId"),
+                F.col("campaign_id").alias("campaignId"),
+                F.col("campaign_name").alias("campaignName"),
+                F.col("country_code").alias("countryCode"),
+                F.col("device").alias("deviceType"),
+                F.date_format("visit_timestamp", clock).alias("visitTimestamp"),
+                F.col("is_click").alias("isClick"),
+                F.col("is_conversion").alias("isConversion"),
+                *text,
+            )
+        ).alias("value")
+    )
+
+
+def cycle_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """The rollup that three sync cycles keep: a third of the visits with wrong times and amounts first,
+    another third, then the rest beside the corrections."""
+    folder = scratch(spark, "cycles")
+    rows = derive.visits(spark, sf)
+    part = F.col("visit_id").cast("bigint") % 3
+    wrong = rows.filter(part == 0).withColumns(
+        {
+            "visit_timestamp": F.col("visit_timestamp") + F.expr("interval 5 hours"),
+            "revenue": (F.col("revenue") * 2).cast(X.MONEY),
+            "device": F.lit("unknown"),
+        }
+    )
+    for arriving in (wrong, rows.filter(part == 1), rows.filter(part != 1)):
+        raw_wide_visits(arriving).write.mode("append").text(f"{folder}/raw")
+        sync.run_cycle(spark, {"visits": f"{folder}/raw"}, f"{folder}/tables", NOW)
+    return doubles(read_table(spark, f"{folder}/tables/hourly_stats", schemas.HOURLY_STATS).drop("day"))
+
+
+def report_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The performance report by country written in each format, by campaign, and read back."""
+    folder = scratch(spark, "reports")
+    rows = derive.conversions(spark, sf).groupBy("campaign_id", "country_code").agg(
+        F.count(F.lit(1)).alias("conversions"), X.money(F.sum("revenue")).alias("revenue"), F.max("postback_timestamp").alias("latest"))
+    out = None
+    for fmt in FORMATS:
+        write_report(rows, f"{folder}/{fmt}", fmt, by=["campaign_id"], order=["country_code"])
+        back = read_report(spark, f"{folder}/{fmt}", rows.schema, fmt).withColumn("format", F.lit(fmt))
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+for _stored in (sync_cycle_state, cycle_rollup, report_files):
+    register(_stored.__name__, _stored)
 on_visits("tracked_campaigns", lambda v: ingest.tracked_campaigns(v, NOW))
 on_visits("tracked_campaigns_filtered", lambda v: ingest.tracked_campaigns(v, NOW, "paign 3"))
 on_visits("sync_window", lambda v: ingest.sync_window(
@@ -400,18 +488,32 @@ def stream_hourly_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_visit_conversions(spark: SparkSession, sf: str) -> DataFrame:
-    """Converted visits of the joined streams (the others follow when the watermark allows)."""
+    """All visits of the joined streams, which arrive in four batches each that are not in order of time.
+
+    A last batch of one visit and one conversion years later closes the streams: the watermark passes
+    every visit, and those without a conversion are reported.
+    """
     folder = scratch(spark, "joined")
-    derive.conversions(spark, sf).write.parquet(f"{folder}/conversions")
-    schema = derive.conversions(spark, sf).schema
-    conversions = spark.readStream.schema(schema).parquet(f"{folder}/conversions")
-    visits = derive.live_visits_of(derive.event_stream(spark, sf))
-    joined = jobs.stream_visit_conversions(visits, conversions, within="2 days")
+    part = F.pmod(F.hash("event_id"), F.lit(4))
+    events = spark.read.schema(derive.EVENTS_SCHEMA).parquet(f"{sf}/events.parquet")
+    visits = derive.live_visits_of(derive.with_attributes(events.repartition(4, part)))
+    conversions = derive.conversions(spark, sf)
+    feeds = {"visits": (visits, "visit_timestamp"), "conversions": (conversions.repartition(4, "transaction_id"), "postback_timestamp")}
+    streams = []
+    for feed, (rows, ts) in feeds.items():
+        rows.write.parquet(f"{folder}/{feed}")
+        closing = {"click_id": F.lit(jobs.CLOSING), ts: X.ts_lit(NOW + timedelta(days=3650))}
+        empty = spark.range(1).select(
+            *[closing.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema]
+        )
+        empty.write.mode("append").parquet(f"{folder}/{feed}")
+        streams.append(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/{feed}"))
+    joined = jobs.stream_visit_conversions(*streams, within="2 days", lateness="60 days")
     out = joined.schema
     _run(joined.writeStream.format("parquet").option("path", f"{folder}/out"), folder)
-    stored = spark.read.schema(out).parquet(f"{folder}/out")
+    stored = spark.read.schema(out).parquet(f"{folder}/out").filter(F.col("click_id") != jobs.CLOSING)
     return doubles(
-        stored.filter("converted").select(
+        stored.select(
             "click_id", "visit_timestamp", "campaign_id", "conversion_timestamp", "revenue",
             "transaction_id", "converted",
         )

@@ -1115,7 +1115,29 @@ both_sql(
     "stream_visit_conversions",
     f"""SELECT v.click_id, v.visit_timestamp, v.campaign_id,
       c.postback_timestamp AS conversion_timestamp, {dbl("c.revenue")} AS revenue, c.transaction_id,
-      true AS converted
-    FROM live_visits v JOIN conversions c ON v.click_id = c.click_id
+      c.click_id IS NOT NULL AS converted
+    FROM live_visits v LEFT JOIN conversions c ON v.click_id = c.click_id
       AND c.postback_timestamp BETWEEN v.visit_timestamp AND v.visit_timestamp + INTERVAL 2 DAY""",
 )
+
+# --- sync cycles and report files --------------------------------------------------------------
+
+visits_sql("cycle_rollup", rollup_sql("true"))
+both_sql(
+    "sync_cycle_state",
+    """SELECT cycle, feed, CASE feed WHEN 'live_visits' THEN (
+          SELECT count(*) FROM live_visits WHERE cycle >= 2 OR CAST(click_id AS BIGINT) % 2 = 0)
+        ELSE (SELECT count(*) FROM (SELECT DISTINCT click_id, postback_timestamp FROM conversions
+          WHERE postback_timestamp >= TIMESTAMP '2024-01-15 21:00:00' AND CASE WHEN cycle >= 2
+            THEN postback_timestamp < TIMESTAMP '2024-01-30 21:00:00'
+            ELSE postback_timestamp < TIMESTAMP '2024-01-20 21:00:00' AND CAST(transaction_id AS BIGINT) % 2 = 0 END)) END AS stored_rows,
+      CAST(cycle + 1 AS BIGINT) AS loads,
+      CASE WHEN cycle >= 2 THEN TIMESTAMP '2024-01-30 21:40:00' ELSE TIMESTAMP '2024-01-20 21:40:00' END AS last_sync_timestamp
+    FROM (SELECT CAST(unnest(range(4)) AS INT) AS cycle), (SELECT unnest(['live_visits', 'conversions']) AS feed)""",
+)
+conv_sql(
+    "report_files",
+    f"""SELECT campaign_id, country_code, {n()} AS conversions, {dbl("sum(revenue)")} AS revenue,
+      max(postback_timestamp) AS latest, format
+    FROM conversions, (SELECT unnest(['parquet', 'csv', 'json']) AS format) GROUP BY campaign_id, country_code, format""",
+)

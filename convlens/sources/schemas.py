@@ -186,6 +186,15 @@ def stored_schema(fields, times, money=()) -> T.StructType:
     )
 
 
+#: First-generation visits, which carry their own outcome.
+VISITS = T.StructType(
+    _strings(VISIT_ALTERNATES)
+    + [T.StructField(name, NTZ) for name in VISIT_ALTERNATE_TIMES]
+    + [T.StructField(name, MONEY) for name in ("cost", "revenue", "profit")]
+    + [T.StructField(name, T.BooleanType()) for name in ("is_click", "is_conversion")]
+    + _strings([f"{name}_raw" for name in (*VISIT_ALTERNATE_TIMES, "cost", "revenue", "profit")])
+    + _strings(["raw_data"])
+)
 LIVE_VISITS = stored_schema(VISIT_FIELDS, VISIT_TIMES)
 LIVE_CLICKS = stored_schema(CLICK_FIELDS, CLICK_TIMES)
 CONVERSIONS = stored_schema(CONVERSION_FIELDS, CONVERSION_TIMES, CONVERSION_MONEY)

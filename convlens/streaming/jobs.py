@@ -31,6 +31,8 @@ from convlens.sources.tables import read_table, upsert_table, with_arrival
 
 LATENESS = "24 hours"  # how late an event may arrive; the batch cycle re-reads as much
 INTERVAL = "2 minutes"
+#: The id of a row that only moves a stream's watermark on.
+CLOSING = "closing"
 
 
 def start(writer, checkpoint: str, *, once: bool = False) -> StreamingQuery:
@@ -131,7 +133,8 @@ def stream_visit_conversions(
     """Each visit beside its conversions of the following ``within``.
 
     A stream cannot wait forever for a conversion: the bound is what lets the state of a visit be
-    dropped and an unconverted visit be reported, once the watermark has passed it.
+    dropped and an unconverted visit be reported, once the watermark of both streams has passed it.
+    Rows may come in any order within the lateness; those of an empty or missing id meet nothing.
     """
     visit = live_visits.withColumn("visit_time", utc_to_instant("visit_timestamp")).withWatermark(
         "visit_time", lateness

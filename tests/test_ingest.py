@@ -13,7 +13,7 @@ from convlens.functions import expr as X
 from convlens.operators import ingest
 from convlens.plans import sync
 from convlens.sources import schemas as S
-from convlens.sources.tables import expire_table, read_table, upsert_table, write_report
+from convlens.sources.tables import expire_table, read_report, read_table, upsert_table, write_report
 
 TIMES = [
     ("2025-12-18 12:52:23 AM", datetime(2025, 12, 18, 0, 52, 23), None),
@@ -255,14 +255,14 @@ def test_sync_cycle(spark, tmp_path):
         folders[feed] = f"{tmp_path}/raw/{feed}"
         raw(spark, *rows).select("value").write.text(folders[feed])
     now = datetime(2025, 1, 3, 10, 45)
-    for _ in range(2):  # a repeated cycle changes nothing
+    for gone in (3, 0):  # a repeated cycle changes nothing, and does not read again what has expired
         expired = sync.run_cycle(
             spark, folders, f"{tmp_path}/tables", now, retention_days=2, campaign_filter="XY"
         )
+        assert expired["live_visits"] == gone
         kept = read_table(spark, f"{tmp_path}/tables/conversions", S.CONVERSIONS)
         assert [r["click_id"] for r in kept.collect()] == ["v1"]  # filter, and the running hour
         assert read_table(spark, f"{tmp_path}/tables/live_visits", S.LIVE_VISITS).count() == 6
-    assert expired["live_visits"] == 3
     assert sync.last_sync(spark, f"{tmp_path}/tables", "conversions", now) == now
     failed = sync.run_backfill(
         spark, folders["live_visits"], f"{tmp_path}/back", "live_visits", now, days=10
@@ -327,3 +327,22 @@ def test_rollup_merge_repeats_without_duplicates(spark, tmp_path):
 def test_report_files(spark, tmp_path, fmt):
     write_report(spark.range(3), f"{tmp_path}/{fmt}", fmt)
     assert spark.read.format(fmt).option("header", True).load(f"{tmp_path}/{fmt}").count() == 3
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "json"])
+def test_reports_come_back_as_written(spark, tmp_path, fmt):
+    rows = [("a", 3, 1.5, datetime(2025, 1, 1, 10, 0, 0, 123456), ""), ("b", 1, None, None, "x, \"y\""), ("a", 1, -2.0, datetime(2025, 1, 2), None)]
+    report = spark.createDataFrame(rows, "name string, n int, v double, t timestamp_ntz, note string")
+    write_report(report, f"{tmp_path}/{fmt}", fmt, by=["name"], order=["n"])
+    assert sorted(p.name for p in (tmp_path / fmt).glob("name=*")) == ["name=a", "name=b"]
+    back = read_report(spark, f"{tmp_path}/{fmt}", report.schema, fmt)
+    assert back.schema.simpleString() == report.schema.simpleString()
+    assert sorted(map(str, back.collect())) == sorted(map(str, report.collect()))
+    assert [r["n"] for r in back.filter("name = 'a'").collect()] == [1, 3]
+
+
+def test_an_unknown_report_format_is_an_error(spark, tmp_path):
+    with pytest.raises(ValueError, match="unknown report format"):
+        write_report(spark.range(3), str(tmp_path / "r"), "xlsx")
+    with pytest.raises(ValueError, match="unknown report format"):
+        read_report(spark, str(tmp_path / "r"), spark.range(3).schema, "xlsx")
