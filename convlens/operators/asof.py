@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from convlens.functions.expr import minute_start
 
-ASKER, SEEN = 1, 2  # kinds order equal times: carry rows (0), then askers, then what they must not see
 UNTIMED_PIECES = 64
+#: What lies between "strictly earlier" and "now".
+TICK = "interval '0.000001' second"
 
 
 def asof_last(
@@ -27,12 +28,12 @@ def asof_last(
     """
     keep = [c for c in rows.columns if c != by]
     asking = rows.select(
-        F.col(by).alias("_key"), F.col(at).alias("_at"), F.lit(ASKER).alias("_kind"), *keep
+        F.col(by).alias("_key"), F.col(at).alias("_at"), F.lit(True).alias("_asks"), *keep
     )
     seen = others.select(
         F.col(by).alias("_key"),
         F.col(other_at).alias("_at"),
-        F.lit(SEEN).alias("_kind"),
+        F.lit(False).alias("_asks"),
         F.struct(F.col(other_at).alias("at"), F.col(value).alias("value")).alias("_seen"),
     )
     timeline = asking.unionByName(seen, allowMissingColumns=True)
@@ -51,24 +52,22 @@ def asof_last_within(
     id_of_seen: str,
     bucket=minute_start,
 ) -> DataFrame:
-    """:func:`asof_last` where both sides are rows of one frame, which is then scanned once for both.
+    """:func:`asof_last` where both sides are rows of one frame.
 
     The rows for which ``asks`` holds get the time and ``id_of_seen`` of the latest strictly earlier row
-    for which ``seen`` holds, as ``other_at`` and ``value``. A row may be both.
+    for which ``seen`` holds, as ``other_at`` and ``value``. A row may be both. Rows stay single and
+    keep their columns as they are: one scan for the answers, a narrow one for the summary.
     """
-    keep = [f for f in rows.schema.fields if f.name != by]
+    keep = [c for c in rows.columns if c != by]
     last = F.struct(F.col(at).alias("at"), F.col(id_of_seen).alias("value"))
-    kind = rows.select(last.alias("s")).schema["s"].dataType
-
-    def entry(number: int, of: Column, found: Column) -> Column:
-        own = [(F.col(f.name) if number == ASKER else F.lit(None).cast(f.dataType)).alias(f.name) for f in keep]
-        return F.when(of, F.struct(F.lit(number).alias("_kind"), *own, found.alias("_seen")))
-
-    entries = F.array(entry(ASKER, asks, F.lit(None).cast(kind)), entry(SEEN, seen, last))
     timeline = rows.filter(asks | seen).select(
-        F.col(by).alias("_key"), F.col(at).alias("_at"), F.inline(F.array_compact(entries))
+        F.col(by).alias("_key"),
+        F.col(at).alias("_at"),
+        F.coalesce(asks, F.lit(False)).alias("_asks"),
+        F.when(seen & F.col(at).isNotNull(), last).alias("_seen"),
+        *keep,
     )
-    return _matched(timeline, by, [f.name for f in keep], other_at, value, bucket)
+    return _matched(timeline, by, keep, other_at, value, bucket)
 
 
 def _matched(
@@ -80,11 +79,12 @@ def _matched(
     and a window never orders a whole key. What a bucket must know about the past is one "carry"
     row: the last match of all earlier buckets, found on a summary that holds a single row per
     (key, bucket). That makes three shuffles, none of which gathers a key's rows in one task.
+    The latest match is the largest (time, value) among what is strictly earlier.
     Askers without a time match nothing; they are spread over pieces of their own.
     """
     untimed = F.col("_at").isNull()
     spread = F.when(untimed, F.pmod(F.monotonically_increasing_id(), F.lit(UNTIMED_PIECES)))
-    timeline = timeline.filter(~untimed | (F.col("_kind") == ASKER)).withColumns(
+    timeline = timeline.filter(~untimed | F.col("_asks")).withColumns(
         {"_bucket": bucket("_at"), "_spread": spread}
     )
 
@@ -101,21 +101,20 @@ def _matched(
         .select(
             "_key",
             "_bucket",
-            F.col("_bucket").alias("_at"),
-            F.lit(0).alias("_kind"),
+            (F.col("_bucket") - F.expr(TICK)).alias("_at"),
+            F.lit(False).alias("_asks"),
             F.last("_newest", ignorenulls=True).over(earlier).alias("_seen"),
         )
         .filter(F.col("_seen").isNotNull())
     )
-    within = (
-        Window.partitionBy("_key", "_bucket", "_spread")
-        .orderBy("_at", "_kind", "_seen")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    match = F.expr(
+        "max(_seen) OVER (PARTITION BY _key, _bucket, _spread ORDER BY _at "
+        f"RANGE BETWEEN UNBOUNDED PRECEDING AND {TICK.upper()} PRECEDING)"
     )
     return (
         timeline.unionByName(carry, allowMissingColumns=True)
-        .withColumn("_match", F.last("_seen", ignorenulls=True).over(within))
-        .filter(F.col("_kind") == ASKER)
+        .withColumn("_match", match)
+        .filter("_asks")
         .select(
             F.col("_key").alias(by),
             *keep,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from convlens.functions.expr import MONEY, mean, money, nonempty, or_unknown, ts_lit
 from convlens.operators.median import grouped_median
+from convlens.runtime import cut
 
 # The dimensions each report looks at, and the presets of the pattern tables.
 SEGMENT_FEATURES = ["country_code", "device", "os", "isp", "connection_type"]
@@ -55,6 +56,26 @@ def _of_campaign(conversions: DataFrame, var3: str | None) -> DataFrame:
     return conversions if var3 is None else conversions.filter(F.col("custom_var_3") == var3)
 
 
+def revenue_cells(
+    conversions: DataFrame, dims: list[str], *, var3: str | None = None
+) -> DataFrame:
+    """Cleaned conversions reduced to (``dims``, ``revenue``) with their number as ``_n``, as a written table.
+
+    Reports that need a median beside their groups read it instead of the conversions, which
+    may be a join, twice. ``_r`` is a cell's total revenue.
+    """
+    rows = _of_campaign(clean_conversions(conversions), var3)
+    cells = cut(rows.groupBy(*dict.fromkeys(dims), "revenue").agg(_count().alias("_n")))
+    return cells.withColumn("_r", F.col("revenue") * F.col("_n").cast("decimal(14,0)"))
+
+
+def _overall(cells: DataFrame) -> Column:
+    """Median revenue, number and mean revenue of all cells, as one value."""
+    middle = grouped_median(cells, [], "revenue", weight="_n").select("median").scalar()
+    totals = cells.agg(F.sum("_n").alias("n"), F.sum("_r").alias("_r"))
+    return totals.select(F.struct(middle.alias("median"), F.coalesce("n", F.lit(0).cast("bigint")).alias("n"), mean("_r", "n").alias("mean"))).scalar()
+
+
 def _known(*values: str) -> Column:
     """Named values only: not NULL, not empty, not 'unknown'."""
     named = F.lit(True)
@@ -172,6 +193,11 @@ def deviation_pct(average: Column, center: Column) -> Column:
     )
 
 
+def _above(center: Column) -> Column:
+    """The conversions of cells that earn more than ``center``."""
+    return F.coalesce(F.sum(F.when(money("revenue") > center, F.col("_n"))), F.lit(0).cast("bigint"))
+
+
 def feature_patterns(
     conversions: DataFrame,
     features: list[str] = SEGMENT_FEATURES,
@@ -183,15 +209,14 @@ def feature_patterns(
 
     ``pct_high`` is the share of the value's conversions above the median.
     """
-    rows = _of_campaign(clean_conversions(conversions), var3)
-    overall = grouped_median(rows, [], "revenue").select(F.struct("median", "n")).scalar()
+    cells = revenue_cells(conversions, features, var3=var3)
+    overall = grouped_median(cells, [], "revenue", weight="_n").select(F.struct("median", "n")).scalar()
     average = mean("_r", "count")
     return (
-        _long(rows, features, "revenue")
+        _long(cells, features, "revenue", "_n", "_r")
         .filter(_known("value"))
-        .withColumn("_high", money("revenue") > overall["median"])
         .groupBy("feature", "value")
-        .agg(_count().alias("count"), F.sum("revenue").alias("_r"), F.count_if("_high").alias("_high"))
+        .agg(F.sum("_n").alias("count"), F.sum("_r").alias("_r"), _above(overall["median"]).alias("_high"))
         .filter((F.col("count") >= min_samples) & (overall["n"] >= min_samples))
         .select(
             "feature",
@@ -217,9 +242,9 @@ def two_feature_patterns(
 
     Only combinations more than ``min_deviation`` percent off the mean are kept.
     """
-    rows = _of_campaign(clean_conversions(conversions), var3)
-    overall = overall_stats(conversions, var3=var3).select(F.struct("*")).scalar()
-    center = F.nullif(overall["avg_revenue"], F.lit(0.0))
+    cells = revenue_cells(conversions, [f for pair in pairs for f in pair], var3=var3)
+    overall = _overall(cells)
+    center = F.nullif(overall["mean"], F.lit(0.0))
     average = mean("_r", "count")
     combos = F.array(
         *[
@@ -234,12 +259,11 @@ def two_feature_patterns(
     )
     dims = ["feature_1", "feature_2", "value_1", "value_2"]
     return (
-        rows.select("revenue", F.inline(combos))
+        cells.select("revenue", "_n", "_r", F.inline(combos))
         .filter(_known("value_1", "value_2"))
-        .withColumn("_high", money("revenue") > overall["median_revenue"])
         .groupBy(*dims)
-        .agg(_count().alias("count"), F.sum("revenue").alias("_r"), F.count_if("_high").alias("_high"))
-        .filter((F.col("count") >= min_samples) & (overall["conversions"] >= min_samples))
+        .agg(F.sum("_n").alias("count"), F.sum("_r").alias("_r"), _above(overall["median"]).alias("_high"))
+        .filter((F.col("count") >= min_samples) & (overall["n"] >= min_samples))
         .select(
             *dims,
             "count",
@@ -373,15 +397,21 @@ def campaign_patterns(
     All campaign variables at once: medians are grouped, values are unpivoted and grouped, and the
     two grouped results meet. A value needs max(5, n // 20) conversions, n being its campaign's.
     """
-    rows = clean_conversions(conversions)
-    campaigns = grouped_median(rows, ["custom_var_3"], "revenue").filter(
+    cells = revenue_cells(conversions, ["custom_var_3", *features])
+    return _campaign_patterns(cells, features, min_conversions, beyond)
+
+
+def _campaign_patterns(
+    cells: DataFrame, features: list[str], min_conversions: int, beyond: float
+) -> DataFrame:
+    campaigns = grouped_median(cells, ["custom_var_3"], "revenue", weight="_n").filter(
         F.col("n") >= min_conversions
     )
     values = (
-        _long(rows, features, "custom_var_3", "revenue")
+        _long(cells, features, "custom_var_3", "_n", "_r")
         .filter(_known("value"))
         .groupBy("custom_var_3", "feature", "value")
-        .agg(_count().alias("conversions"), F.sum("revenue").alias("_r"))
+        .agg(F.sum("_n").alias("conversions"), F.sum("_r").alias("_r"))
     )
     average = mean("_r", "conversions")
     enough = F.greatest(F.lit(5).cast("bigint"), F.expr("n div 20"))
@@ -452,13 +482,10 @@ def report_summary(
     conversions: DataFrame, *, min_conversions: int = 50, beyond: float = 25
 ) -> DataFrame:
     """Campaign variables (without 'unknown'), patterns found, conversions and revenue."""
-    rows = clean_conversions(conversions)
-    found = (
-        campaign_patterns(conversions, min_conversions=min_conversions, beyond=beyond)
-        .agg(_count().alias("n"))
-        .scalar()
-    )
-    per_campaign = rows.groupBy("custom_var_3").agg(_count().alias("_n"), F.sum("revenue").alias("_r"))
+    cells = revenue_cells(conversions, ["custom_var_3", *CAMPAIGN_FEATURES])
+    patterns = _campaign_patterns(cells, CAMPAIGN_FEATURES, min_conversions, beyond)
+    found = patterns.agg(_count().alias("n")).scalar()
+    per_campaign = cells.groupBy("custom_var_3").agg(F.sum("_n").alias("_n"), F.sum("_r").alias("_r"))
     return per_campaign.agg(
         F.count_if(F.col("custom_var_3") != "unknown").alias("var3_count"),
         F.coalesce(F.sum("_n"), F.lit(0).cast("bigint")).alias("total_conversions"),

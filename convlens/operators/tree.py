@@ -38,10 +38,10 @@ def _eligible(n: Column, min_samples: int) -> Column:
 def high_revenue_label(conversions: DataFrame) -> DataFrame:
     """Each conversion with its campaign's median revenue and whether it earns more.
 
-    The medians are one row per campaign variable. As a written table of known size they are
+    The conversions, which may be a join, are read once and kept by three columns. The medians are one row per campaign variable. As a written table of known size they are
     broadcast when small; when not, a dominant campaign's partition is split.
     """
-    rows = clean_conversions(conversions, TREE_FEATURES)
+    rows = cut(clean_conversions(conversions, TREE_FEATURES).select("transaction_id", "custom_var_3", "revenue"))
     medians = cut(grouped_median(rows, ["custom_var_3"], "revenue").drop("n"))
     return rows.join(medians, "custom_var_3").select(
         "transaction_id",
