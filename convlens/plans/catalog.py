@@ -484,7 +484,7 @@ def stream_hourly_rollup(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch(spark, "rollup")
     visits = derive.visits_of(derive.event_stream(spark, sf))
     _run(jobs.rollup_writer(jobs.stream_hourly_rollup(visits), folder), folder)
-    return doubles(read_table(spark, f"{folder}/hourly_stats", schemas.HOURLY_STATS).drop("day"))
+    return doubles(jobs.stored_rollup(spark, folder))
 
 
 def stream_visit_conversions(spark: SparkSession, sf: str) -> DataFrame:
@@ -524,7 +524,7 @@ def stream_realtime_cr(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch(spark, "recent")
     visits = derive.visits_of(derive.event_stream(spark, sf))
     _run(jobs.recent_counts_writer(jobs.stream_recent_counts(visits), folder), folder)
-    counts = read_table(spark, f"{folder}/recent_counts", jobs.RECENT_COUNTS)
+    counts = jobs.recent_counts(spark, folder)
     return jobs.realtime_cr_of_counts(counts, AS_OF, min_visits=2)
 
 

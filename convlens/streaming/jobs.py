@@ -7,9 +7,10 @@ keys, or one folder per batch), so a batch repeated after a failure leaves the s
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,8 +27,9 @@ from convlens.functions.expr import (
 from convlens.operators.anomaly import check_alerts
 from convlens.operators.views import finish_rollup
 from convlens.plans.sync import FEEDS, ROLLUP_KEYS, arrival_order
+from convlens.runtime import cut
 from convlens.sources import schemas as S
-from convlens.sources.tables import read_table, upsert_table, with_arrival
+from convlens.sources.tables import delete_path, located, read_table, table_exists, upsert_table, with_arrival
 
 LATENESS = "24 hours"  # how late an event may arrive; the batch cycle re-reads as much
 INTERVAL = "2 minutes"
@@ -49,6 +51,64 @@ def merge_into(
     return stream.writeStream.outputMode(mode).foreachBatch(lambda batch, _: merge(batch))
 
 
+def _deltas(path: str) -> str:
+    return f"{path}_deltas"
+
+
+def delta_writer(
+    totals: DataFrame, path: str, schema: T.StructType, keys: list[str], ts: str, *, compact_every: int = 30
+):
+    """Running totals (update mode) as one small folder a batch, merged into the table now and then.
+
+    A batch writes its own rows only, so what it costs follows the batch and not the days it touches. Every
+    ``compact_every`` batches the deltas so far are merged by key into the day folders, and then
+    deleted; doing either twice is harmless. ``read_totals`` sees both.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.select(*schema.fieldNames()).write.mode("overwrite").parquet(f"{_deltas(path)}/batch={number}")
+        if (number + 1) % compact_every == 0:
+            compact(spark, path, schema, keys, ts)
+
+    return totals.writeStream.outputMode("update").foreachBatch(write)
+
+
+def _newest(deltas: DataFrame, keys: list[str], schema: T.StructType) -> DataFrame:
+    """The latest batch's row of each key."""
+    others = [c for c in schema.fieldNames() if c not in keys]
+    newest = F.max_by(F.struct(*others), "batch").alias("_v")
+    return deltas.groupBy(*keys).agg(newest).select(*keys, "_v.*").select(*schema.fieldNames())
+
+
+def _read_deltas(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    if not table_exists(spark, _deltas(path)):
+        return None
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(_deltas(path))
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], ts: str) -> None:
+    """Merge all deltas into the table, then delete them. One writer at a time, as for any table."""
+    files, pattern = located(spark, f"{_deltas(path)}/batch=*")
+    folders = [f.getPath().toString() for f in files.globStatus(pattern) or []]
+    if folders:
+        rows = cut(_newest(_read_deltas(spark, path, schema), keys, schema))
+        upsert_table(spark, rows, path, schema, keys, ts)
+        for folder in folders:
+            delete_path(spark, folder)
+
+
+def read_totals(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """The table with the deltas that are not merged yet; a key's newest row counts."""
+    deltas = _read_deltas(spark, path, schema)
+    stored = read_table(spark, path, schema).select(*schema.fieldNames()) if table_exists(spark, path) else None
+    if deltas is None:
+        return stored if stored is not None else spark.createDataFrame([], schema)
+    if stored is not None:
+        deltas = deltas.unionByName(stored.withColumn("batch", F.lit(-1).cast("long")))
+    return _newest(deltas, keys, schema)
+
+
 def raw_stream(spark: SparkSession, path: str, *, files_per_batch: int | None = None) -> DataFrame:
     """A folder of raw JSON lines as a stream of text rows with their ``arrival``."""
     reader = spark.readStream.format("text")
@@ -68,22 +128,39 @@ def stream_ingest(raw: DataFrame, warehouse: str, feed: str):
     return merge_into(raw, merge)
 
 
+def _thinned(key: str, ts: str):
+    """Of the rows of one id in a batch, the first and the newest; the newest is on time if any is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = pa.array(range(batch.num_rows), pa.int64())
+            slim = pa.table({"key": batch.column(key), "at": batch.column(ts), "place": place})
+            first = slim.group_by("key").aggregate([("place", "min")]).column("place_min")
+            newest = slim.group_by("key").aggregate([("at", "max")]).rename_columns({"at_max": "at"})
+            last = slim.join(newest, ["key", "at"], join_type="inner").group_by("key").aggregate([("place", "min")])
+            kept = pa.chunked_array([*first.chunks, *last.column("place_min").chunks], pa.int64()).unique().sort()
+            yield batch.take(kept)
+
+    return run
+
+
 def stream_dedupe(
-    rows: DataFrame, ts: str, *, key: str = "click_id", lateness: str = LATENESS, pieces: int = 16
+    rows: DataFrame, ts: str, *, key: str = "click_id", lateness: str = LATENESS
 ) -> DataFrame:
     """The first row per key within the lateness.
 
-    An id with very many copies is thinned first per (key, piece), the piece being the reading
-    task's number; what the second step sees of any key is at most ``pieces`` rows at a time.
+    The state holds one entry per id, which expires by itself once the watermark has passed it.
+    Copies are thinned where they are read, without state: an id with very many of them sends two rows of each
+    Arrow batch into the keyed step.
     """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     return (
         rows.filter(nonempty(key).isNotNull())
+        .mapInArrow(_thinned(key, ts), schema)
         .withColumn("event_time", utc_to_instant(ts))
-        .withColumn("_piece", F.pmod(F.spark_partition_id(), F.lit(pieces)))
         .withWatermark("event_time", lateness)
-        .dropDuplicatesWithinWatermark([key, "_piece"])
         .dropDuplicatesWithinWatermark([key])
-        .drop("event_time", "_piece")
+        .drop("event_time")
     )
 
 
@@ -107,20 +184,14 @@ def stream_hourly_rollup(visits: DataFrame, *, lateness: str = LATENESS) -> Data
     )
 
 
-def rollup_writer(totals: DataFrame, warehouse: str):
-    """Merge running totals into the stored rollup on its null-safe key."""
+def rollup_writer(totals: DataFrame, warehouse: str, *, compact_every: int = 30):
+    """Keep running totals as the stored rollup on its null-safe key; see ``stored_rollup``."""
+    path = f"{warehouse}/hourly_stats"
+    return delta_writer(finish_rollup(totals), path, S.HOURLY_STATS, ROLLUP_KEYS, "hour_timestamp", compact_every=compact_every)
 
-    def merge(batch: DataFrame) -> None:
-        upsert_table(
-            batch.sparkSession,
-            finish_rollup(batch),
-            f"{warehouse}/hourly_stats",
-            S.HOURLY_STATS,
-            ROLLUP_KEYS,
-            "hour_timestamp",
-        )
 
-    return merge_into(totals, merge, "update")
+def stored_rollup(spark: SparkSession, warehouse: str) -> DataFrame:
+    return read_totals(spark, f"{warehouse}/hourly_stats", S.HOURLY_STATS, ROLLUP_KEYS)
 
 
 def stream_visit_conversions(
@@ -191,18 +262,16 @@ def stream_recent_counts(
     )
 
 
-def recent_counts_writer(counts: DataFrame, warehouse: str):
-    def merge(batch: DataFrame) -> None:
-        upsert_table(
-            batch.sparkSession,
-            batch.select(*RECENT_COUNTS.fieldNames()),
-            f"{warehouse}/recent_counts",
-            RECENT_COUNTS,
-            ["until", "campaign_name", "country_code"],
-            "until",
-        )
+RECENT_KEYS = ["until", "campaign_name", "country_code"]
+
+
+def recent_counts_writer(counts: DataFrame, warehouse: str, *, compact_every: int = 30):
+    """Keep running counts; see ``recent_counts``."""
+    return delta_writer(counts, f"{warehouse}/recent_counts", RECENT_COUNTS, RECENT_KEYS, "until", compact_every=compact_every)
+
 
-    return merge_into(counts, merge, "update")
+def recent_counts(spark: SparkSession, warehouse: str) -> DataFrame:
+    return read_totals(spark, f"{warehouse}/recent_counts", RECENT_COUNTS, RECENT_KEYS)
 
 
 def realtime_cr_of_counts(
@@ -264,20 +333,9 @@ def stream_alert_counts(
     )
 
 
-def alert_counts_writer(counts: DataFrame, warehouse: str):
-    """Merge running totals into the stored counts, so that no alert depends on how batches fall."""
-
-    def merge(batch: DataFrame) -> None:
-        upsert_table(
-            batch.sparkSession,
-            batch.select(*ALERT_COUNTS.fieldNames()),
-            f"{warehouse}/alert_counts",
-            ALERT_COUNTS,
-            ALERT_KEYS,
-            "until",
-        )
-
-    return merge_into(counts, merge, "update")
+def alert_counts_writer(counts: DataFrame, warehouse: str, *, compact_every: int = 30):
+    """Keep running totals, so that no alert depends on how batches fall."""
+    return delta_writer(counts, f"{warehouse}/alert_counts", ALERT_COUNTS, ALERT_KEYS, "until", compact_every=compact_every)
 
 
 def stored_alerts(
@@ -288,5 +346,5 @@ def stored_alerts(
     Baselines come from the same counts and so follow them; ``thresholds`` are those of
     :func:`check_alerts`.
     """
-    counts = read_table(spark, f"{warehouse}/alert_counts", ALERT_COUNTS)
+    counts = read_totals(spark, f"{warehouse}/alert_counts", ALERT_COUNTS, ALERT_KEYS)
     return check_alerts(counts, as_of, limit=limit, **thresholds)

@@ -59,7 +59,7 @@ def test_ingest_merges_files_and_restarts(spark, tmp_path):
 def test_hourly_rollup_over_batches(spark, sf, tmp_path):
     stream = split_events(spark, sf, tmp_path / "events")
     once(jobs.rollup_writer(jobs.stream_hourly_rollup(derive.visits_of(stream)), str(tmp_path)), tmp_path)
-    got = read_table(spark, f"{tmp_path}/hourly_stats", S.HOURLY_STATS).drop("day")
+    got = jobs.stored_rollup(spark, str(tmp_path))
     want = views.hourly_rollup(derive.visits(spark, sf), datetime(2024, 1, 1))
     assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
 
@@ -68,7 +68,7 @@ def test_realtime_counts_over_batches(spark, sf, tmp_path):
     as_of = datetime(2024, 1, 30, 22)
     stream = split_events(spark, sf, tmp_path / "events")
     once(jobs.recent_counts_writer(jobs.stream_recent_counts(derive.visits_of(stream)), str(tmp_path)), tmp_path)
-    counts = read_table(spark, f"{tmp_path}/recent_counts", jobs.RECENT_COUNTS)
+    counts = jobs.recent_counts(spark, str(tmp_path))
     got = jobs.realtime_cr_of_counts(counts, as_of, min_visits=0)
     want = views.realtime_cr(derive.visits(spark, sf), as_of, min_visits=0)
     assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
@@ -82,7 +82,7 @@ def test_step_ends_are_inclusive(spark, tmp_path):
     frame.write.parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema(frame.schema).parquet(f"{tmp_path}/in")
     once(jobs.recent_counts_writer(jobs.stream_recent_counts(stream), str(tmp_path)), tmp_path)
-    got = read_table(spark, f"{tmp_path}/recent_counts", jobs.RECENT_COUNTS).orderBy("until").collect()
+    got = jobs.recent_counts(spark, str(tmp_path)).orderBy("until").collect()
     assert [(r["until"], r["visits"]) for r in got] == [
         (datetime(2025, 1, 1, 10), 1),
         (datetime(2025, 1, 1, 10, 5), 1),
@@ -102,6 +102,55 @@ def test_dedupe_across_batches(spark, tmp_path):
     assert sorted(got) == ["hot", "v0", "v1", "v2", "v3", "v4"]
 
 
+@pytest.mark.parametrize("files", [1, 5])
+def test_dedupe_state_is_one_entry_per_id(spark, tmp_path, files):
+    """Whatever the batches; a copy that is too late does not hide one that is on time, and ids come back once forgotten."""
+    start = datetime(2025, 1, 1)
+    rows = [(f"v{i % 7}" if i % 3 else "hot", start + timedelta(minutes=i), i) for i in range(400)]
+    rows += [("", start, -1), (None, start, -2)]
+    frame = spark.createDataFrame(rows, "click_id string, visit_timestamp timestamp_ntz, n int")
+    frame.repartitionByRange(files, "visit_timestamp", "n").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    unique = jobs.stream_dedupe(stream, "visit_timestamp", lateness="2 days")
+    query = jobs.start(unique.writeStream.format("parquet").option("path", f"{tmp_path}/out"), f"{tmp_path}/c", once=True)
+    query.awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert sorted(r["click_id"] for r in got) == ["hot", *(f"v{i}" for i in range(7))]
+    states = query.lastProgress["stateOperators"]
+    assert [s["numRowsTotal"] for s in states] == [8]
+
+
+def test_thinning_keeps_a_row_on_time(spark):
+    late, now = datetime(2025, 1, 1), datetime(2025, 1, 9)
+    rows = [("a", late, 1), ("a", now, 2), ("a", datetime(2025, 1, 5), 3), ("b", now, 4), ("c", None, 5), ("a", now, 6)]
+    frame = spark.createDataFrame(rows, "k string, t timestamp_ntz, n int").coalesce(1)
+    got = frame.mapInArrow(jobs._thinned("k", "t"), "k string, t timestamp_ntz, n int").collect()
+    assert sorted(r["n"] for r in got) == [1, 2, 4, 5]
+
+
+@pytest.mark.parametrize("every", [1, 2, 99])
+def test_totals_are_kept_by_delta(spark, tmp_path, every):
+    """A batch writes its own rows; the answer is the same whenever deltas are merged, and after a repeated merge."""
+    keys, path = ["until", "campaign_name", "country_code"], f"{tmp_path}/recent_counts"
+    rows = [(datetime(2025, 1, 1, 10, i % 50, 1), f"c{i % 3}", None if i % 2 else "US", i % 4 == 0) for i in range(200)]
+    frame = spark.createDataFrame(rows, "visit_timestamp timestamp_ntz, campaign_name string, country_code string, is_conversion boolean")
+    frame.repartition(5).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    once(jobs.recent_counts_writer(jobs.stream_recent_counts(stream), str(tmp_path), compact_every=every), tmp_path)
+    want = {}
+    for t, c, country, won in rows:
+        until = t.replace(minute=t.minute // 5 * 5, second=0) + timedelta(minutes=5)
+        n, m = want.get((until, c, country), (0, 0))
+        want[until, c, country] = (n + 1, m + won)
+    read = lambda: {(r[0], r[1], r[2]): (r[3], r[4]) for r in jobs.recent_counts(spark, str(tmp_path)).collect()}
+    assert read() == want
+    assert (tmp_path / "recent_counts").exists() == (every < 99)
+    for _ in range(2):
+        jobs.compact(spark, path, jobs.RECENT_COUNTS, keys, "until")
+        assert read() == want
+    assert read_table(spark, path, jobs.RECENT_COUNTS).count() == len(want)
+
+
 def test_joined_streams(spark, tmp_path):
     start = datetime(2025, 1, 1)
     live = [(f"k{i}", start + timedelta(days=i)) for i in range(8)]
