@@ -33,14 +33,11 @@ HOST_PAGES, TEMPLATE_SHARE = 8, 0.9
 #: Share of the slots' text that a child element must hold for the content element to be inside it.
 CONTENT_SHARE = 0.8
 
-MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>"
-    r"""|<(?:svg|math)(?=[\s/>])[^"'>]*(?:(?:"[^"]*"|'[^']*')[^"'>]*)*(?<=/)>"""  # closes itself
-    r"|<(?P<raw>script|style|textarea|title|noscript|iframe|template|svg|math|noframes|object|select)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<[!?][^>]*>"
-    r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>[^"'>]*(?:(?:"[^"]*"|'[^']*')[^"'>]*)*)>""",
-    re.DOTALL | re.IGNORECASE,
-)
+#: Elements whose content is no markup.
+RAW = frozenset("script style textarea title noscript iframe template svg math noframes object select".split())
+TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+#: What a tag has up to its end or to its next quote.
+UNQUOTED = re.compile(r"""[^"'>]*""")
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -63,7 +60,18 @@ MARKS = frozenset(
     " adverts advertisement advertisements advertising adsense banner promo promotion promoted sponsor sponsored cookie cookies"
     " consent gdpr notice notices alert notification comment comments disqus reply replies respond share sharing social related"
     " recommended recommendations newsletter subscribe subscription signup login popup modal overlay widget widgets toolbar"
-    " pagination pager masthead copyright search".split()
+    " pagination pager masthead copyright search responses discussion".split()
+)
+#: Marks that are words of articles too; they mark an element only beside words of layout.
+WEAK = frozenset(
+    "alert notification notice notices search share sharing social related recommended promotion promoted banner popup modal"
+    " overlay widget widgets toolbar reply replies respond responses discussion signup login subscribe subscription consent"
+    " copyright menu aside complementary".split()
+)
+LAYOUT = frozenset(
+    "area bar block body box btn button buttons card cards col column container content flex footer full grid group head header"
+    " holder inline inner item items layout left link links list main message messages module outer page panel post posts"
+    " primary right row secondary section site small text title top bottom view wrap wrapper entry article articles site page".split()
 )
 HEADS = frozenset("header masthead banner topbar".split())
 #: Elements that may wrap an article; words that say of a wrapper what is in it, and those of
@@ -85,6 +93,8 @@ def marks(tag: str, name: str) -> set[str]:
     """
     parts = [p.lower() for p in NAME_PART.findall(name)]
     found = MARKS.intersection(parts)
+    if found and not any(p in MARKS - WEAK for p in parts) and not all(p in MARKS or p in LAYOUT or p in STATES or p.isdigit() for p in parts):
+        return set()  # alert-study is a study, search-term a term
     if not found or tag not in WRAPPERS:
         return found
     if not WHOLES.isdisjoint(parts) and not WRAPS.isdisjoint(parts):
@@ -95,148 +105,254 @@ def marks(tag: str, name: str) -> set[str]:
     return found - said
 
 
+class Element:
+    """An open element: the one around it, its name, and what it and those around it say about its text.
+
+    ``path`` names the elements down to this one; it is a hash, so that deep pages cost no more than flat ones.
+    """
+
+    __slots__ = ("article", "aside", "beyond", "depth", "headed", "heading", "main", "name", "number", "outer", "path", "tag")
+
+    def __init__(self, tag: str, more: str, number: int, outer: Element | None):
+        self.tag, self.number, self.outer = tag, number, outer
+        self.name, self.aside, head = tag, tag in ASIDE, tag == "header"
+        role = ""
+        if more.strip(" /"):
+            found = attributes(more)
+            given = [name for k in ("class", "id", "role") for name in found.get(k, "").split()]
+            names = [p.lower() for name in given for p in NAME_PART.findall(name)]
+            marked = set() if MARKS.isdisjoint(names) else set().union(*(marks(tag, name) for name in given))
+            plain = tag in PLAIN
+            self.aside = hidden(found) or tag in ASIDE or bool(marked & COMMENTS if plain else marked)
+            head = tag == "header" or not HEADS.isdisjoint(names) and not plain
+            role = ".main" if found.get("role", "").lower() == "main" else ""
+            classes = "".join("." + c for c in sorted(set(found.get("class", "").split())))
+            self.name = tag + role + classes + ("#" + found["id"] if found.get("id") else "")
+        self.path = path_id(self.name, outer.path if outer else 0)
+        self.depth = outer.depth + 1 if outer else 1
+        # Whether this or one around it is set aside, or a head; and the outermost article and main element around.
+        self.beyond = self.aside or outer is not None and outer.beyond
+        self.headed = head or outer is not None and outer.headed
+        self.article = outer.article if outer else None
+        if self.article is None and tag == "article" and not self.beyond:
+            self.article = self
+        self.main = outer.main if outer else None
+        if self.main is None and (tag == "main" or role) and not self.beyond:
+            self.main = self
+        self.heading = tag in ("h1", "h2") or outer is not None and outer.heading
+
+
 @dataclass
 class Block:
-    """A run of text between block tags: the elements around it, and the text."""
+    """A run of text between block tags: the innermost element around it (None: none), and the text."""
 
-    path: tuple[Element, ...]
+    inner: Element | None
     text: str
 
 
-class Element:
-    """An open element: its name in paths, and whether it is no part of an article."""
+def path_id(name: str, outer: int = 0) -> int:
+    return xxhash.xxh64_intdigest(f"{outer}>{name}") - (1 << 63)
+
+
+def attributes(more: str) -> dict[str, str]:
+    return {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(more)}
 
-    __slots__ = ("aside", "head", "name", "number", "path", "tag")
 
-    def __init__(self, tag: str, more: str, number: int, outer: str):
-        self.tag, self.number = tag, number
-        if not more.strip(" /"):
-            self.aside, self.head, self.name = tag in ASIDE, tag == "header", tag
-            self.path = f"{outer}>{tag}" if outer else tag
+def hidden(found: dict[str, str]) -> bool:
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
+        return True
+    return "display:none" in re.sub(r"\s", "", found.get("style", "")).lower()
+
+
+def scan(page: str) -> Iterator[tuple[str, str, str]]:
+    """The page's text and tags in order, as ``(kind, name, rest)``: kind is text, start or end.
+
+    Comments, declarations and what raw elements hold are passed over. The page is read once: what is
+    looked for and does not follow is not looked for again. A tag that does not end is text; after a quote that
+    does not end, quotes of its kind are letters, and all are after a tag that ends within quotes only.
+    """
+    at, size, never, letters = 0, len(page), set(), set()
+
+    def find(what: str, start: int) -> int:
+        if what in never:
+            return -1
+        place = page.find(what, start)
+        if place < 0:
+            never.add(what)
+        return place
+
+    def tag_end(start: int) -> int:
+        here = start
+        while True:
+            here = UNQUOTED.match(page, here).end()
+            if here >= size:
+                return -1
+            if page[here] == ">":
+                return here
+            quote = page[here]
+            close = here if quote in letters else find(quote, here + 1)
+            if close < 0:
+                letters.add(quote)
+                return tag_end(start) if len(letters) < 3 else -1
+            here = close + 1
+
+    while at < size:
+        open_ = page.find("<", at)
+        if open_ < 0 or find(">", open_) < 0 and not page.startswith("<!--", open_):
+            yield "text", "", page[at:]
             return
-        found = {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(more)}
-        given = [name for k in ("class", "id", "role") for name in found.get(k, "").split()]
-        names = [p.lower() for name in given for p in NAME_PART.findall(name)]
-        hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
-        hidden = hidden or re.sub(r"\s", "", found.get("style", "")).lower().find("display:none") >= 0
-        marked = set() if MARKS.isdisjoint(names) else set().union(*(marks(tag, name) for name in given))
-        plain = tag in PLAIN
-        self.aside = hidden or tag in ASIDE or bool(marked & COMMENTS if plain else marked)
-        self.head = tag == "header" or not HEADS.isdisjoint(names) and not plain
-        role = ".main" if found.get("role", "").lower() == "main" else ""
-        self.name = tag + role + "".join("." + c for c in sorted(set(found.get("class", "").split()))) + ("#" + found["id"] if found.get("id") else "")
-        self.path = f"{outer}>{self.name}" if outer else self.name
-
-
-def parse(page: str) -> tuple[list[Block], Counter]:
-    """The text blocks of a page in order, and how often each element path occurs."""
-    stack: list[Element] = []
-    blocks: list[Block] = []
-    paths: Counter = Counter()
-    pieces: list[str] = []
-    number = 0
+        if open_ > at:
+            yield "text", "", page[at:open_]
+        if page.startswith("<!--", open_):
+            close = find("-->", open_ + 4)
+            at = size if close < 0 else close + 3
+        elif page.startswith("<![CDATA[", open_) and (close := find("]]>", open_)) >= 0:
+            at = close + 3
+        elif page.startswith(("<!", "<?"), open_):
+            at = find(">", open_) + 1
+        elif (found := TAG.match(page, open_)) is None:
+            yield "text", "", "<"
+            at = open_ + 1
+        else:
+            end = tag_end(found.end())
+            if end < 0:  # no quotes make sense of what is left
+                letters.update("\"'")
+                end = find(">", open_)
+            name, more = found[1].lower(), page[found.end() : end]
+            at = end + 1
+            closed = page[open_ + 1] == "/"
+            if name in RAW and not closed:
+                if not (name in ("svg", "math") and more.endswith("/")):
+                    over = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at) if name not in never else None
+                    if over is None:
+                        never.add(name)
+                    at = size if over is None else over.end()
+            else:
+                yield "end" if closed else "start", name, more
+
+
+class _Stack:
+    """The open elements, and where in the stack each kind of element is open."""
+
+    def __init__(self):
+        self.open: list[Element] = []
+        self.places: dict[str, list[int]] = {}
+
+    @property
+    def top(self) -> Element | None:
+        return self.open[-1] if self.open else None
+
+    def push(self, e: Element) -> None:
+        self.places.setdefault(e.tag, []).append(len(self.open))
+        self.open.append(e)
+
+    def cut(self, place: int) -> None:
+        while len(self.open) > place:
+            self.places[self.open.pop().tag].pop()
+
+    def last(self, *tags: str) -> int:
+        """The place of the innermost open element of these kinds, or -1."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+
+def parse(page: str) -> tuple[list[Block], list[Element]]:
+    """The text blocks of a page, and its elements but for inline ones, in order."""
+    stack, blocks, elements = _Stack(), [], []
+    pieces: list[tuple[str, bool]] = []  # text, and whether an inline element's name sets it aside
+    inline: list[tuple[str, bool]] = []  # open inline elements that matter, and whether they are hidden
 
     def finish() -> None:
-        if not pieces:
-            return
-        text = "".join(pieces)
-        text = " ".join((unescape(text) if "&" in text else text).split())
+        inline.clear()
+        # A word with such a name within a sentence is a word; what stands by itself is not.
+        if any(text.strip() for text, named in pieces if not named):
+            text = "".join(text for text, _ in pieces)
+            text = " ".join((unescape(text) if "&" in text else text).split())
+            if text:
+                blocks.append(Block(stack.top, text))
         pieces.clear()
-        if text:
-            blocks.append(Block(tuple(stack), text))
-
-    at = 0
-    for found in MARKUP.finditer(page):
-        if found.start() > at:
-            pieces.append(page[at : found.start()])
-        at = found.end()
-        tag = (found["tag"] or "").lower()
-        if not tag:
+
+    for kind, tag, more in scan(page):
+        if kind == "text":
+            if not any(gone for _, gone in inline):
+                pieces.append((more, bool(inline)))
             continue
         if tag == "br":
-            pieces.append(" ")
+            pieces.append((" ", bool(inline)))
             continue
         block = tag in BLOCKS
-        if found["end"]:
-            if any(e.tag == tag for e in stack):
-                if block or stack[-1].aside:
+        if kind == "end":
+            if (place := stack.last(tag)) >= 0:
+                if block or stack.top.aside:
                     finish()
-                while stack.pop().tag != tag:
-                    pass
+                stack.cut(place)
             elif block:
                 finish()
+            elif any(t == tag for t, _ in inline):
+                while inline.pop()[0] != tag:
+                    pass
             continue
         if not block and tag not in ASIDE:  # inline: only its names matter
-            if tag in VOID or not found["more"].strip(" /"):
-                continue
-            inner = Element(tag, found["more"], number, stack[-1].path if stack else "")
-            if inner.aside and not found["more"].rstrip().endswith("/"):
-                finish()
-                stack.append(inner)
+            if tag not in VOID and more.strip(" /") and not more.rstrip().endswith("/"):
+                found = attributes(more)
+                gone = hidden(found)
+                given = [name for k in ("class", "id", "role") for name in found.get(k, "").split()]
+                if gone or any(marks(tag, name) for name in given):
+                    inline.append((tag, gone))
+                elif inline:
+                    inline.append((tag, False))
+            elif inline and tag not in VOID and not more.rstrip().endswith("/"):
+                inline.append((tag, False))
             continue
         finish()
-        if block and any(e.tag == "p" for e in stack):  # a paragraph ends where a block begins
-            last = max(i for i, e in enumerate(stack) if e.tag == "p")
-            if not any(e.tag in ("table", "div", "section", "article", "li", "td") for e in stack[last + 1 :]):
-                del stack[last:]
+        if block and (place := stack.last("p")) > stack.last("table", "div", "section", "article", "li", "td"):
+            stack.cut(place)  # a paragraph ends where a block begins
         for other in CLOSES.get(tag, ()):
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag in ("ul", "ol", "dl", "table"):
-                    break
-                if stack[i].tag == other:
-                    del stack[i:]
-                    break
+            if (place := stack.last(other)) > stack.last("ul", "ol", "dl", "table"):
+                stack.cut(place)
         if tag not in VOID:
-            number += 1
-            stack.append(Element(tag, found["more"], number, stack[-1].path if stack else ""))
-            paths[stack[-1].path] += 1
-    if at < len(page):
-        pieces.append(page[at:])
+            elements.append(Element(tag, more, len(elements), stack.top))
+            stack.push(elements[-1])
     finish()
-    return blocks, paths
-
-
-def _in_article(block: Block) -> Element | None:
-    """The outermost article (else main element) around a block, if nothing around it is set aside."""
-    for kind in (("article",), ("main",)):
-        for e in block.path:
-            if e.tag in kind and not e.aside or kind == ("main",) and ".main" in e.name and not e.aside:
-                return e
-            if e.aside:
-                break
-    return None
-
-
-def _is_slot(block: Block, inside: int) -> bool:
-    """Whether no element below the content element sets a block aside."""
-    return not any(e.aside or (e.head and not inside) for e in block.path[inside:])
-
-
-def _depth(block: Block, content: str) -> int:
-    """How many elements of a block's path make up the content path; 0 if it lies elsewhere."""
-    return next((i + 1 for i, e in enumerate(block.path) if e.path == content), 0)
-
-
-def content_blocks(blocks: list[Block], content: str | None) -> list[Block]:
-    """The blocks of the page's content element: its article or main element, else the template's."""
-    size: Counter = Counter()
-    home = [_in_article(b) for b in blocks]
-    for b, e in zip(blocks, home):
-        if e is not None:
-            size[e.tag != "article", e.number] -= len(b.text)
-    if size:
-        number = min(size, key=lambda k: (k[0], size[k], k[1]))[1]
-        chosen = []
-        for b in blocks:
-            inside = next((i + 1 for i, e in enumerate(b.path) if e.number == number and e.name and e.tag in BLOCKS), 0)
-            if inside and _is_slot(b, inside):
-                chosen.append(b)
-        return chosen
-    chosen = [b for b in blocks if (d := _depth(b, content or "")) and not any(e.aside for e in b.path) and _is_slot(b, d)]
-    return chosen or [b for b in blocks if _is_slot(b, 0)]
-
-
-def extract(page: str | None, content: str | None = None, template: frozenset[int] = frozenset()) -> str:
+    return blocks, elements
+
+
+def _is_slot(block: Block) -> bool:
+    """Whether nothing around a block sets it aside, nor is a site's head."""
+    return block.inner is None or not (block.inner.beyond or block.inner.headed)
+
+
+def _within(blocks: list[Block], content: int) -> list[Block]:
+    """The blocks below an element of this path that nothing sets aside."""
+    known: dict[int, bool] = {}
+    chosen = []
+    for b in blocks:
+        e, way = b.inner, []
+        while e is not None and e.number not in known and e.path != content:
+            way.append(e.number)
+            e = e.outer
+        inside = e is not None and (e.path == content or known[e.number])
+        known.update(dict.fromkeys(way, inside))
+        if inside and not b.inner.beyond:
+            chosen.append(b)
+    return chosen
+
+
+def content_blocks(blocks: list[Block], content: int | None) -> list[Block]:
+    """The blocks of the page's main element, else of its articles, else of the template's content element.
+
+    What stands in the main element beside articles, such as title and lead, belongs to it, and sibling
+    articles are parts of one text. An element that only holds what is set aside is not the one that is meant.
+    """
+    open_ = [b for b in blocks if b.inner is not None and not b.inner.beyond]
+    return (
+        [b for b in open_ if b.inner.main is not None]
+        or [b for b in open_ if b.inner.article is not None]
+        or (_within(blocks, content) if content is not None else [])
+        or [b for b in blocks if _is_slot(b)]
+    )
+
+
+def extract(page: str | None, content: int | None = None, template: frozenset[int] = frozenset()) -> str:
     """Main text of a page of a host whose content element and template texts are known."""
     blocks, _ = parse(page or "")
     chosen = content_blocks(blocks, content)
@@ -248,45 +364,46 @@ def extract(page: str | None, content: str | None = None, template: frozenset[in
 
 
 def _token(block: Block) -> int:
-    path = block.path[-1].path if block.path else ""
-    return xxhash.xxh64_intdigest(f"{path}\0{block.text}") - (1 << 63)
+    return xxhash.xxh64_intdigest(f"{block.inner.path if block.inner else 0}\0{block.text}") - (1 << 63)
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page and token: its path, whether it is text, how often it occurs, and its slots' text."""
+    """Per page and token: how often it occurs, and of an element path its last name, depth, and slots' text."""
     for chunk in chunks(batches, "html"):
-        rows: dict[str, list] = {k: [] for k in ("host", "token", "path", "times", "chars", "heading", "vector")}
+        rows: dict[str, list] = {k: [] for k in ("host", "token", "name", "depth", "times", "chars", "heading", "vector")}
         for host, key, page in zip(*(chunk.column(c).to_pylist() for c in ("host", "page_key", "html"))):
-            blocks, paths = parse(page or "")
-            chars: Counter = Counter()
-            heading: Counter = Counter()
+            blocks, elements = parse(page or "")
+            chars, heading = [0] * len(elements), [0] * len(elements)
             texts: Counter = Counter()
             for b in blocks:
-                if _is_slot(b, 0):
+                if _is_slot(b):
                     texts[_token(b)] += 1
-                    title = any(e.tag in ("h1", "h2") for e in b.path)
-                    for e in b.path:
-                        chars[e.path] += len(b.text)
-                        heading[e.path] += len(b.text) * title
-            for path, times in paths.items():
-                token = xxhash.xxh64_intdigest(path) - (1 << 63)
-                _add(rows, host, token, path, times, chars[path], heading[path], key)
+                    if b.inner is not None:
+                        chars[b.inner.number] += len(b.text)
+                        heading[b.inner.number] += len(b.text) * b.inner.heading
+            paths: dict[int, list] = {}
+            for e in reversed(elements):  # what is in an element is in the one around it
+                if e.outer is not None:
+                    chars[e.outer.number] += chars[e.number]
+                    heading[e.outer.number] += heading[e.number]
+                own = paths.setdefault(e.path, [e.name, e.depth, 0, 0, 0])
+                own[2:] = own[2] + 1, own[3] + chars[e.number], own[4] + heading[e.number]
+            for path, (name, depth, times, inside, title) in paths.items():
+                _add(rows, host, path, name, depth, times, inside, title, key)
             for token, times in texts.items():
-                _add(rows, host, token, None, times, 0, 0, key)
+                _add(rows, host, token, None, 0, times, 0, 0, key)
         yield pa.record_batch(
             {
-                "host": pa.array(rows["host"], pa.string()),
-                "token": pa.array(rows["token"], pa.int64()),
-                "path": pa.array(rows["path"], pa.string()),
-                **{k: pa.array(rows[k], pa.int64()) for k in ("times", "chars", "heading", "vector")},
+                "host": pa.array(rows["host"], pa.string()), "token": pa.array(rows["token"], pa.int64()), "name": pa.array(rows["name"], pa.string()),
+                **{k: pa.array(rows[k], pa.int64()) for k in ("depth", "times", "chars", "heading", "vector")},
             }
         )
 
 
-def _add(rows: dict[str, list], host: str, token: int, path: str | None, times: int, chars: int, heading: int, key: int) -> None:
+def _add(rows: dict[str, list], host: str, token: int, name: str | None, depth: int, times: int, chars: int, heading: int, key: int) -> None:
     vector = xxhash.xxh64_intdigest(b"%d %d" % (key, times)) >> 24  # 40 bits, to be summed
-    for name, value in zip(rows, (host, token, path, times, chars, heading, vector), strict=True):
-        rows[name].append(value)
+    for column, value in zip(rows, (host, token, name, depth, times, chars, heading, vector), strict=True):
+        rows[column].append(value)
 
 
 def host_of(url: Column) -> Column:
@@ -300,10 +417,11 @@ def templates(pages: DataFrame) -> DataFrame:
     the ``body`` (or outermost) element. From there the content element is the child in the
     skeleton's class that holds most of the slots' text and all headings, and so on inwards.
     """
-    tokens = pages.mapInArrow(_tokens, "host string, token long, path string, times long, chars long, heading long, vector long")
+    tokens = pages.mapInArrow(_tokens, "host string, token long, name string, depth long, times long, chars long, heading long, vector long")
     summed = cut(
         tokens.groupBy("host", "token").agg(
-            F.first("path").alias("path"),
+            F.max("name").alias("name"),
+            F.max("depth").alias("depth"),
             F.count("*").alias("pages"),
             F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"),
             F.sum("chars").alias("chars"),
@@ -311,9 +429,9 @@ def templates(pages: DataFrame) -> DataFrame:
         )
     )
     skeleton = (
-        summed.where("path is not null")
+        summed.where("name is not null")
         .groupBy("host")
-        .agg(F.max_by(F.struct("pages", "vector", "chars", "heading"), F.struct("pages", "chars", -F.length("path"))).alias("s"))
+        .agg(F.max_by(F.struct("pages", "vector", "chars", "heading"), F.struct("pages", "chars", -F.col("depth"), "token")).alias("s"))
         .select("host", "s.*")
     )
     classed = summed.join(
@@ -321,14 +439,14 @@ def templates(pages: DataFrame) -> DataFrame:
     )
     content = (
         classed.where(
-            f"path is not null and pages = s_pages and vector = s_vector and chars >= {CONTENT_SHARE} * s_chars and heading = s_heading"
-            r" and regexp_like(element_at(split(path, '>'), -1), '^(body|div|section|article|main|td|table)\\b')"
+            f"name is not null and pages = s_pages and vector = s_vector and chars >= {CONTENT_SHARE} * s_chars and heading = s_heading"
+            r" and regexp_like(name, '^(body|div|section|article|main|td|table)\\b')"
         )
         .groupBy("host")
-        .agg(F.max_by("path", F.struct(F.size(F.split("path", ">")), "path")).alias("content"))
+        .agg(F.max_by("token", F.struct("depth", "token")).alias("content"))
     )
     template = (
-        classed.where(f"path is null and s_pages >= {HOST_PAGES} and pages >= {TEMPLATE_SHARE} * s_pages")
+        classed.where(f"name is null and s_pages >= {HOST_PAGES} and pages >= {TEMPLATE_SHARE} * s_pages")
         .groupBy("host")
         .agg(F.sort_array(F.collect_set("token")).alias("template"))
     )
@@ -340,25 +458,27 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Hosts are told apart by url; pages without one share the empty host. A NULL or empty page has an
     empty text; repeated pages count as pages of their host each and get a text each; an empty table
-    gives an empty one. Broken markup is read as far as it goes. Columns other than ``html`` are kept
-    (one called ``text`` is replaced).
+    gives an empty one. Broken markup is read as far as it goes, and any page in time and memory that
+    follow its length, however long or deeply nested. Columns other than ``html`` are kept, whatever
+    their names (one called ``text`` is replaced).
     """
     html, url = F.coalesce(F.col("html").cast("string"), F.lit("")), F.col("url").cast("string")
     slim = pages.select(host_of(url).alias("host"), F.xxhash64(url, html).alias("page_key"), html.alias("html"))
-    known = templates(slim).withColumnsRenamed({"host": "_host", "content": "_content", "template": "_template"})
+    known = templates(slim)
     rest = [c for c in pages.columns if c not in ("html", "text")]
-    ready = pages.select(*[F.col(f"`{c}`") for c in rest], html.alias("html"), host_of(url).alias("_host")).join(known, "_host", "left")
-    ready = ready.select(*[F.col(f"`{c}`") for c in rest], "html", "_content", "_template")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in ready.schema if f.name in rest), "text string"])
+    own = [f"c{i}" for i in range(len(rest))]
+    ready = pages.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(rest, own, strict=True)], html.alias("html"), host_of(url).alias("host"))
+    ready = ready.join(known, "host", "left").select(*own, "html", "content", "template")
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in ready.schema if f.name in own), "text string"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[tuple, frozenset[int]] = {}
         for chunk in chunks(batches, "html"):
             texts = []
-            for page, content, template in zip(*(chunk.column(c).to_pylist() for c in ("html", "_content", "_template"))):
+            for page, content, template in zip(*(chunk.column(c).to_pylist() for c in ("html", "content", "template"))):
                 key = tuple(template or ())
                 texts.append(extract(page, content, sets.setdefault(key, frozenset(key))))
-            columns = [chunk.column(chunk.schema.get_field_index(c)) for c in rest]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*rest, "text"])
+            columns = [chunk.column(chunk.schema.get_field_index(c)) for c in own]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*own, "text"])
 
-    return ready.mapInArrow(run, schema)
+    return ready.mapInArrow(run, schema).toDF(*rest, "text")

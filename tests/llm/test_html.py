@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 from html import unescape
 
 from convlens.llm import html
@@ -53,6 +54,37 @@ def test_raw_elements_end_where_they_end():
     assert html.extract("<article><p>one</p><select><option>no</select><title>no</title><p>two</p></article>") == "one\n\ntwo"
 
 
+def test_siblings_titles_and_words_of_an_article_stay():
+    parts = "<main><h1>Title</h1><p>Lead para.</p><article><p>A longer first part.</p></article><article>Part two.</article><nav>n</nav></main>"
+    assert html.extract(parts).split("\n\n") == ["Title", "Lead para.", "A longer first part.", "Part two."]
+    assert html.extract("<body><div>x</div><article>One.</article><article>Two, longer.</article></body>") == "One.\n\nTwo, longer."
+    assert html.extract('<p>We <span class="search-term">searched</span> a lot.</p>') == "We searched a lot."
+    assert html.extract('<p>We <span class="share">shared</span> a lot.</p><p><span class="share">Share</span></p>') == "We shared a lot."
+    assert html.extract('<article><section class="alert-study"><p>Alerts.</p></section></article>') == "Alerts."
+    for name in ("responses", "discussion", "share-buttons", "related-posts", "alert alert-box", "search-box"):
+        assert html.extract(f"<article><p>one</p><div class='{name}'><p>no</p></div></article>") == "one"
+    assert html.extract("<p>one <i hidden>no <b>no</b></i>two</p>") == "one two"
+
+
+def test_hostile_pages_take_time_in_proportion():
+    size = 300_000
+    for part in ("<a ", "<![CDATA[", "<!--", "<", "<a \"", "<a '\"", "<div>", "<div>t", "<p>", "</p>x", "<li>", "<script>", "<tr><ul>", "</div>", "<b class=ad>", "<svg ", "&amp", "<td x='>'"):
+        for tail in ("", ">", "</x>"):
+            begin = time.process_time()
+            html.extract(part * (size // len(part)) + tail)
+            assert time.process_time() - begin < 3, part
+    deep = "<div>" * 50_000 + "<article><p>in</p></article>" + "</div>" * 50_000 + "<tr>" * 20_000 + "</x>" * 20_000
+    begin = time.process_time()
+    assert html.extract(deep) == "in"
+    assert time.process_time() - begin < 8
+
+
+def test_any_other_page_keeps_its_text():
+    assert html.extract('<article><p>one</p><p title="open>two</p><p>three</p></article>') == "one\n\ntwo\n\nthree"
+    assert html.extract("<article>one <![CDATA[ two </article>") == "one"
+    assert html.extract("<p>a <!-- no") == "a"
+
+
 def page(number: int, text: str) -> str:
     return (
         f"<html><body><div class=top><p>Welcome to us</p></div><div class=story><h1>Title {number}</h1>"
@@ -73,7 +105,7 @@ def test_template_of_a_host_is_left_out(spark):
     assert got[22] == ""
     assert all("same story" in got[i] for i in range(30, 42))  # copies are not boilerplate
     content = {r.host: r.content for r in html.templates(docs.select(html.host_of(docs.url).alias("host"), docs.page_id.alias("page_key"), "html")).collect()}
-    assert content["a.example"] == "html>body>div.story"
+    assert content["a.example"] == html.path_id("div.story", html.path_id("body", html.path_id("html")))
 
 
 def test_pages_of_the_table(spark, sf):
@@ -87,6 +119,15 @@ def test_pages_of_the_table(spark, sf):
         assert got[p.page_id].n_chars == len(got[p.page_id].text)
 
 
+def test_columns_of_any_name(spark):
+    names = ["_host", "_content", "_template", "host", "content", "c0", "page_key"]
+    docs = spark.createDataFrame([(1, "http://h/", "<p>x</p>" * 200_000, *names)], ["page_id", "url", "html", *names])
+    got = html.main_text(docs)
+    assert got.columns == ["page_id", "url", *names, "text"]
+    (row,) = got.collect()
+    assert [row[c] for c in names] == names and len(row.text) == 3 * 200_000 - 2
+
+
 def test_empty_table_and_kept_columns(spark):
     docs = spark.createDataFrame([(1, "http://h/", "<p>x</p>", "t", 5)], "page_id long, url string, html string, text string, host int")
     (row,) = html.main_text(docs).collect()
