@@ -2,11 +2,13 @@
 
 Method: the tokens of a page are its elements, told apart by their path, and its blocks of text with
 the path they lie on. A token's *occurrence vector* says how often it occurs on each page of the host;
-tokens with equal vectors form an equivalence class. The class of the page's own skeleton (once on
-every page) is valid and its elements nest; it is the host's template. Text blocks in the template's
-class are part of the template. What is left are slots: the text of those that lie in the template's
-content element, and outside the elements that HTML itself or their names mark as menus, adverts and
-the like, is the main text.
+tokens with equal vectors form an equivalence class. A class is valid if elements are in it: then its
+texts come with these elements, on whatever pages these are, and where one lies within the other the
+text is nested in the template and not a slot of it. So a notice on some of a host's pages is
+template if the element around it is on just these pages, and a text on every page is nested in the
+page's own skeleton. What is left are slots: the text of those that lie in the content
+element, and outside the elements that HTML itself or their names mark as menus, adverts and the like,
+is the main text.
 
 Vectors are never gathered: a vector is a sum of hashes, one for each page and count, so that a host
 with a third of all pages is summed up in the map tasks. A host's template is one small row.
@@ -28,8 +30,10 @@ from pyspark.sql import functions as F
 from convlens.llm.text import chunks
 from convlens.runtime import cut
 
-#: Pages a host must have before text can count as template, and the share of them that has it.
-HOST_PAGES, TEMPLATE_SHARE = 8, 0.9
+#: Pages on which a class must occur to be evidence of a template: on fewer, vectors agree by chance.
+SUPPORT = 3
+#: Hosts' templates that a task keeps at hand.
+KEPT = 1_000
 #: Share of the slots' text that a child element must hold for the content element to be inside it.
 CONTENT_SHARE = 0.8
 
@@ -352,17 +356,33 @@ def content_blocks(blocks: list[Block], content: int | None) -> list[Block]:
     )
 
 
-def extract(page: str | None, content: int | None = None, template: frozenset[int] = frozenset()) -> str:
-    """Main text of a page of a host whose content element and template texts are known."""
+def extract(
+    page: str | None, content: int | None = None, texts: dict[int, int] | None = None, paths: dict[int, int] | None = None
+) -> str:
+    """Main text of a page of a host whose content element and template are known.
+
+    ``texts`` and ``paths``: the class of each text and element path of the template. Where the template
+    would leave less than it takes, the host's pages are copies of each other, of which vectors say nothing.
+    """
     blocks, _ = parse(page or "")
     chosen = content_blocks(blocks, content)
-    slots = [b for b in chosen if _token(b) not in template] if template else chosen
-    # A page that is nearly all template is a copy of its neighbours, not boilerplate.
+    slots = [b for b in chosen if not _nested(b, texts, paths or {})] if texts else chosen
     if 2 * sum(len(b.text) for b in slots) < sum(len(b.text) for b in chosen):
         slots = chosen
     return "\n\n".join(b.text for b in slots)
 
 
+def _nested(block: Block, texts: dict[int, int], paths: dict[int, int]) -> bool:
+    """Whether a text lies within an element of its own class."""
+    own = texts.get(_token(block))
+    e = block.inner if own is not None else None
+    while e is not None:
+        if paths.get(e.path) == own:
+            return True
+        e = e.outer
+    return False
+
+
 def _token(block: Block) -> int:
     return xxhash.xxh64_intdigest(f"{block.inner.path if block.inner else 0}\0{block.text}") - (1 << 63)
 
@@ -411,11 +431,13 @@ def host_of(url: Column) -> Column:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``(host, content, template)``: each host's content element and its template texts.
+    """``(host, content, texts, paths)``: each host's content element, and the texts and element paths of
+    its template, each followed by its class.
 
     An equivalence class is a set of a host's tokens with one vector; the skeleton is the class of
     the ``body`` (or outermost) element. From there the content element is the child in the
     skeleton's class that holds most of the slots' text and all headings, and so on inwards.
+    The template's classes are those with texts and elements both, on ``SUPPORT`` pages or more.
     """
     tokens = pages.mapInArrow(_tokens, "host string, token long, name string, depth long, times long, chars long, heading long, vector long")
     summed = cut(
@@ -445,11 +467,17 @@ def templates(pages: DataFrame) -> DataFrame:
         .groupBy("host")
         .agg(F.max_by("token", F.struct("depth", "token")).alias("content"))
     )
-    template = (
-        classed.where(f"name is null and s_pages >= {HOST_PAGES} and pages >= {TEMPLATE_SHARE} * s_pages")
-        .groupBy("host")
-        .agg(F.sort_array(F.collect_set("token")).alias("template"))
+    often = summed.where(F.col("pages") >= SUPPORT).select(
+        "host", F.xxhash64("pages", "vector").alias("class"), "token", F.col("name").isNull().alias("is_text")
     )
+    mixed = often.groupBy("host", "class").agg(F.min("is_text").alias("some"), F.max("is_text").alias("all")).where("some <> all")
+    members = often.join(mixed.select("host", "class"), ["host", "class"], "left_semi")
+
+    def listed(which: Column) -> Column:
+        held = F.sort_array(F.collect_set(F.when(which, F.struct("token", "class"))))
+        return F.flatten(F.transform(held, lambda m: F.array(m["token"], m["class"])))
+
+    template = members.groupBy("host").agg(listed(F.col("is_text")).alias("texts"), listed(~F.col("is_text")).alias("paths"))
     return cut(skeleton.select("host").join(content, "host", "left").join(template, "host", "left"))
 
 
@@ -468,17 +496,24 @@ def main_text(pages: DataFrame) -> DataFrame:
     rest = [c for c in pages.columns if c not in ("html", "text")]
     own = [f"c{i}" for i in range(len(rest))]
     ready = pages.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(rest, own, strict=True)], html.alias("html"), host_of(url).alias("host"))
-    ready = ready.join(known, "host", "left").select(*own, "html", "content", "template")
+    ready = ready.join(known, "host", "left").select(*own, "html", "content", "texts", "paths")
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in ready.schema if f.name in own), "text string"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[tuple, frozenset[int]] = {}
+        known: dict[tuple, dict[int, int]] = {}
+
+        def table(flat: list[int] | None) -> dict[int, int]:
+            key = tuple(flat or ())
+            if key not in known:
+                if len(known) > KEPT:
+                    known.clear()
+                known[key] = dict(zip(key[::2], key[1::2], strict=True))
+            return known[key]
+
         for chunk in chunks(batches, "html"):
-            texts = []
-            for page, content, template in zip(*(chunk.column(c).to_pylist() for c in ("html", "content", "template"))):
-                key = tuple(template or ())
-                texts.append(extract(page, content, sets.setdefault(key, frozenset(key))))
+            rows = zip(*(chunk.column(c).to_pylist() for c in ("html", "content", "texts", "paths")))
+            found = [extract(page, content, table(texts), table(paths)) for page, content, texts, paths in rows]
             columns = [chunk.column(chunk.schema.get_field_index(c)) for c in own]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*own, "text"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.string())], names=[*own, "text"])
 
     return ready.mapInArrow(run, schema).toDF(*rest, "text")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 import time
 from html import unescape
@@ -108,6 +109,52 @@ def test_template_of_a_host_is_left_out(spark):
     assert content["a.example"] == html.path_id("div.story", html.path_id("body", html.path_id("html")))
 
 
+def brute_template(pages):
+    """The texts of a host that lie within an element of equal occurrence vector, from whole vectors."""
+    vectors, around = {}, {}
+    for n, p in enumerate(pages):
+        blocks, elements = html.parse(p)
+        tokens = [("path", e.path) for e in elements] + [("text", html._token(b)) for b in blocks if html._is_slot(b)]
+        for t in tokens:
+            vectors.setdefault(t, [0] * len(pages))[n] += 1
+        for b in blocks:
+            e = b.inner
+            while e is not None:
+                around.setdefault(html._token(b), set()).add(e.path)
+                e = e.outer
+    held = {k: v for k, v in vectors.items() if sum(x > 0 for x in v) >= html.SUPPORT}
+    return {t for (kind, t), v in held.items() if kind == "text" and any(held.get(("path", p)) == v for p in around[t])}
+
+
+def test_classes_of_small_hosts_against_whole_vectors(spark):
+    """Notices on all pages, on some pages, in articles and beside them, twice on a page, and texts that merely repeat."""
+    draw = random.Random(8)
+    rows, hosts = [], {}
+    for host, count in (("seven.example", 7), ("twenty.example", 20), ("two.example", 2), ("mixed.example", 9)):
+        for i in range(count):
+            story = "".join(f"<p>{' '.join(draw.choices('abcdefghijklm', k=60))} {host} {i} {j}</p>" for j in range(3))
+            always = "<div class=x1><p>This text is on every page of the site.</p></div>"
+            some = "<div class=x2><b>Members get more.</b><p>Join the club.</p></div>" if i % 2 else ""
+            twice = "<p>A refrain.</p>" * (i % 3)
+            quote = "<p>A sentence that a few stories have.</p>" if i % 4 == 1 else ""
+            page = f"<html><body><div class=top>Site</div><main><h1>Story {i}</h1>{always}{story}{some}{twice}{quote}</main></body></html>"
+            hosts.setdefault(host, []).append(page)
+            rows.append((len(rows), f"http://{host}/{i}", page))
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    slim = docs.select(html.host_of(docs.url).alias("host"), docs.page_id.alias("page_key"), "html")
+    got = {r.host: r for r in html.templates(slim).collect()}
+    for host, pages in hosts.items():
+        texts, paths = ({} if v is None else dict(zip(v[::2], v[1::2])) for v in (got[host].texts, got[host].paths))
+        found = {html._token(b) for p in pages for b in html.parse(p)[0] if html._nested(b, texts, paths)}
+        assert found == brute_template(pages)
+    texts = {r.page_id: (r.url, r.text) for r in html.main_text(docs).collect()}
+    for i, (url, text) in texts.items():
+        few = "two.example" in url
+        assert ("every page of the site" in text) == few and text.startswith("Story")
+        assert "Join the club" not in text or few
+        assert "A sentence that" in text or (int(url.rsplit("/", 1)[1]) % 4 != 1)
+
+
 def test_pages_of_the_table(spark, sf):
     got = {r.page_id: r for r in op7_html_text(spark, sf).collect()}
     pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
