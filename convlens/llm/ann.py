@@ -230,16 +230,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, router: Router |
     ``vectors(id, vector)``; ``is_query`` is a condition on ``id``. Nearness is the inner product in
     double precision, ties go to the smaller id. Rows without an id, vectors that are not ``usable``
     and vectors that are not as long as most take no part; rows repeated with id and vector count
-    once. No usable vectors give no rows. ``router``: by default learned from these vectors.
+    once. No usable vectors give no rows. ``router``: by default learned from these vectors, equal ones
+    taken once. Other columns are not looked at.
     """
     clean = vectors.select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector"))
     clean = cut(clean.where("id is not null").where(usable(F.col("vector"))))
     length = clean.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     clean = clean.where(F.size("vector") == (length[0]["n"] if length else 0))
-    router = router or fit(clean)
     first = Window.partitionBy("vector").orderBy("id")
     # Of equal vectors, only the k + 1 smallest ids can be among a query's k nearest besides itself.
-    fronts = clean.distinct().withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= k + 1).drop("rn")
+    fronts = cut(clean.distinct().withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= k + 1))
+    router = router or fit(fronts.where("rn = 1"))
     asks = cut(clean.where(is_query).distinct())
     speakers = asks.groupBy("vector").agg(F.min("id").alias("id"))
     schema = "part int, id long, vector binary"

@@ -422,7 +422,7 @@ def similar_classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` without near copies: of each class one row with the smallest ``doc_id``.
 
-    All columns are kept as they are. Texts without words stay, and so do classes of which no row has
+    All columns are kept as they are, whatever their names. Texts without words stay, and so do classes of which no row has
     a ``doc_id``. Of repeated rows one stays.
     """
     classes = cut(similar_classes(docs, size, num, den).where("n_shingles > 0 and component_id is not null"))
@@ -437,9 +437,11 @@ def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> D
     again = cut(rows.where(stays).groupBy("doc_id", "th").agg(F.count("*").alias("c")).where("c > 1").select("doc_id", "th"))
     small = (gone.count() + again.count()) * 16 <= LIST_BYTES
     listed = F.broadcast if small else (lambda frame: frame)
-    known = docs.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string"))).alias("d")
-    same = F.expr("d.doc_id <=> g.doc_id and d._text_hash = g.th")
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    key, text = (f"c{docs.columns.index(c)}" for c in ("doc_id", "text"))
+    known = docs.toDF(*own).withColumn("text_hash", F.xxhash64(F.col(text).cast("string"))).alias("d")
+    same = F.expr(f"d.{key} <=> g.doc_id and d.text_hash = g.th")
     left = known.join(listed(gone).alias("g"), same, "left_anti").alias("d")
     once = left.join(listed(again).alias("g"), same, "left_anti")
-    repeated = left.join(listed(again).alias("g"), same, "left_semi").dropDuplicates(["doc_id", "_text_hash"])
-    return once.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    repeated = left.join(listed(again).alias("g"), same, "left_semi").dropDuplicates([key, "text_hash"])
+    return once.unionByName(repeated).select(*own).toDF(*docs.columns)

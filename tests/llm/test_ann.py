@@ -81,3 +81,16 @@ def test_few_or_no_vectors(spark):
     assert ann.nearest(spark.createDataFrame([(0, [1.0])], schema), F.col("id") >= 0).count() == 0
     got = ann.nearest(spark.createDataFrame([(0, [1.0]), (1, [2.0])], schema), F.col("id") >= 0).collect()
     assert sorted(map(tuple, got)) == [(0, 1, 1, 2.0), (1, 1, 0, 2.0)]
+
+
+def test_copies_do_not_loosen_the_search(spark):
+    """95 % of the rows are copies of a few vectors: parts and visits are learned from the others all the same."""
+    own, times = clustered(4000, seed=3), 25_000
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(own)], "id long, vector array<double>")
+    copies = frame.where("id < 3").selectExpr(f"explode(sequence(4000 + id * {times}, 3999 + (id + 1) * {times})) AS id", "vector")
+    queries = range(0, 4000, 40)
+    got = answers(ann.nearest(frame.unionByName(copies), F.col("id").isin(list(queries)), 10).collect())
+    distinct = np.concatenate([own, own[:3].repeat(11, axis=0)])
+    ids = np.concatenate([np.arange(4000), *(np.arange(11) + 4000 + i * times for i in range(3))])
+    found = sum(len({i for i, _ in got[q]} & {i for i, _ in exact(ids, distinct, q, 10)}) for q in queries)
+    assert found >= 0.9 * 10 * len(queries)

@@ -98,3 +98,11 @@ def test_one_of_each_class_is_kept(spark, seed):
     expected = plain.classes([(r[0], r[1]) for r in rows], 5, 80, 100)
     assert sorted(r.doc_id for r in got if r.doc_id is not None) == sorted({c for _, _, c in expected if c is not None})
     assert [r.text for r in got if r.doc_id is None] == ["a text of its own without id"]
+
+
+def test_keep_one_keeps_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f", "x", "y", "z"), (2, "a b c d e f", "x", "y", "z"), (2, "a b c d e f", "x", "y", "z"), (3, None, "x", "y", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _text_hash string, th string, c0 string")
+    got = jaccard.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == [rows[0], rows[3]]

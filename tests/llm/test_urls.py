@@ -60,6 +60,29 @@ def test_classifier_learns_from_labels_and_scores_as_by_hand(spark):
         assert abs(r.score - by_hand) < 1e-9
 
 
+def test_accuracy_on_rows_held_out(spark):
+    """Rows of the labelled table that were not trained on, and the table's spam hosts that no rule decides."""
+    model = urls.train(urls.labelled_urls(spark))
+    held = urls.labelled_urls(spark, first=urls.EXAMPLES, count=2000)
+    known = {r.url for r in urls.labelled_urls(spark).collect()}
+    got = [r for r in urls.judge(held, [], model).collect() if r.url not in known]
+    right = sum((r.verdict == "allow") == r.allowed for r in got) / len(got)
+    assert len(got) > 1900 and right >= 0.95
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    left = [r for r in urls.judge(pages, URL_RULES, model).collect() if r.rule is None]
+    spam = [r for r in left if any(w in r.host for w in ("casino-win", "free-bets", "cheap-pills", "adult-x"))]
+    others = [r for r in left if r not in spam]
+    assert sum(r.verdict == "block" for r in spam) >= 0.95 * len(spam)
+    assert sum(r.verdict == "allow" for r in others) >= 0.9 * len(others)
+    print("held out", right, len(spam), sum(r.verdict == "block" for r in spam), len(others), sum(r.verdict == "allow" for r in others))
+
+
+def test_very_long_urls(spark):
+    rows = [(1, "http://news.example/" + "a/" * 100_000), (2, "x" * 100_000)]
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES).collect()
+    assert [len(r.path) for r in sorted(got, key=lambda r: r.page_id)] == [200_001, 0]
+
+
 def test_no_labels_one_kind_and_no_rows(spark):
     schema = "url string, allowed boolean"
     assert urls.train(spark.createDataFrame([], schema)).bias > 0
@@ -73,3 +96,16 @@ def test_grams_are_distinct_and_tell_host_from_path(spark):
         urls.grams(F.lit("aaaa"), F.lit("")).alias("a"), urls.grams(F.lit(""), F.lit("aaaa")).alias("b"), urls.grams(F.lit(""), F.lit("")).alias("c")
     ).first()
     assert len(set(row.a)) == len(row.a) and row.a != row.b and row.c
+
+
+def test_grams_are_runs_of_three_and_four(spark):
+    """Against the n-grams cut by hand, in Python's way, and hashed by the same function."""
+    text = ["news.example", "", "é漢-x"]
+    for host in text:
+        edged = f"^{host}$"
+        runs = {edged[i : i + n] for n in urls.GRAMS for i in range(max(len(edged) - n + 1, 1))}
+        empty = {"^$"}
+        frame = spark.createDataFrame([("host", g) for g in runs] + [("path", g) for g in empty], "kind string, g string")
+        want = {r[0] for r in frame.select(F.pmod(F.xxhash64("kind", "g"), F.lit(urls.BUCKETS)).cast("int")).collect()}
+        got = spark.range(1).select(urls.grams(F.lit(host), F.lit("")).alias("b")).first().b
+        assert set(got) == want and len(got) == len(want)
