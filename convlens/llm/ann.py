@@ -6,6 +6,11 @@ vector is filed under its most probable part; a query goes to its several most p
 all vectors are compared with it exactly. How many parts a query needs is read off the sample, whose
 neighbours are known.
 
+A sample of bounded size tells a bounded number of parts apart. A part that is still too large is cut
+once more in the same way: tasks learn a router from a sample of that part alone, which files its vectors
+under parts of the part and sends on the queries that came to it, level by level. A part so stays near
+``PART_ROWS`` vectors however many there are.
+
 Parts need not come out even: a part's vectors and queries are dealt into blocks of bounded size, and
 every block of vectors meets every block of queries of its part. Equal vectors are searched once, and
 of those that equal each other only the smallest ids can be among the nearest.
@@ -27,8 +32,10 @@ from convlens.runtime import cut
 SAMPLE = 4096
 #: Neighbours of a vector in the graph.
 DEGREE = 10
-#: Vectors that a part should hold; there are at most ``SAMPLE / 16`` parts.
+#: Vectors that a part should hold; one router tells at most ``SAMPLE / 16`` parts apart.
 PART_ROWS = 1500
+#: Parts with more distinct vectors than so many times ``PART_ROWS`` get a router of their own.
+OVERSIZE = 4
 #: Share of the sample's neighbours that the visited parts must hold.
 RECALL = 0.98
 #: Vectors and queries that meet in one block.
@@ -139,32 +146,93 @@ def learn(vectors: np.ndarray, parts: int) -> Router:
     return router
 
 
-def _filed(router: Router, visits: int):
+FILED = "part long, id long, vector binary, lead boolean"
+
+
+def _routed(router: Router, visits: int, above: int, fan: int, vectors: np.ndarray, ids: pa.Array, lead: pa.Array) -> dict[str, pa.Array]:
+    """Rows under their ``visits`` most probable parts of the part ``above``; a part's number holds its parents' in base ``fan``."""
+    order = router.order(vectors)[:, :visits]
+    rows = pa.array(np.repeat(np.arange(len(vectors)), order.shape[1]))
+    return {
+        "part": pa.array(above * fan + order.ravel(), pa.int64()),
+        "id": ids.take(rows),
+        "vector": pa.array([v.tobytes() for v in vectors], pa.binary()).take(rows),
+        "lead": lead.take(rows),
+    }
+
+
+def _filed(router: Router, visits: int, fan: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
                 vectors = flat.reshape(batch.num_rows, -1)
-                order = router.order(vectors)[:, :visits]
-                rows = np.repeat(np.arange(batch.num_rows), order.shape[1])
-                yield pa.record_batch(
-                    {
-                        "part": pa.array(order.ravel(), pa.int32()),
-                        "id": batch.column("id").take(pa.array(rows)),
-                        "vector": pa.array([v.tobytes() for v in vectors], pa.binary()).take(pa.array(rows)),
-                    }
-                )
+                yield pa.record_batch(_routed(router, visits, 1, fan, vectors, batch.column("id"), batch.column("lead")))
+
+    return run
+
+
+def _vectors(table: pa.Table) -> np.ndarray:
+    return np.stack([np.frombuffer(v) for v in table.column("vector").to_pylist()])
+
+
+def _learned(part_rows: int):
+    """The router of one part, from its sample, as a row."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        vectors = _vectors(table)
+        router = learn(vectors, part_count(table.column("leads")[0].as_py(), len(vectors), part_rows))
+        row = {"part": table.column("part")[0].as_py(), "weights": router.weights.tobytes(), "bias": router.bias.tobytes(), "visits": router.visits}
+        return pa.Table.from_pylist([row], pa.schema({"part": pa.int64(), "weights": pa.binary(), "bias": pa.binary(), "visits": pa.int32()}))
 
     return run
 
 
-def _dealt(filed: DataFrame, sizes: dict[int, int], limit: int, other: dict[int, int], other_limit: int, by: str) -> DataFrame:
-    """Rows in blocks of about ``limit``, once for each block of the other side."""
-    spark = filed.sparkSession
-    rows = [(p, -(-sizes.get(p, 0) // limit) or 1, -(-other.get(p, 0) // other_limit) or 1) for p in {*sizes, *other}]
-    blocks = F.broadcast(spark.createDataFrame(rows, "part int, own int, others int"))
-    placed = filed.join(blocks, "part").withColumn(by, F.pmod(F.xxhash64("id"), F.col("own")).cast("int"))
-    return placed.withColumn("across", F.explode(F.expr("sequence(0, others - 1)"))).drop("own", "others")
+def _refiled(fan: int, every_visit: bool):
+    """Rows of one part under the parts that its own router tells apart."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return left.select(["part", "id", "vector", "lead"])
+        vectors, own = _vectors(left), right.to_pylist()[0]
+        router = Router(np.frombuffer(own["weights"]).reshape(vectors.shape[1], -1), np.frombuffer(own["bias"]), own["visits"])
+        columns = [left.column(name).combine_chunks() for name in ("id", "lead")]
+        return pa.table(_routed(router, router.visits if every_visit else 1, own["part"], fan, vectors, *columns))
+
+    return run
+
+
+def _split(filed: DataFrame, routers: DataFrame, fan: int, every_visit: bool) -> DataFrame:
+    """Rows of parts that have a router go one level down, in deals of bounded size; the others stay as they are."""
+    deals = cut(
+        filed.join(routers.select("part"), "part", "left_semi").groupBy("part").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("deals"))
+    )
+    left = filed.join(deals, "part").withColumn("deal", F.pmod(F.xxhash64("id"), F.col("deals")).cast("int")).drop("deals")
+    right = routers.join(deals, "part").withColumn("deal", F.explode(F.expr("sequence(0, deals - 1)"))).drop("deals")
+    down = left.groupBy("part", "deal").cogroup(right.groupBy("part", "deal")).applyInArrow(_refiled(fan, every_visit), FILED)
+    return cut(filed.join(deals, "part", "left_anti").unionByName(down))
+
+
+def _deepened(filed: DataFrame, sent: DataFrame, fan: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Vectors, queries and ``(part, own)`` after parts that are too large were split, level by level. The levels end
+    where a part's number would no longer fit a long; blocks keep even such a part in bounded pieces."""
+    while True:
+        sizes = cut(filed.groupBy("part").agg(F.count("*").alias("own"), F.count_if("lead").alias("leads")))
+        large = cut(sizes.where((F.col("leads") > OVERSIZE * PART_ROWS) & (F.col("part") < 2**62 // fan)).select("part", "leads"))
+        if not large.limit(1).count():
+            return filed, sent, sizes.select("part", "own")
+        order = Window.partitionBy("part").orderBy(F.xxhash64("id"), "id")
+        sample = filed.where("lead").join(large, "part").withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= SAMPLE)
+        routers = cut(sample.groupBy("part").applyInArrow(_learned(PART_ROWS), "part long, weights binary, bias binary, visits int"))
+        filed, sent = _split(filed, routers, fan, False), _split(sent, routers, fan, True)
+
+
+def _dealt(filed: DataFrame, blocks: DataFrame, own: str, limit: int, others: str, other_limit: int, by: str, across: str) -> DataFrame:
+    """Rows in blocks of about ``limit``, once for each block of the other side; parts that lack the other side meet nothing."""
+    placed = filed.join(blocks, "part").withColumn(by, F.pmod(F.xxhash64("id"), F.ceil(F.col(own) / limit)).cast("int"))
+    times = F.sequence(F.lit(0), (F.ceil(F.col(others) / other_limit) - 1).cast("int"))
+    return placed.withColumn(across, F.explode(times)).select("part", "id", "vector", by, across)
 
 
 BEST = "query long, ids array<long>, scores array<double>"
@@ -179,8 +247,7 @@ def _best(k: int):
             ids = right.column("id").to_numpy()
             order = np.argsort(ids, kind="stable")
             ids = ids[order]
-            vectors = np.stack([np.frombuffer(v) for v in right.column("vector").to_pylist()])[order]
-            queries = np.stack([np.frombuffer(v) for v in left.column("vector").to_pylist()])
+            vectors, queries = _vectors(right)[order], _vectors(left)
             near = queries @ vectors.T
             count = min(k, len(ids))
             least = np.partition(near, len(ids) - count, axis=1)[:, len(ids) - count]
@@ -209,19 +276,20 @@ def _merged(k: int):
     return run
 
 
+def part_count(total: int, sampled: int, part_rows: int) -> int:
+    """Parts, a power of two, for so many vectors: as many as make them hold ``part_rows``, or as the sample can tell apart."""
+    parts = 1
+    while parts * 2 * part_rows <= total * 1.5 and parts * 2 * 16 <= sampled:
+        parts *= 2
+    return parts
+
+
 def fit(vectors: DataFrame) -> Router:
     """A router for ``vectors(id, vector)``, learned from at most ``SAMPLE`` of them on the driver."""
     total = vectors.count()
     rows = vectors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     sample = np.array([r["vector"] for r in rows], np.float64)
-    parts = 1
-    while parts * 2 * PART_ROWS <= total * 1.5 and parts * 2 * 16 <= len(rows):
-        parts *= 2
-    return learn(sample, parts) if len(rows) else Router(np.zeros((1, 1)), np.zeros(1), 1)
-
-
-def _sizes(filed: DataFrame) -> dict[int, int]:
-    return {r["part"]: r["count"] for r in filed.groupBy("part").count().collect()}
+    return learn(sample, part_count(total, len(rows), PART_ROWS)) if len(rows) else Router(np.zeros((1, 1)), np.zeros(1), 1)
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, router: Router | None = None) -> DataFrame:
@@ -243,14 +311,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, router: Router |
     router = router or fit(fronts.where("rn = 1"))
     asks = cut(clean.where(is_query).distinct())
     speakers = asks.groupBy("vector").agg(F.min("id").alias("id"))
-    schema = "part int, id long, vector binary"
-    filed = cut(fronts.select("id", "vector").mapInArrow(_filed(router, 1), schema))
-    sent = cut(speakers.select("id", "vector").mapInArrow(_filed(router, router.visits), schema))
-    rows, queries = _sizes(filed), _sizes(sent)
-    left = _dealt(sent, queries, BLOCK_QUERIES, rows, BLOCK_ROWS, "q").withColumnRenamed("across", "c")
-    right = _dealt(filed, rows, BLOCK_ROWS, queries, BLOCK_QUERIES, "c").withColumnRenamed("across", "q")
-    blocks = left.groupBy("part", "q", "c").cogroup(right.groupBy("part", "q", "c")).applyInArrow(_best(k + 1), BEST)
-    found = blocks.groupBy("query").applyInArrow(_merged(k + 1), "query long, id long, score double")
+    fan = max(SAMPLE // 16, len(router.bias), 2)
+    filed = cut(fronts.select("id", "vector", (F.col("rn") == 1).alias("lead")).mapInArrow(_filed(router, 1, fan), FILED))
+    sent = cut(speakers.select("id", "vector", F.lit(True).alias("lead")).mapInArrow(_filed(router, router.visits, fan), FILED))
+    filed, sent, sizes = _deepened(filed, sent, fan)
+    blocks = cut(sizes.join(sent.groupBy("part").agg(F.count("*").alias("asked")), "part"))
+    left = _dealt(sent, blocks, "asked", BLOCK_QUERIES, "own", BLOCK_ROWS, "q", "c")
+    right = _dealt(filed, blocks, "own", BLOCK_ROWS, "asked", BLOCK_QUERIES, "c", "q")
+    pairs = left.groupBy("part", "q", "c").cogroup(right.groupBy("part", "q", "c")).applyInArrow(_best(k + 1), BEST)
+    found = pairs.groupBy("query").applyInArrow(_merged(k + 1), "query long, id long, score double")
     spoken = asks.join(speakers.withColumnRenamed("id", "query"), "vector").select(F.col("id").alias("query_id"), "query")
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     every = spoken.join(found, "query").where("query_id <> id").withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)

@@ -53,6 +53,32 @@ def test_recall_through_learned_parts(spark, monkeypatch):
     assert len(got) == 200 and hits >= 0.9 * 20 * 200
 
 
+def test_recall_through_parts_of_parts(spark, monkeypatch):
+    """One router tells too few parts apart: every part is cut again by its own, and queries visit few of all parts."""
+    for name, value in (("SAMPLE", 512), ("PART_ROWS", 60), ("OVERSIZE", 2), ("BLOCK_ROWS", 256), ("BLOCK_QUERIES", 64)):
+        monkeypatch.setattr(ann, name, value)
+    vectors = clustered(16000, 5)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, vector array<double>")
+    seen = {}
+    deepen = ann._deepened
+
+    def watched(*args):
+        seen["before"], (filed, sent, sizes) = args[0], deepen(*args)
+        seen["sizes"], seen["sent"] = [r.own for r in sizes.collect()], sent.count()
+        seen["work"] = sent.groupBy("part").count().join(sizes, "part").selectExpr("sum(count * own) AS n").first().n
+        return filed, sent, sizes
+
+    monkeypatch.setattr(ann, "_deepened", watched)
+    is_query = F.pmod("id", F.lit(40)) == 0
+    got = answers(ann.nearest(frame, is_query, 10).collect())
+    assert seen["before"].select("part").distinct().count() <= 32 < len(seen["sizes"])
+    assert sum(seen["sizes"]) == 16000 and max(seen["sizes"]) <= 500
+    assert seen["work"] < 0.5 * 400 * 16000  # vectors compared, of all pairs of a query and a vector
+    ids = np.arange(len(vectors))
+    hits = sum(len({i for i, _ in found} & {i for i, _ in exact(ids, vectors, q, 10)}) for q, found in got.items())
+    assert len(got) == 400 and hits >= 0.9 * 10 * 400
+
+
 def test_parts_are_balanced_and_cut_few_edges():
     vectors = clustered(1024, 3)
     graph = ann.neighbours(vectors, 10)
