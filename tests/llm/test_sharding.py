@@ -45,6 +45,22 @@ def test_a_key_with_a_third_of_all_rows_is_split(spark):
     assert all(not b.startswith(a) for a, b in zip(ordered, ordered[1:]))  # no shard is within another
 
 
+def test_a_key_with_more_rows_than_the_hash_tells_apart(spark, monkeypatch):
+    """With four bits for a row, the hash ends at sixteen buckets a key; the digest's further bits split them."""
+    monkeypatch.setattr(sharding, "KEY_BITS", 56)
+    rows = [("hot", 100)] * 2000 + [("warm", 50)] * 300 + [(f"k{i}", 10) for i in range(50)]
+    docs = spark.createDataFrame(rows, "key string, size long").repartition(2)
+    got = sharding.shard(docs, "key", F.col("size"), 600).collect()
+    assert len(got) == len(rows) and max(r.shard_depth for r in got) > sharding.HASH_BITS
+    assert all(r.shard_depth == len(r.shard) for r in got)
+    sums: dict[str, int] = {}
+    for r in got:
+        sums[r.shard] = sums.get(r.shard, 0) + r.size
+    assert max(sums.values()) <= 600 and all(sums[r.shard] == r.shard_bytes for r in got)
+    ordered = sorted(sums)
+    assert all(not b.startswith(a) for a, b in zip(ordered, ordered[1:]))
+
+
 def test_query_agrees_with_sql_and_stays_native(spark, sf, monkeypatch):
     frame = op5_sharding(spark, sf)
     assert differences(frame, duck(sf).sql(oracle.sharding())) == []
