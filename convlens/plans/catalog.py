@@ -460,11 +460,13 @@ def _run(writer, folder: str) -> None:
 
 
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw JSON files through normalise, de-duplicate and merge, then the stored table."""
+    """Raw JSON files through normalise and de-duplicate in four batches or more, of which every third merges;
+    then the stored table with the deltas after it."""
     folder = scratch(spark, "ingest")
-    raw_visits(spark, sf).select("value").write.text(f"{folder}/raw")
-    _run(jobs.stream_ingest(jobs.raw_stream(spark, f"{folder}/raw"), folder, "live_visits"), folder)
-    stored = read_table(spark, f"{folder}/live_visits", schemas.LIVE_VISITS)
+    raw_visits(spark, sf).select("value").repartition(4).write.text(f"{folder}/raw")
+    raw = jobs.raw_stream(spark, f"{folder}/raw", files_per_batch=1)
+    _run(jobs.stream_ingest(raw, folder, "live_visits", compact_every=3), folder)
+    stored = jobs.stored_feed(spark, folder, "live_visits")
     return stored.select("click_id", "visit_timestamp", *derive.ATTRIBUTES)
 
 

@@ -26,7 +26,7 @@ from convlens.functions.expr import (
 )
 from convlens.operators.anomaly import check_alerts
 from convlens.operators.views import finish_rollup
-from convlens.plans.sync import FEEDS, ROLLUP_KEYS, arrival_order
+from convlens.plans.sync import FEEDS, ROLLED_UP, ROLLUP_KEYS, arrival_order, note_hours
 from convlens.runtime import cut
 from convlens.sources import schemas as S
 from convlens.sources.tables import delete_path, located, read_table, table_exists, upsert_table, with_arrival
@@ -44,13 +44,6 @@ def start(writer, checkpoint: str, *, once: bool = False) -> StreamingQuery:
     return writer.start()
 
 
-def merge_into(
-    stream: DataFrame, merge: Callable[[DataFrame], None], mode: str = "append"
-):
-    """A writer that hands every micro-batch to ``merge``."""
-    return stream.writeStream.outputMode(mode).foreachBatch(lambda batch, _: merge(batch))
-
-
 def _deltas(path: str) -> str:
     return f"{path}_deltas"
 
@@ -66,14 +59,18 @@ def delta_writer(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        batch.select(*schema.fieldNames()).write.mode("overwrite").parquet(f"{_deltas(path)}/batch={number}")
+        keep_delta(batch, number, path, schema)
         if (number + 1) % compact_every == 0:
-            compact(spark, path, schema, keys, ts)
+            compact(batch.sparkSession, path, schema, keys, ts)
 
     return totals.writeStream.outputMode("update").foreachBatch(write)
 
 
+def keep_delta(rows: DataFrame, number: int, path: str, schema: T.StructType) -> None:
+    """A batch's rows as a folder of its own; a repeated batch replaces it."""
+    rows.select(*schema.fieldNames()).write.mode("overwrite").parquet(f"{_deltas(path)}/batch={number}")
+
+
 def _newest(deltas: DataFrame, keys: list[str], schema: T.StructType) -> DataFrame:
     """The latest batch's row of each key."""
     others = [c for c in schema.fieldNames() if c not in keys]
@@ -87,13 +84,26 @@ def _read_deltas(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(_deltas(path))
 
 
-def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], ts: str) -> None:
-    """Merge all deltas into the table, then delete them. One writer at a time, as for any table."""
+def compact(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    keys: list[str],
+    ts: str,
+    *,
+    noted: Callable[[DataFrame], None] | None = None,
+) -> None:
+    """Merge all deltas into the table, then delete them. One writer at a time, as for any table.
+
+    The oldest go first: what a lost run leaves are the newest rows of their keys, which may be merged again.
+    ``noted`` as for ``upsert_table``.
+    """
     files, pattern = located(spark, f"{_deltas(path)}/batch=*")
     folders = [f.getPath().toString() for f in files.globStatus(pattern) or []]
+    folders.sort(key=lambda folder: int(folder.rsplit("=", 1)[1]))
     if folders:
         rows = cut(_newest(_read_deltas(spark, path, schema), keys, schema))
-        upsert_table(spark, rows, path, schema, keys, ts)
+        upsert_table(spark, rows, path, schema, keys, ts, noted=noted)
         for folder in folders:
             delete_path(spark, folder)
 
@@ -117,15 +127,35 @@ def raw_stream(spark: SparkSession, path: str, *, files_per_batch: int | None =
     return with_arrival(reader.load(path))
 
 
-def stream_ingest(raw: DataFrame, warehouse: str, feed: str):
-    """Raw rows -> normalised -> first per key within the batch -> merged, last batch winning."""
-    normalize, dedupe, schema, keys, ts = FEEDS[feed]
+def stream_ingest(raw: DataFrame, warehouse: str, feed: str, *, compact_every: int = 1):
+    """Raw rows -> normalised -> first per key within the batch -> merged, last batch winning.
 
-    def merge(batch: DataFrame) -> None:
+    With ``compact_every`` above 1 a batch writes its own rows only, as a delta, and every so many batches
+    the deltas are merged into the day folders; ``stored_feed`` reads both. Each merge rewrites the days it
+    touches, so a short trigger should merge seldom. The hours of merged visits are noted for the rollup.
+    """
+    normalize, dedupe, schema, _, _ = FEEDS[feed]
+
+    def write(batch: DataFrame, number: int) -> None:
         rows = dedupe(normalize(arrival_order(batch)))
-        upsert_table(batch.sparkSession, rows, f"{warehouse}/{feed}", schema, keys, ts)
+        keep_delta(rows, number, f"{warehouse}/{feed}", schema)
+        if (number + 1) % compact_every == 0:
+            compact_feed(batch.sparkSession, warehouse, feed)
+
+    return raw.writeStream.outputMode("append").foreachBatch(write)
+
+
+def compact_feed(spark: SparkSession, warehouse: str, feed: str) -> None:
+    """Merge what a stream has written of a feed and not merged yet, as before a batch cycle on the same table."""
+    _, _, schema, keys, ts = FEEDS[feed]
+    noted = (lambda times: note_hours(times, warehouse)) if feed == ROLLED_UP else None
+    compact(spark, f"{warehouse}/{feed}", schema, keys, ts, noted=noted)
+
 
-    return merge_into(raw, merge)
+def stored_feed(spark: SparkSession, warehouse: str, feed: str) -> DataFrame:
+    """A feed's table with the deltas that are not merged yet; a key's newest row counts."""
+    _, _, schema, keys, _ = FEEDS[feed]
+    return read_totals(spark, f"{warehouse}/{feed}", schema, keys)
 
 
 def _thinned(key: str, ts: str):

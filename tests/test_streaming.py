@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
 
 from convlens.operators import anomaly, joins, views
 from convlens.operators.ingest import normalize_visits
+from convlens.plans import sync
 from convlens.sources import derive, schemas as S
 from convlens.sources.tables import read_table
 from convlens.streaming import jobs
@@ -151,6 +153,60 @@ def test_totals_are_kept_by_delta(spark, tmp_path, every):
     assert read_table(spark, path, jobs.RECENT_COUNTS).count() == len(want)
 
 
+@pytest.mark.parametrize("every", [1, 2, 99])
+def test_ingest_by_delta(spark, tmp_path, every):
+    """Ids that come again in later files; the newest row counts whenever deltas are merged, and the rollup follows."""
+    raw, path, want = tmp_path / "raw", tmp_path / "visits", {}
+    for number in range(3):
+        rows = [
+            {"visitId": f"v{i}", "deviceType": f"{number}", "visitTimestamp": f"2025-01-0{number + 1}T{i:02}:10:00Z", "campaignId": "c"}
+            for i in range(number, 10, number + 1)
+        ]
+        lines(raw, f"{number}.json", rows)
+        os.utime(raw / f"{number}.json", (1_700_000_000 + number,) * 2)
+        want |= {r["visitId"]: (r["deviceType"], r["visitTimestamp"][:19]) for r in rows}
+    arriving = jobs.raw_stream(spark, str(raw), files_per_batch=1)
+    once(jobs.stream_ingest(arriving, str(tmp_path), "visits", compact_every=every), tmp_path)
+    slim = lambda frame: {r["visit_id"]: (r["device_type"], r["visit_timestamp"].isoformat()) for r in frame.collect()}
+    assert slim(jobs.stored_feed(spark, str(tmp_path), "visits")) == want
+    left = {1: 0, 2: 1, 99: 3}[every]
+    assert len(list((tmp_path / "visits_deltas").glob("batch=*"))) == left
+    assert path.exists() == (every < 99)  # without a merge no day folder is written
+    for _ in range(2):
+        jobs.compact_feed(spark, str(tmp_path), "visits")
+        assert slim(read_table(spark, str(path), S.VISITS)) == want
+    sync.refresh_rollup(spark, str(tmp_path))
+    visits = read_table(spark, str(path), S.VISITS).withColumnRenamed("device_type", "device")
+    whole = views.hourly_rollup(visits, datetime(2024, 1, 1))
+    kept = read_table(spark, f"{tmp_path}/hourly_stats", S.HOURLY_STATS).select(*whole.columns)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_a_lost_compaction_brings_no_old_rows_back(spark, tmp_path, monkeypatch):
+    """A run that ends while it deletes deltas; batch 10 is newer than batch 9."""
+    path, keys = f"{tmp_path}/recent_counts", jobs.RECENT_KEYS
+    for number in (8, 9, 10, 11):
+        rows = [(datetime(2025, 1, 1), "every", None, number, 0), (datetime(2025, 1, 1), f"c{number}", "US", 1, 0)]
+        jobs.keep_delta(spark.createDataFrame(rows, jobs.RECENT_COUNTS), number, path, jobs.RECENT_COUNTS)
+    deleted, delete = [], jobs.delete_path
+
+    def failing(spark, folder):
+        if len(deleted) == 2:
+            raise RuntimeError("lost")
+        deleted.append(folder)
+        delete(spark, folder)
+
+    monkeypatch.setattr(jobs, "delete_path", failing)
+    with pytest.raises(RuntimeError):
+        jobs.compact(spark, path, jobs.RECENT_COUNTS, keys, "until")
+    want = {("every", 11), *((f"c{n}", 1) for n in (8, 9, 10, 11))}
+    read = lambda: {(r["campaign_name"], r["visits"]) for r in jobs.recent_counts(spark, str(tmp_path)).collect()}
+    assert read() == want
+    monkeypatch.setattr(jobs, "delete_path", delete)
+    jobs.compact(spark, path, jobs.RECENT_COUNTS, keys, "until")
+    assert read() == want
+
+
 def test_joined_streams(spark, tmp_path):
     start = datetime(2025, 1, 1)
     live = [(f"k{i}", start + timedelta(days=i)) for i in range(8)]
