@@ -8,6 +8,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from functools import cache
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -75,6 +76,41 @@ def base_scores(rows: list[tuple[int, str | None]]) -> dict[int, tuple]:
     return out
 
 
+def pair_scores(rows: list[tuple[int, str | None]], ratio: float, prior: float) -> dict[int, float]:
+    """log10 of each text's probability by words and pairs, from counts that are exact but for their levels."""
+
+    def level(count: int) -> int:
+        q = 1
+        while ratio**q <= count:
+            q += 1
+        return q
+
+    @cache
+    def read(count: int) -> float:
+        alike = [c for c in range(count // 2, 2 * count + 2) if c and level(c) == level(count)] if count else [0]
+        return sum(alike) / len(alike)
+
+    counts: Counter = Counter()
+    pairs: Counter = Counter()
+    texts = 0
+    for doc, text in rows:
+        if zlib.crc32(str(doc).encode()) % 10:
+            tokens = [*words(text), ""]
+            counts.update(tokens)
+            pairs.update(zip([None, *tokens], tokens))
+            texts += 1
+    total, kinds = sum(counts.values()), len(counts)
+    out = {}
+    for doc, text in rows:
+        tokens, score = [*words(text), ""], 0.0
+        for before, word in zip([None, *tokens], tokens):
+            alone = (read(counts[word]) + 0.1) / (total + 0.1 * (kinds + 1))
+            context = read(texts if before is None else counts[before])
+            score += math.log10((min(read(pairs[before, word]), context) + prior * alone) / (context + prior))
+        out[doc] = score
+    return out
+
+
 def quality_counts(text: str | None) -> tuple:
     text = text or ""
     found = words(text, lower=False)

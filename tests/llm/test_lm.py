@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import zlib
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from convlens.llm import lm
@@ -42,6 +46,36 @@ def test_routed_lookups_give_the_same_scores(docs, scored, monkeypatch):
         assert r.base_score == pytest.approx(scored[doc].base_score, rel=1e-9)
 
 
+def test_scores_of_a_filter_without_errors_are_those_of_exact_counts(monkeypatch):
+    """With so many bits that no answer is wrong, the counting, the filter and the smoothing give the model itself."""
+    monkeypatch.setattr(lm, "BITS_PER_ENTRY", 4096)
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    rng = np.random.default_rng(3)
+    usual = [" ".join(f"w{w}" for w in rng.zipf(1.6, 40) % 60) for _ in range(60)]
+    rows = list(enumerate([*plain.ODD_TEXTS, *usual, usual[0], "W1 w1 W1", "never seen"]))
+    held = [zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows]
+    texts = pa.array([t for _, t in rows], pa.string())
+    every = pa.record_batch({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": texts, "held_out": pa.array(held)})
+    trains = every.filter(pa.array([not h for h in held]))
+    built = lm._segment_filter(pa.Table.from_batches(lm._ngram_rows(1)(iter([trains]))))
+    field, tokens, kinds = (built.column(c)[0].as_py() for c in ("field", "tokens", "kinds"))
+    chunk = lm._chunk_rows(1, lm.Filter([len(field)], field), float(tokens), float(kinds))(iter([every]))
+    scored = {}
+    for about in (r["about"] for b in chunk for r in b.to_pylist() if r["kind"] == lm.ABOUT):
+        own = pa.ipc.open_stream(about).read_all()
+        scored |= dict(zip(own.column("doc_id").to_pylist(), own.column("score").to_pylist(), strict=True))
+    want = plain.pair_scores(rows, lm.BASE, lm.PRIOR)
+    assert scored.keys() == want.keys()
+    for doc, score in want.items():
+        assert scored[doc] == pytest.approx(score, rel=1e-9)
+
+
+def test_scores_stay_near_those_of_exact_counts(docs, scored):
+    """The filter as it is: what its wrong answers change is little beside the text's score."""
+    want = plain.pair_scores([(r.doc_id, r.text) for r in docs.collect()], lm.BASE, lm.PRIOR)
+    assert sum(abs(scored[d].score - s) for d, s in want.items()) < 0.02 * sum(abs(s) for s in want.values())
+
+
 def test_odd_texts_and_ids(spark):
     rows = [*enumerate(plain.ODD_TEXTS), (0, "twice"), (3, "one"), (3, "one")]
     got = lm.scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()
