@@ -17,7 +17,7 @@ from pyspark.sql.types import DecimalType
 from convlens.functions import expr as X
 from convlens.operators import anomaly, features, ingest, joins, patterns, report, tree, views
 from convlens.operators.patterns import PATTERN_PRESETS
-from convlens.runtime import scratch
+from convlens.runtime import cut, scratch
 from convlens.sources import derive, schemas
 from convlens.plans import sync
 from convlens.sources.tables import FORMATS, read_report, read_table, scan_projected, write_report
@@ -355,7 +355,8 @@ def sync_cycle_state(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch(spark, "cycles")
     feeds = {
         "live_visits": (derive.live_visits(spark, sf), "click_id", schemas.VISIT_FIELDS, schemas.VISIT_TIMES, schemas.LIVE_VISITS),
-        "conversions": (derive.conversions(spark, sf), "transaction_id", schemas.CONVERSION_FIELDS, schemas.CONVERSION_TIMES, schemas.CONVERSIONS),
+        # Both halves come from one table: their attribution is done once.
+        "conversions": (cut(derive.conversions(spark, sf)), "transaction_id", schemas.CONVERSION_FIELDS, schemas.CONVERSION_TIMES, schemas.CONVERSIONS),
     }
     raw = {feed: f"{folder}/raw/{feed}" for feed in feeds}
     found = []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,6 +68,8 @@ FEEDS = {
 #: The feed that the stored rollup is of.
 ROLLED_UP = "visits"
 ROLLUP_KEYS = ["hour_timestamp", "campaign_id", "country_code", "device"]
+#: Repeated keys of a load that every task can hold as a list, of eight bytes each.
+FEW = 500_000
 
 
 def arrival_order(raw: DataFrame) -> DataFrame:
@@ -86,6 +89,23 @@ def rejected_rows(rows: DataFrame, feed: str) -> DataFrame:
     return rows.select(reason.alias("reason"), "raw_data").filter(F.col("reason").isNotNull())
 
 
+def first_rows(rows: DataFrame, dedupe: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
+    """``dedupe(rows)`` of rows in written tables, again read from written tables.
+
+    Only rows whose keys repeat need it. Their key hashes are found on the keys alone; while the list is short,
+    every task holds it, and the other rows, whole as they are, stay where they have been written. Where
+    many repeat, all rows are de-duplicated at once. Two keys of one hash only have more rows compared.
+    """
+    given = rows.filter(nonempty(keys[0]).isNotNull()).withColumn("_hash", F.xxhash64(*keys))
+    repeated = cut(given.groupBy("_hash").count().filter("count > 1").select("_hash"))
+    if repeated.count() > FEW:
+        return cut(dedupe(rows))
+    again = F.broadcast(repeated)
+    single = given.join(again, "_hash", "left_anti").drop("_hash")
+    first = cut(dedupe(given.join(again, "_hash", "left_semi").drop("_hash")))
+    return single.unionByName(first)
+
+
 def merge_rows(
     spark: SparkSession,
     every: DataFrame,
@@ -98,16 +118,17 @@ def merge_rows(
 ) -> int:
     """Merge normalised rows with their ``ingest_seq`` into a feed's stored table; returns the rows merged.
 
+    The rows are read several times, so they should be those of a written table.
+
     The hours of visits that come in, and of those they replace, are noted for the rollup.
     """
     _, dedupe, schema, keys, ts = FEEDS[feed]
     rows = of_campaign_name(every, campaign_filter)
     if since is not None and until is not None:
         rows = sync_window(rows, ts, since, until)
-    batch = cut(dedupe(rows).drop("ingest_seq"))
+    batch = first_rows(rows, dedupe, keys).drop("ingest_seq")
     noted = (lambda times: note_hours(times, warehouse)) if feed == ROLLED_UP else None
-    upsert_table(spark, batch, f"{warehouse}/{feed}", schema, keys, ts, noted=noted)
-    return batch.count()
+    return upsert_table(spark, batch, f"{warehouse}/{feed}", schema, keys, ts, noted=noted, written=True)
 
 
 def load_feed(
@@ -125,7 +146,7 @@ def load_feed(
     Rows without an id, and those whose time cannot be read, are kept in ``rejected/feed=…/load=folder``; it
     holds what the folder's rows were rejected for when it was last loaded.
     """
-    every = FEEDS[feed][0](arrival_order(read_raw(spark, raw_path)))
+    every = cut(FEEDS[feed][0](arrival_order(read_raw(spark, raw_path))))
     rejected_rows(every, feed).write.mode("overwrite").parquet(f"{warehouse}/rejected/feed={feed}/load=folder")
     return merge_rows(spark, every, warehouse, feed, since=since, until=until, campaign_filter=campaign_filter)
 
@@ -144,20 +165,22 @@ def load_arrivals(
 
     With a window, rows of its running hour and later wait in ``pending`` for the next load, and rows
     before it are left to the backfill. What a load writes bears its number; a load that is lost before its state is
-    saved has the same number when it is repeated, and finds the same files and waiting rows.
+    saved has the same number when it is repeated, and finds the same files and waiting rows. Raw text is read
+    once, into a written table: a filter on a parsed value would parse the text again, once for each place that
+    names the value.
     """
     normalize, _, _, _, ts = FEEDS[feed]
     load = loads(spark, warehouse, feed)
     log, waiting = f"{warehouse}/sync_files", f"{warehouse}/pending/feed={feed}"
     files = cut(arrivals.unseen(spark, raw_path, log, feed, load))
     fresh = arrival_order(arrivals.read_files(spark, raw_path, files))
-    new = normalize(fresh)
+    new = cut(normalize(fresh))
     rejected_rows(new, feed).write.mode("overwrite").parquet(f"{warehouse}/rejected/feed={feed}/load={load}")
     every = new
     if until is not None:
         if table_exists(spark, f"{waiting}/load={load - 1}"):
             pending = spark.read.schema(fresh.schema).parquet(f"{waiting}/load={load - 1}")
-            every = normalize(fresh.unionByName(pending))
+            every = new.unionByName(cut(normalize(pending)))
         later = every.filter(F.col(ts) >= X.ts_lit(ingest.whole_hour(until)))
         later.select(F.col("raw_data").alias("value"), "ingest_seq").write.mode("overwrite").parquet(f"{waiting}/load={load}")
     synced = merge_rows(spark, every, warehouse, feed, since=since, until=until, campaign_filter=campaign_filter)

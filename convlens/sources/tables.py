@@ -166,14 +166,16 @@ def touched_index(spark: SparkSession, path: str, batch: DataFrame, keys: list[s
     return index.join(own.select("key_hash"), "key_hash", "left_semi")
 
 
-def _extend_index(spark: SparkSession, path: str, batch: DataFrame, keys: list[str]) -> None:
+def _extend_index(
+    spark: SparkSession, path: str, batch: DataFrame, keys: list[str], touched: DataFrame | None
+) -> None:
+    """Add a batch's keys and days to the index; ``touched`` are its entries for these keys."""
     new = _pairs(batch, keys, DAY)
-    if _generation(spark, path):
-        known = touched_index(spark, path, batch, keys).alias("k")
+    if touched is not None:
         same = F.expr(f"n.key_hash = k.key_hash and n.{DAY} <=> k.{DAY}")
-        new = new.alias("n").join(known, same, "left_anti")
+        new = new.alias("n").join(touched.alias("k"), same, "left_anti")
     target = f"{_index_folder(path)}/gen={max(1, _generation(spark, path))}"
-    new.write.mode("append").partitionBy("bucket").parquet(target)
+    new.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(target)  # one file per bucket
 
 
 def upsert_table(
@@ -185,8 +187,9 @@ def upsert_table(
     ts: str,
     *,
     noted: Callable[[DataFrame], None] | None = None,
-) -> None:
-    """Merge a de-duplicated batch into a stored table, rewriting only the days it touches.
+    written: bool = False,
+) -> int:
+    """Merge a de-duplicated batch into a stored table, rewriting only the days it touches; returns its rows.
 
     A row is stored under the day of its time. Where the time is one of the keys, a key's day is
     known from the batch. Elsewhere an index says under which days a key is stored: a side table in
@@ -196,22 +199,43 @@ def upsert_table(
 
     Merging the same batch again changes nothing, and completes a merge that was lost half-way.
     ``noted`` is given the times (column ``ts``) of the rows that come in and of those they replace, before
-    anything is changed.
+    anything is changed. ``written``: the batch is read from written tables, so that each of the steps below
+    reads the few columns it needs from there; another batch is held while they run.
     """
     names = schema.fieldNames()
     batch = batch.select(*names).withColumn(DAY, F.col(ts).cast("date"))
     # Read several times below; what a lost executor held is read from the source again.
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    own = {r[DAY] for r in batch.select(DAY).distinct().collect()}  # one value per day of data
-    indexed = ts not in keys
-    if not table_exists(spark, path):
-        held: set[date | None] = set()
-    elif indexed:
-        if not _generation(spark, path):
-            rebuild_index(spark, path, schema, keys)
-        held = {r[DAY] for r in touched_index(spark, path, batch, keys).select(DAY).distinct().collect()}
-    else:
-        held = own
+    batch = batch if written else batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _merge(spark, batch, path, schema, keys, ts, noted)
+    finally:
+        if not written:
+            batch.unpersist()
+
+
+def _merge(
+    spark: SparkSession,
+    batch: DataFrame,
+    path: str,
+    schema: StructType,
+    keys: list[str],
+    ts: str,
+    noted: Callable[[DataFrame], None] | None,
+) -> int:
+    names = schema.fieldNames()
+    counts = {r[DAY]: r["count"] for r in batch.groupBy(DAY).count().collect()}  # one value per day of data
+    own = set(counts)
+    if not own and table_exists(spark, path):
+        return 0
+    indexed, exists = ts not in keys, table_exists(spark, path)
+    if indexed and exists and not _generation(spark, path):
+        rebuild_index(spark, path, schema, keys)
+    touched = None
+    if indexed and _generation(spark, path):
+        touched = touched_index(spark, path, batch, keys).persist(StorageLevel.MEMORY_AND_DISK)
+    held: set[date | None] = set()
+    if exists:
+        held = {r[DAY] for r in touched.select(DAY).distinct().collect()} if indexed else own
     same = F.lit(True)
     for key in keys:
         same = same & F.col(f"t.{key}").eqNullSafe(F.col(f"b.{key}"))
@@ -223,7 +247,9 @@ def upsert_table(
             times = times.unionByName(old.join(new, same, "left_semi").select(F.col(ts).alias("ts")))
         noted(times)
     if indexed:
-        _extend_index(spark, path, batch, keys)
+        _extend_index(spark, path, batch, keys, touched)
+    if touched is not None:
+        touched.unpersist()
     if old is None:
         batch.write.mode("append").partitionBy(DAY).parquet(path)
     else:
@@ -232,7 +258,7 @@ def upsert_table(
         still = {r[DAY] for r in rest.filter(of_days(left)).select(DAY).distinct().collect()} if left else set()
         overwrite_days(rest.select(*names, DAY).unionByName(batch), path)
         drop_days(spark, path, left - still)
-    batch.unpersist()
+    return sum(counts.values())
 
 
 def expire_table(

@@ -238,3 +238,36 @@ def test_backfill_reads_once_and_repeats_failed_chunks(spark, tmp_path, monkeypa
     assert len(merges) == 6 and len(reads) == 1
     assert ids(spark, f"{out}/live_visits", S.LIVE_VISITS) == sorted(f"v{i}" for i in range(30))
     assert [r["reason"] for r in spark.read.parquet(f"{out}/rejected").collect()] == ["no id or broken row"]
+
+
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_only_repeated_keys_are_deduplicated(spark, tmp_path, monkeypatch, few):
+    """Rows of single keys stay where they are; the result is that of the operator, by either way."""
+    monkeypatch.setattr(sync, "FEW", few)
+    rows = [(f"k{i}", i, START, f"os{i}") for i in range(20)]
+    rows += [("k3", 90, START, "later"), ("k3", -1, None, "first"), ("k4", 91, START, "later"), ("k5", -2, START, "first")]
+    rows += [(None, 92, START, "no id"), (None, 93, START, "no id"), ("", 94, START, "empty"), ("u", 95, None, "no time"), ("u", 96, None, "no time")]
+    frame = spark.createDataFrame(rows, "click_id string, ingest_seq int, postback_timestamp timestamp_ntz, os string")
+    for dedupe, keys in ((sync.ingest.dedupe_visits, ["click_id"]), (sync.ingest.dedupe_conversions, ["click_id", "postback_timestamp"])):
+        compared = []
+        got = sync.first_rows(frame, lambda r: compared.append(r.count()) or dedupe(r), keys).select(frame.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, dedupe(frame).collect()))
+        many = {1: 9, 2: 8}[len(keys)]
+        assert compared == [many if few else len(rows)]
+
+
+def test_a_load_parses_its_text_once(spark, tmp_path, monkeypatch):
+    """What is filtered, de-duplicated and merged is read from a written table, waiting rows included."""
+    raw, out, plans = tmp_path / "raw", f"{tmp_path}/t", []
+    post = lambda i, h: {"clickId": f"k{i}", "postbackTimestamp": (START + timedelta(hours=h)).isoformat() + "Z"}
+    merge, reject = sync.merge_rows, sync.rejected_rows
+    seen = lambda rows: plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+    monkeypatch.setattr(sync, "merge_rows", lambda s, every, *a, **b: seen(every) or merge(s, every, *a, **b))
+    monkeypatch.setattr(sync, "rejected_rows", lambda rows, feed: seen(rows) or reject(rows, feed))
+    put(raw, "1.json", [post(1, 9), post(2, 30), {"postbackTimestamp": "?"}])
+    sync.run_cycle(spark, {"conversions": str(raw)}, out, START + timedelta(hours=12))
+    put(raw, "2.json", [post(3, 31)])
+    sync.run_cycle(spark, {"conversions": str(raw)}, out, START + timedelta(hours=40))
+    assert ids(spark, f"{out}/conversions", S.CONVERSIONS) == ["k1", "k2", "k3"]
+    assert len(plans) == 4 and not any("from_json" in p for p in plans)
+    assert [r["reason"] for r in spark.read.parquet(f"{out}/rejected").collect()] == ["no id or broken row"]
