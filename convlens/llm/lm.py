@@ -11,14 +11,18 @@ probabilities are made of counts read that way:
 
 The filter is made of segments by n-gram hash, each built in one task from a bounded number of
 n-grams, so it grows with the corpus. Up to ``FILTER_BYTES`` it is sent to all workers; beyond that the
-tokens' hashes travel to the segments and their counts come back, with the same answers.
+n-grams' hashes travel to the segments and their counts come back, with the same answers. They travel
+once: the n-grams that a block of text has in training are those that it asks for, but for the ones
+of held-out texts, which are sent with a count of 0; the task that builds a segment answers at once.
 
 Exact word counts, for the base score, do not come from the filter: each chunk of text sends its
-distinct words to be joined with the counts, together with the texts they occur in.
+distinct words to be joined with the counts, together with the texts they occur in. Beyond
+``FILTER_BYTES`` they come back with the answers.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from convlens.llm.text import LOWER, Words, chunks, distinct, mix, raw, translated, words
-from convlens.runtime import cut
+from convlens.llm.text import LOWER, Words, chunks, distinct, give_back, mix, raw, small_batches, translated, words
+from convlens.runtime import cut, shuffles_removed
 
 #: Ratio of neighbouring count levels, and the levels that a 64-bit count can need.
 BASE = 1.5
@@ -43,8 +47,11 @@ MIN_COUNT = 1
 SEGMENT_BYTES = 16 << 20
 #: N-grams that are looked up at once.
 ASKED = 1 << 16
-#: Bytes of filter that are sent to every worker, at most.
-FILTER_BYTES = 128 << 20
+#: Bytes of filter that are sent to every worker, at most; one is built for that from so many times the text, at most.
+FILTER_BYTES, TEXT_TIMES = 128 << 20, 8
+#: Bytes of text whose n-grams travel to the segments together, and the low bytes of an n-gram's distance from the
+#: one before it that are sent as they are.
+BLOCK_BYTES, PLAIN_BYTES = 8 << 20, 5
 ALPHA = 0.1
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -125,11 +132,15 @@ class Filter:
         self.field = np.frombuffer(field, np.uint8)
 
     def counts(self, hashes: np.ndarray) -> np.ndarray:
-        """The count of each n-gram, by asking for one level after the other until one is missing."""
-        parts = [self._counts(hashes[i : i + ASKED]) for i in range(0, len(hashes), ASKED)]
-        return np.concatenate(parts) if parts else np.zeros(0)
+        """The count of each n-gram."""
+        return _expected(self.levels(hashes))
 
-    def _counts(self, hashes: np.ndarray) -> np.ndarray:
+    def levels(self, hashes: np.ndarray) -> np.ndarray:
+        """The level of each n-gram, by asking for one after the other until one is missing."""
+        parts = [self._asked(hashes[i : i + ASKED]) for i in range(0, len(hashes), ASKED)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+    def _asked(self, hashes: np.ndarray) -> np.ndarray:
         level = np.zeros(len(hashes), np.int64)
         segment = _segment(hashes, self.segments).astype(np.int64)
         there = np.flatnonzero(self.bits[segment] > 0)
@@ -144,7 +155,7 @@ class Filter:
                 yes &= (self.field[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
             there = there[yes]
             level[there] = q
-        return _expected(level)
+        return level
 
 
 def _counted(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -243,13 +254,12 @@ CHUNK_ROWS = pa.schema(
     [("segment", pa.int64()), ("block", pa.int64()), ("kind", pa.int32())]
     + [(c, pa.binary()) for c in ("grams", "times", "texts", "owners", "uses", "about")]
 )
-#: Kinds of the rows about a chunk: its words, its n-grams to be looked up, and its texts.
-WORDS, LOOKUPS, ABOUT = range(3)
+#: Kinds of the rows about a chunk: its words and its texts.
+WORDS, ABOUT = range(2)
 
 
-def _chunk_rows(segments: int, model: Filter | None, total: float, kinds: float):
-    """Per chunk: its words by segment, with training counts and the texts they are in; its texts,
-    with scores where the filter is at hand, else with what is needed to score them."""
+def _chunk_rows(segments: int, model: Filter, total: float, kinds: float):
+    """Per chunk: its words by segment, with training counts and the texts they are in; its texts with their scores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -278,18 +288,10 @@ def _chunk_rows(segments: int, model: Filter | None, total: float, kinds: float)
                 )
             about = {"doc_id": chunk.column("doc_id"), "held_out": chunk.column("held_out"), "n_tokens": np.diff(starts)}
             pairs = pair_hashes(tokens, starts)
-            if model is not None:
-                alone = model.counts(np.append(distinct_words, START_HASH))
-                every = alone[place]
-                before = _contexts(every, alone[-1], starts)
-                about["score"] = _mixed(every, model.counts(pairs), before, starts, total, kinds)
-            else:
-                grams = np.unique(np.concatenate([distinct_words, pairs, [START_HASH]]))
-                for segment, a, b in _cuts(grams, segments):
-                    rows.append({"segment": segment, "block": block, "kind": LOOKUPS, "grams": grams[a:b].tobytes()})
-                at = lambda own: np.searchsorted(grams, own).astype(np.uint32).tobytes()
-                about["words_at"] = pa.array([at(tokens)] + [None] * (count - 1), pa.binary())
-                about["pairs_at"] = pa.array([at(np.append(pairs, START_HASH))] + [None] * (count - 1), pa.binary())
+            alone = model.counts(np.append(distinct_words, START_HASH))
+            every = alone[place]
+            before = _contexts(every, alone[-1], starts)
+            about["score"] = _mixed(every, model.counts(pairs), before, starts, total, kinds)
             rows.append({"segment": block % segments, "block": block, "kind": ABOUT, "about": _packed(pa.record_batch(about))})
             yield pa.RecordBatch.from_pylist(rows, CHUNK_ROWS)
 
@@ -304,10 +306,10 @@ def _packed(batch: pa.RecordBatch) -> bytes:
 
 
 BLOCK_ROWS = pa.schema(
-    [("block", pa.int64()), ("segment", pa.int64()), ("kind", pa.int32()), ("texts", pa.binary()), ("logs", pa.binary())]
+    [("block", pa.int64()), ("kind", pa.int32()), ("texts", pa.binary()), ("logs", pa.binary())]
     + [("known", pa.binary()), ("about", pa.binary())]
 )
-BLOCK_DDL = "block long, segment long, kind int, texts binary, logs binary, known binary, about binary"
+BLOCK_DDL = "block long, kind int, texts binary, logs binary, known binary, about binary"
 
 
 def _word_sums(table: pa.Table) -> pa.Table:
@@ -332,18 +334,6 @@ def _word_sums(table: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(out, BLOCK_ROWS)
 
 
-def _looked_up(table: pa.Table, segment: pa.Table) -> pa.Table:
-    """The counts of the n-grams that blocks ask of a segment."""
-    fields = segment.column("field").to_pylist()
-    out = []
-    own = Filter([len(fields[0])], fields[0]) if fields else Filter([0], b"")
-    if table.num_rows:
-        for r in table.to_pylist():
-            logs = own.counts(np.frombuffer(r["grams"], np.uint64))
-            out.append({"block": r["block"], "segment": r["segment"], "kind": LOOKUPS, "logs": logs.tobytes()})
-    return pa.Table.from_pylist(out, BLOCK_ROWS)
-
-
 def _scored_texts(total: float, kinds: float):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -355,27 +345,196 @@ def _scored_texts(total: float, kinds: float):
             texts = np.frombuffer(r["texts"], np.uint16)
             logs[texts] += np.frombuffer(r["logs"], np.float64)
             known[texts] += _large(r["known"], len(texts))
-        base = logs - tokens * np.log10(total + ALPHA * (kinds + 1))
-        if "score" in about.column_names:
-            score = about.column("score").to_numpy()
-        else:
-            looked = sorted((r for r in rows if r["kind"] == LOOKUPS), key=lambda r: r["segment"])
-            counts = np.concatenate([np.frombuffer(r["logs"], np.float64) for r in looked])
-            place = [np.frombuffer(about.column(c)[0].as_py(), np.uint32) for c in ("words_at", "pairs_at")]
-            starts = np.concatenate([[0], np.cumsum(tokens)])
-            alone, pair = counts[place[0]], counts[place[1]]
-            score = _mixed(alone, pair[:-1], _contexts(alone, pair[-1], starts), starts, total, kinds)
-        return pa.table(
-            {
-                "doc_id": about.column("doc_id"),
-                "held_out": about.column("held_out"),
-                "n_tokens": pa.array(tokens, pa.int64()),
-                "n_known": pa.array(known, pa.int64()),
-                "train_tokens": pa.array([int(total)] * count, pa.int64()),
-                "base_score": base,
-                "score": score,
-            }
-        )
+        return _results(about, tokens, known, logs, about.column("score").to_numpy(), total, kinds)
+
+    return run
+
+
+def _results(
+    about: pa.Table | pa.RecordBatch, tokens: np.ndarray, known: np.ndarray, logs: np.ndarray, score: np.ndarray, total: float, kinds: float
+) -> pa.Table:
+    """``logs``: the sum of the logarithms of each text's smoothed word counts."""
+    return pa.table(
+        {
+            "doc_id": about.column("doc_id"),
+            "held_out": about.column("held_out"),
+            "n_tokens": pa.array(tokens, pa.int64()),
+            "n_known": pa.array(known, pa.int64()),
+            "train_tokens": pa.array([int(total)] * about.num_rows, pa.int64()),
+            "base_score": logs - tokens * np.log10(total + ALPHA * (kinds + 1)),
+            "score": score,
+        }
+    )
+
+
+def _block_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each block of texts: its chunks, packed."""
+    part = TaskContext.get().partitionId()
+
+    def packed(number: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            for chunk in held:
+                writer.write_batch(chunk)
+        return pa.record_batch({"block": [part << 24 | number], "about": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+
+    number, size, held = 0, 0, []
+    for chunk in chunks(batches):
+        own = int(raw(chunk.column("text"))[1][-1])
+        if held and size + own > BLOCK_BYTES:
+            yield packed(number, held)
+            number, size, held = number + 1, 0, []
+        size, held = size + own, [*held, chunk]
+    if held:
+        yield packed(number, held)
+
+
+def _tokens(chunk: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    data, bounds = raw(chunk.column("text"))
+    return with_ends(words(translated(data, LOWER), bounds))
+
+
+def _placed(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams, and the place of each n-gram among them."""
+    every, place = np.unique(grams, return_inverse=True)
+    return every, place.astype(np.uint32)
+
+
+def _squeezed(grams: np.ndarray, times: np.ndarray) -> bytes:
+    """Sorted n-grams and their counts. N-grams are kept as distances, whose low bytes do not get smaller."""
+    gaps = np.diff(grams, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
+    rest = zlib.compress(gaps[:, PLAIN_BYTES:].T.tobytes() + _small(times), 1)
+    return len(grams).to_bytes(4, "little") + gaps[:, :PLAIN_BYTES].tobytes() + rest
+
+
+def _unsqueezed(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    count, high = int.from_bytes(packed[:4], "little"), 8 - PLAIN_BYTES
+    gaps = np.empty((count, 8), np.uint8)
+    gaps[:, :PLAIN_BYTES] = np.frombuffer(packed, np.uint8, count * PLAIN_BYTES, 4).reshape(count, PLAIN_BYTES)
+    rest = zlib.decompress(packed[4 + count * PLAIN_BYTES :])
+    gaps[:, PLAIN_BYTES:] = np.frombuffer(rest, np.uint8, count * high).reshape(high, count).T
+    return np.cumsum(gaps.view("<u8").ravel(), dtype=np.uint64), _large(rest[count * high :], count)
+
+
+def _block_rows(segments: int):
+    """Per block and segment: its words and its pairs, each with its count in the block's training texts, which is 0
+    for those of held-out texts only; and in one segment the number of training texts, as the count of their start."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, about in ((b, a) for batch in batches for b, a in zip(*(c.to_pylist() for c in batch.columns))):
+            own: list[list] = [[], []]
+            begins = 0
+            for chunk in pa.ipc.open_stream(about):
+                tokens, starts = _tokens(chunk)
+                trains = ~chunk.column("held_out").to_numpy(zero_copy_only=False)
+                begins += int(trains.sum())
+                weight = np.repeat(trains, np.diff(starts)).astype(np.int64)
+                for held, grams in zip(own, (tokens, pair_hashes(tokens, starts))):
+                    held.append(_summed([grams], [weight]))
+            every = [_summed(*zip(*own.pop(0))) for _ in range(2)]
+            cuts = [{segment: (a, b) for segment, a, b in _cuts(grams, segments)} for grams, _ in every]
+            home = int(_segment(np.array([START_HASH]), segments)[0])
+            rows = []
+            for segment in sorted({*cuts[0], *cuts[1], home}):
+                packed = []
+                for (grams, times), at in zip(every, cuts):
+                    a, b = at.get(segment, (0, 0))
+                    packed.append(_squeezed(grams[a:b], times[a:b]))
+                rows.append((segment, block, *packed, begins if segment == home else None))
+            del every
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), ASKED_ROWS.types)], schema=ASKED_ROWS)
+            del rows
+            give_back()
+
+    return run
+
+
+ASKED_ROWS = pa.schema(
+    [("segment", pa.int64()), ("block", pa.int64()), ("words", pa.binary()), ("pairs", pa.binary()), ("begins", pa.int64())]
+)
+ASKED_DDL = "segment long, block long, words binary, pairs binary, begins long"
+ANSWER_ROWS = pa.schema(
+    [("block", pa.int64()), ("segment", pa.int64()), ("words", pa.binary()), ("times", pa.binary()), ("pairs", pa.binary())]
+    + [("begins", pa.int32()), ("tokens", pa.int64()), ("kinds", pa.int64())]
+)
+ANSWER_DDL = "block long, segment long, words binary, times binary, pairs binary, begins int, tokens long, kinds long"
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams of several lists, their summed counts, and the place of each list's n-grams among them."""
+    every, weight = (np.concatenate(own) for own in zip(*parts))
+    order = np.argsort(every)
+    every = every[order]
+    new = distinct(every)
+    place = np.empty(len(every), np.uint32)
+    place[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return every[first], np.add.reduceat(weight[order], first) if len(first) else weight, place
+
+
+def _answered(table: pa.Table) -> pa.Table:
+    """One segment's filter is built, and its levels of the n-grams that blocks ask for are returned, with the words'
+    exact counts. The first row has how many tokens and distinct words the segment stands for."""
+    blocks, segment = table.column("block").to_pylist(), table.column("segment")[0].as_py()
+    grams, total, place, ends = [], [], [], []
+    for kind in ("words", "pairs"):
+        parts = [_unsqueezed(own) for own in table.column(kind).to_pylist()]
+        ends.append(np.cumsum([len(g) for g, _ in parts])[:-1])
+        for held, own in zip((grams, total, place), _merged(parts)):
+            held.append(own)
+        del parts
+    starting = [b for b in table.column("begins").to_pylist() if b is not None]
+    grams.append(np.full(min(len(starting), 1), START_HASH))
+    total.append(np.array([sum(starting)][: len(starting)], np.int64))
+    every, often = np.concatenate(grams), [t >= least for t, least in zip(total, (1, max(1, MIN_COUNT), max(1, MIN_COUNT)))]
+    seen = np.concatenate(often)
+    field = build_segment(every[seen], np.concatenate(total)[seen])
+    levels = Filter([len(field)], field.tobytes()).levels(every).astype(np.uint8)
+    of_words, of_pairs, of_start = np.split(levels, np.cumsum([len(g) for g in grams])[:-1])
+    answers = [(of_words[p], total[0][p]) for p in np.split(place[0], ends[0])]
+    asks = [b is not None for b in table.column("begins").to_pylist()]
+    out = {
+        "block": blocks,
+        "segment": [segment] * len(blocks),
+        "words": [zlib.compress(level.tobytes(), 1) for level, _ in answers],
+        "times": [zlib.compress(_small(times), 1) for _, times in answers],
+        "pairs": [zlib.compress(of_pairs[p].tobytes(), 1) for p in np.split(place[1], ends[1])],
+        "begins": [int(of_start[0]) if own else None for own in asks],
+        "tokens": [int(total[0].sum())] + [None] * (len(blocks) - 1),
+        "kinds": [int(often[0].sum())] + [None] * (len(blocks) - 1),
+    }
+    del grams, total, place, answers, every
+    give_back()
+    return pa.table(out, schema=ANSWER_ROWS)
+
+
+def _scored_blocks(total: float, kinds: float):
+    """The texts of a block, scored by what the segments have answered."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.select(["segment", "words", "times", "pairs", "begins"]).filter(table.column("segment").is_valid())
+        rows = sorted(rows.to_pylist(), key=lambda r: r["segment"])
+        of_words, times, of_pairs = ([zlib.decompress(r[c]) for r in rows] for c in ("words", "times", "pairs"))
+        exact = np.concatenate([_large(t, len(level)) for t, level in zip(times, of_words)])
+        alone, pair = (_expected(np.frombuffer(b"".join(own), np.uint8)) for own in (of_words, of_pairs))
+        begins = float(_expected(np.array([r["begins"] for r in rows if r["begins"] is not None]))[0])
+        logs, known = np.log10(exact + ALPHA), (exact > 0).astype(np.int64)
+        found = []
+        for chunk in pa.ipc.open_stream(table.column("about").drop_null()[0].as_py()):
+            tokens, starts = _tokens(chunk)
+            own = [_placed(grams) for grams in (tokens, pair_hashes(tokens, starts))]
+            found.append((chunk.select(["doc_id", "held_out"]), starts, own))
+            del tokens
+        every = [_counted(np.concatenate([own[kind][0] for _, _, own in found]))[0] for kind in range(2)]
+        out = []
+        while found:
+            chunk, starts, own = found.pop(0)
+            at, pair_at = (np.searchsorted(grams, some)[back] for grams, (some, back) in zip(every, own))
+            score = _mixed(alone[at], pair[pair_at], _contexts(alone[at], begins, starts), starts, total, kinds)
+            sums = [np.add.reduceat(values[at], starts[:-1]) for values in (known, logs)]
+            out.append(_results(chunk, np.diff(starts), *sums, score, total, kinds))
+        give_back()
+        return pa.concat_tables(out)
 
     return run
 
@@ -392,38 +551,49 @@ def scores(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     counted and scored each. An empty table gives no rows; if all rows are held out, all counts are 0.
     Words are told apart by 64-bit hashes.
 
-    ``docs`` is read three times and should come from files or a written table.
+    ``docs`` is read three times and should come from files or a written table. The filter is sent to the
+    workers if it has ``filter_bytes`` at most, and the text ``TEXT_TIMES`` times as many; else its segments answer.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     slim = slim.withColumn("held_out", held_out(F.col("doc_id")))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     segments = max(1, min(size // SEGMENT_BYTES, 1 << 23))
-    learned = cut(
-        slim.where("not held_out")
-        .mapInArrow(_ngram_rows(segments), "segment long, kind int, grams binary, times binary")
-        .groupBy("segment")
-        .applyInArrow(_segment_filter, "segment long, field binary, tokens long, kinds long")
-    )
+    if size > TEXT_TIMES * filter_bytes:
+        return _answered_scores(slim, segments)
+    with shuffles_removed(spark):
+        learned = cut(
+            slim.where("not held_out")
+            .mapInArrow(_ngram_rows(segments), "segment long, kind int, grams binary, times binary")
+            .groupBy("segment")
+            .applyInArrow(_segment_filter, "segment long, field binary, tokens long, kinds long")
+        )
     total, kinds, held = learned.agg(F.sum("tokens"), F.sum("kinds"), F.sum(F.octet_length("field"))).first()
     total, kinds = float(total or 0), float(kinds or 0)
+    if (held or 0) > filter_bytes:
+        return _answered_scores(slim, segments)
+    fields = {r["segment"]: r["field"] for r in learned.select("segment", "field").collect()}
+    sizes = [len(fields.get(s, b"")) for s in range(segments)]
+    sent = spark.sparkContext.broadcast(b"".join(fields.get(s, b"") for s in range(segments)))
+    del fields
+
+    def with_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _chunk_rows(segments, Filter(sizes, sent.value), total, kinds)(batches)
+
     schema = "segment long, block long, kind int, grams binary, times binary, texts binary, owners binary, uses binary, about binary"
-    if (held or 0) <= filter_bytes:
-        fields = {r["segment"]: r["field"] for r in learned.select("segment", "field").collect()}
-        sizes = [len(fields.get(s, b"")) for s in range(segments)]
-        sent = spark.sparkContext.broadcast(b"".join(fields.get(s, b"") for s in range(segments)))
-        del fields
-
-        def with_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from _chunk_rows(segments, Filter(sizes, sent.value), total, kinds)(batches)
-
-        rows = slim.mapInArrow(with_filter, schema)
-        looked = None
-    else:
-        rows = cut(slim.mapInArrow(_chunk_rows(segments, None, total, kinds), schema))
-        asked = rows.where(f"kind = {LOOKUPS}")
-        rows = rows.where(f"kind <> {LOOKUPS}")
-        looked = asked.groupBy("segment").cogroup(learned.groupBy("segment")).applyInArrow(_looked_up, BLOCK_DDL)
-    sums = rows.groupBy("segment").applyInArrow(_word_sums, BLOCK_DDL)
-    every = sums if looked is None else sums.unionByName(looked)
-    return every.groupBy("block").applyInArrow(_scored_texts(total, kinds), SCORED)
+    sums = slim.mapInArrow(with_filter, schema).groupBy("segment").applyInArrow(_word_sums, BLOCK_DDL)
+    return sums.groupBy("block").applyInArrow(_scored_texts(total, kinds), SCORED)
+
+
+def _answered_scores(slim: DataFrame, segments: int) -> DataFrame:
+    """The scores where the filter is too large to be sent: blocks' n-grams go to its segments, and levels come back.
+
+    The blocks are written, so that what is answered and what is scored are the same texts however often the
+    input is read."""
+    small_batches(slim.sparkSession)
+    blocks = cut(slim.mapInArrow(_block_texts, "block long, about binary"))
+    with shuffles_removed(slim.sparkSession):
+        answers = cut(blocks.mapInArrow(_block_rows(segments), ASKED_DDL).groupBy("segment").applyInArrow(_answered, ANSWER_DDL))
+    total, kinds = (float(v or 0) for v in answers.agg(F.sum("tokens"), F.sum("kinds")).first())
+    every = answers.drop("tokens", "kinds").unionByName(blocks, allowMissingColumns=True)
+    return every.groupBy("block").applyInArrow(_scored_blocks(total, kinds), SCORED)

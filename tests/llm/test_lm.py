@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import zlib
+from pathlib import Path
 from types import SimpleNamespace
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from convlens.llm import lm
+from convlens.llm import lm, text
+from convlens.runtime import cut
 from tests.llm import plain
 
 
@@ -109,3 +112,75 @@ def test_counts_pack_and_unpack():
     times = np.array([0, 1, 254, 255, 256, 10**12])
     assert lm._large(lm._small(times), len(times)).tolist() == times.tolist()
     assert lm._large(lm._small(times[:0]), 0).tolist() == []
+
+
+def test_ngrams_squeeze_and_return():
+    rng = np.random.default_rng(6)
+    edges = np.array([0, 1, 2**64 - 1], np.uint64)
+    for count in (0, 1, 700):
+        grams = np.unique(np.append(rng.integers(0, 2**64, count, dtype=np.uint64), edges[:count]))
+        times = rng.integers(0, 400, len(grams))
+        back = lm._unsqueezed(lm._squeezed(grams, times))
+        assert back[0].tolist() == grams.tolist()
+        assert back[1].tolist() == times.tolist()
+
+
+def _tables(batches, key):
+    """The rows of batches or tables by a column, as Spark hands them out."""
+    table = pa.Table.from_batches(batches) if isinstance(batches[0], pa.RecordBatch) else pa.concat_tables(batches)
+    keys = np.array(table.column(key).to_pylist())
+    return {k: table.filter(pa.array(keys == k)) for k in np.unique(keys).tolist()}
+
+
+@pytest.mark.parametrize("segments", [1, 5])
+def test_answers_of_segments_give_the_scores_of_exact_counts(monkeypatch, segments):
+    """Several blocks of several chunks: their n-grams, the segments' answers and the scoring give the model itself."""
+    monkeypatch.setattr(lm, "BITS_PER_ENTRY", 4096)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(text, "CHUNK_BYTES", 1000)
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    rng = np.random.default_rng(4)
+    usual = [" ".join(f"w{w}" for w in rng.zipf(1.6, 40) % 60) for _ in range(90)]
+    rows = list(enumerate([*plain.ODD_TEXTS, *usual, usual[0], "a " * 400, "W1 w1 W1", "never seen"]))
+    held = [zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows]
+    texts = pa.array([t for _, t in rows], pa.string())
+    every = pa.record_batch({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": texts, "held_out": pa.array(held)})
+    blocks = list(lm._block_texts(iter([every])))
+    assert len(blocks) > 2
+    answers = [lm._answered(t) for t in _tables(list(lm._block_rows(segments)(iter(blocks))), "segment").values()]
+    total, kinds = (float(sum(v for t in answers for v in t.column(c).to_pylist() if v is not None)) for c in ("tokens", "kinds"))
+    asked = _tables(answers, "block")
+    scored = {}
+    for b in blocks:
+        row = pa.Table.from_batches([b])
+        own = pa.concat_tables([asked[row.column("block")[0].as_py()], row], promote_options="default")
+        scored |= {r["doc_id"]: r for r in lm._scored_blocks(total, kinds)(own).to_pylist()}
+    want = plain.pair_scores(rows, lm.BASE, lm.PRIOR)
+    assert scored.keys() == want.keys()
+    for doc, (is_held, tokens, known, trained, base) in plain.base_scores(rows).items():
+        r = scored[doc]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (is_held, tokens, known, trained)
+        assert r["base_score"] == pytest.approx(base, rel=1e-9)
+        assert r["score"] == pytest.approx(want[doc], rel=1e-9)
+
+
+def test_a_wholly_held_out_table_is_scored_by_segments_too(spark):
+    docs = spark.createDataFrame([(None, "only held out"), (None, None)], "doc_id long, text string")
+    sent, asked = (sorted(lm.scores(docs, **limit).collect(), key=str) for limit in ({}, {"filter_bytes": 0}))
+    assert [tuple(r) for r in asked] == [pytest.approx(tuple(r)) for r in sent]
+    assert {r.train_tokens for r in asked} == {0}
+
+
+def test_lookups_by_segment_write_little(spark, tmp_path, monkeypatch):
+    """What is written and shuffled stays below the text: all n-grams travel once, and their counts come back small."""
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    vocabulary = ["".join(rng.choice(letters, n)) for n in rng.integers(2, 9, 20_000)]
+    texts = [" ".join(vocabulary[i] for i in rng.integers(0, len(vocabulary), 300)) for _ in range(400)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    tables = []
+    monkeypatch.setattr(lm, "cut", lambda frame: tables.append(cut(frame)) or tables[-1])
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    assert lm.scores(docs, filter_bytes=0).count() == len(texts)
+    files = [Path(urlparse(f).path) for t in tables for f in t.inputFiles()]
+    assert sum(f.stat().st_size for f in files) < sum(map(len, texts))
